@@ -41,7 +41,7 @@ def weighted_sum(
     """
     by = by or []
     joined = bridge_join(reduced, bridge, key, [member, weight], "left" if unallocated else "inner")
-    share = F.coalesce(F.col(weight), F.lit(1)) if unallocated else F.col(weight)
+    share = F.coalesce(F.col(weight), F.lit(1).cast("decimal(5,2)")) if unallocated else F.col(weight)
     if unallocated:
         joined = joined.withColumn(member, F.coalesce(F.col(member), F.lit(UNALLOCATED)))
     return joined.groupBy(*by, member).agg(*[F.round(F.sum(F.col(m) * share), 2).alias(m) for m in measures])
