@@ -91,10 +91,9 @@ def substitution_bridge(
         .withColumn("copies", rows_per_item.cast("long"))
         .filter("copies > 0")
     )
-    rows = plan.select(
-        item_key,
-        "s",
-        (F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)) * F.col("n_items") + position).alias("i"),
+    copy_numbers = F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)
+    rows = plan.select(item_key, "s", "n_items", F.explode(copy_numbers).alias("copy")).select(
+        item_key, "s", (F.col("copy") * F.col("n_items") + position).alias("i")
     )
     i, s = F.col("i"), F.col("s")
     offset = draw(i, seed, 1, F.greatest(s - 1, F.lit(1).cast("long"))) + 1

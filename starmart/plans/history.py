@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from starmart.functions.columns import overlaps, percent_change, percent_of
+from starmart.functions.columns import exact_sum, overlaps, percent_change, percent_of
 from starmart.operators.scd2 import changed_versions, changes
 from starmart.operators.star import reduce_fact, star_join
 from starmart.operators.temporal import temporal_join, valid_during
@@ -123,7 +123,7 @@ def margin_at_historical_price(mart: Mart, up_to_key: int | None = 10, closed: s
         versions = versions.filter(F.col("Stock_Item_Key") <= up_to_key)
     margin = percent_of("Profit", "Total_Including_Tax")
     daily = sale.withColumn("margin", margin).groupBy("Stock_Item_Key", "Invoice_Date_Key").agg(
-        F.sum("Profit").alias("profit"), F.sum("margin").alias("margins"), F.count("margin").alias("n")
+        exact_sum(sale, "Profit").alias("profit"), F.sum("margin").alias("margins"), F.count("margin").alias("n")
     )
     priced = temporal_join(
         daily, versions, "Stock_Item_Key", "Invoice_Date_Key", ["Stock_Item", "Unit_Price"], closed=closed
