@@ -17,41 +17,45 @@ def bridge_join(
     return fact.join(bridge.select(key, *columns), key, how)
 
 
-def named_bridge(bridge: DataFrame, members: DataFrame, member_key: str, name: str) -> DataFrame:
-    """Bridge rows with the member's name."""
-    return star_join(bridge, members, member_key, member_key, [name])
-
-
 def weighted_sum(
     reduced: DataFrame,
     bridge: DataFrame,
+    members: DataFrame,
     key: str,
-    member: str,
+    member_key: str,
+    name: str,
     measures: list[str],
     by: list[str] | None = None,
     weight: str = WEIGHT,
     unallocated: bool = False,
 ) -> DataFrame:
-    """Allocate already reduced measures to bridge members and add them up.
+    """Allocate already reduced measures to bridge members and add them up by member name.
 
     ``reduced`` should hold one row per key and ``by`` combination: multiplying
     after adding is exact, since a key's weight is the same for all its rows, and
-    only the reduced rows fan out. With ``unallocated``, keys that the bridge lacks
-    are kept under that name instead of dropping out.
+    only the reduced rows fan out. Names are looked up last, on one row per member:
+    a join of the whole bridge on so few member keys would pile up on them.
+
+    With ``unallocated``, what the bridge or the members lack is kept under that
+    name instead of dropping out, so the totals still add up.
     """
     by = by or []
-    joined = bridge_join(reduced, bridge, key, [member, weight], "left" if unallocated else "inner")
+    joined = bridge_join(reduced, bridge, key, [member_key, weight], "left" if unallocated else "inner")
     share = F.coalesce(F.col(weight), F.lit(1).cast("decimal(5,2)")) if unallocated else F.col(weight)
+    per_member = joined.groupBy(*by, member_key).agg(*[F.sum(F.col(m) * share).alias(m) for m in measures])
+    named = star_join(per_member, members, member_key, member_key, [name], "left" if unallocated else "inner")
     if unallocated:
-        joined = joined.withColumn(member, F.coalesce(F.col(member), F.lit(UNALLOCATED)))
-    return joined.groupBy(*by, member).agg(*[F.round(F.sum(F.col(m) * share), 2).alias(m) for m in measures])
+        named = named.withColumn(name, F.coalesce(F.col(name), F.lit(UNALLOCATED)))
+    return named.groupBy(*by, name).agg(*[F.round(F.sum(m), 2).alias(m) for m in measures])
 
 
 def weighted_agg(
     fact: DataFrame,
     bridge: DataFrame,
+    members: DataFrame,
     key: str,
-    member: str,
+    member_key: str,
+    name: str,
     measures: dict[str, str],
     by: list[str] | None = None,
     weight: str = WEIGHT,
@@ -59,7 +63,7 @@ def weighted_agg(
 ) -> DataFrame:
     """Weighted totals of additive measures (output -> measure) per bridge member."""
     reduced = reduce_fact(fact, [key, *(by or [])], measures)
-    return weighted_sum(reduced, bridge, key, member, list(measures), by, weight, unallocated)
+    return weighted_sum(reduced, bridge, members, key, member_key, name, list(measures), by, weight, unallocated)
 
 
 def fan_out_totals(fact: DataFrame, bridge: DataFrame, key: str, measure: str, weight: str = WEIGHT) -> DataFrame:

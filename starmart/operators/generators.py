@@ -18,7 +18,12 @@ RELATIONSHIPS = ("Primary", "Secondary", "Emergency")
 
 
 def segment_dimension(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(SEGMENTS, 1)), "Segment_Key int, Segment string")
+    """The segments and their keys. A range has a known size, so joins see how small it is."""
+    names = F.array(*[F.lit(s) for s in SEGMENTS])
+    number = F.col("id").cast("int")
+    return spark.range(1, len(SEGMENTS) + 1, 1, 1).select(
+        number.alias("Segment_Key"), F.element_at(names, number).alias("Segment")
+    )
 
 
 def segment_bridge(customers: DataFrame, seed: int = 42, key: str = "Customer_Key", first_key: int = 1) -> DataFrame:

@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from starmart.functions.columns import percent_of
-from starmart.operators.bridge import fan_out_totals, multi_member, named_bridge, weighted_agg, weighted_sum
+from starmart.operators.bridge import fan_out_totals, multi_member, weighted_agg, weighted_sum
 from starmart.operators.star import reduce_fact, star_join
 from starmart.operators.temporal import temporal_join
 from starmart.plans.mart import During, Mart, whole_year
 
 
-def _bridge(mart: Mart) -> DataFrame:
+_SEGMENT = ("Customer_Key", "Segment_Key", "Segment")
+
+
+def _bridge(mart: Mart) -> tuple[DataFrame, DataFrame]:
     bridge = mart.table("Bridge_CustomerSegment", "Customer_Key", "Segment_Key", "Allocation_Weight")
-    return named_bridge(bridge, mart.table("Dimension_CustomerSegment"), "Segment_Key", "Segment")
+    return bridge, mart.table("Dimension_CustomerSegment", "Segment_Key", "Segment")
 
 
 def segment_metrics(
@@ -22,7 +25,7 @@ def segment_metrics(
     """Weighted totals of any additive measures (output -> measure) per segment."""
     dates = [during[0]] if during else []
     sale = mart.table("Fact_Sale", "Customer_Key", *dates, *dict.fromkeys(measures.values()), during=during)
-    return weighted_agg(sale, _bridge(mart), "Customer_Key", "Segment", measures, unallocated=unallocated)
+    return weighted_agg(sale, *_bridge(mart), *_SEGMENT, measures, unallocated=unallocated)
 
 
 def segment_revenue(mart: Mart, unallocated: bool = False) -> DataFrame:
@@ -45,23 +48,17 @@ def segment_revenue_by_year(mart: Mart) -> DataFrame:
     sale = mart.table("Fact_Sale", "Customer_Key", "Invoice_Date_Key", "Total_Including_Tax")
     calendar = mart.table("Dimension_Date", "Date", "Calendar_Year")
     dated = star_join(sale, calendar, "Invoice_Date_Key", "Date", ["Calendar_Year"])
-    return weighted_agg(
-        dated,
-        _bridge(mart),
-        "Customer_Key",
-        "Segment",
-        {"weighted_revenue": "Total_Including_Tax"},
-        ["Calendar_Year"],
-    ).orderBy("Calendar_Year", F.desc("weighted_revenue"), "Segment")
+    measures = {"weighted_revenue": "Total_Including_Tax"}
+    return weighted_agg(dated, *_bridge(mart), *_SEGMENT, measures, ["Calendar_Year"]).orderBy("Calendar_Year", F.desc("weighted_revenue"), "Segment")
 
 
 def multi_segment_customers(mart: Mart) -> DataFrame:
     """Customers in several segments, with their weights."""
-    bridge = mart.table("Bridge_CustomerSegment", "Customer_Key", "Segment_Key", "Allocation_Weight")
+    bridge, names = _bridge(mart)
     several = multi_member(bridge, "Customer_Key")
     customers = mart.table("Dimension_Customer", "Customer_Key", "Customer")
     named = star_join(several, customers, "Customer_Key", "Customer_Key", ["Customer"])
-    named = star_join(named, mart.table("Dimension_CustomerSegment"), "Segment_Key", "Segment_Key", ["Segment"])
+    named = star_join(named, names, "Segment_Key", "Segment_Key", ["Segment"])
     return named.select("Customer", "Segment", "Allocation_Weight").orderBy(
         "Customer", F.desc("Allocation_Weight"), "Segment"
     )
@@ -81,9 +78,7 @@ def segment_and_historical_group(mart: Mart, year: int = 2015, closed: str = "bo
     grouped = temporal_join(daily, versions, "Customer_Key", "Invoice_Date_Key", ["Buying_Group"], closed=closed)
     # Still partitioned by customer after a sorted join, so this sum needs no shuffle there.
     per_group = grouped.groupBy("Customer_Key", "Buying_Group").agg(F.sum("weighted_revenue").alias("weighted_revenue"))
-    return weighted_sum(
-        per_group, _bridge(mart), "Customer_Key", "Segment", ["weighted_revenue"], ["Buying_Group"]
-    ).orderBy("Segment", F.desc("weighted_revenue"), "Buying_Group")
+    return weighted_sum(per_group, *_bridge(mart), *_SEGMENT, ["weighted_revenue"], ["Buying_Group"]).orderBy("Segment", F.desc("weighted_revenue"), "Buying_Group")
 
 
 def double_count(mart: Mart, year: int | None = None) -> DataFrame:
