@@ -101,6 +101,18 @@ def _exposure(where: str) -> str:
     )
 
 
+def _emergency_only(where: str) -> str:
+    return q(
+        f"""SELECT b.Stock_Item_Key, i.Stock_Item, {money('b.premium_c', 'Unit_Cost_Premium_Pct')},
+                   CAST(b.Lead_Time_Days AS INTEGER) AS Lead_Time_Days
+            FROM bridge_suppliersubstitution b JOIN dimension_stock_item i ON b.Stock_Item_Key = i.Stock_Item_Key
+            WHERE {where} AND b.Relationship_Type = 'Emergency' AND b.Stock_Item_Key NOT IN
+             (SELECT Stock_Item_Key FROM bridge_suppliersubstitution
+              WHERE {where} AND Relationship_Type = 'Secondary')""",
+        "bridge_suppliersubstitution", "dimension_stock_item",
+    )
+
+
 _AVERAGES = """SELECT sum(price_c) FILTER (Valid_From <= DATE '1998-12-31' AND Valid_To >= DATE '1998-01-01') AS s1,
        count(*) FILTER (Valid_From <= DATE '1998-12-31' AND Valid_To >= DATE '1998-01-01') AS n1,
        sum(price_c) FILTER (Valid_From <= DATE '2000-12-31' AND Valid_To >= DATE '2000-01-01') AS s2,
@@ -292,14 +304,8 @@ QUERIES: dict[str, str] = {
             WHERE f IS NOT NULL""",
         "dimension_customer_scd2",
     ),
-    "r06_emergency_only_items": q(
-        f"""SELECT b.Stock_Item_Key, i.Stock_Item, {money('b.premium_c', 'Unit_Cost_Premium_Pct')},
-                   CAST(b.Lead_Time_Days AS INTEGER) AS Lead_Time_Days
-            FROM bridge_suppliersubstitution b JOIN dimension_stock_item i ON b.Stock_Item_Key = i.Stock_Item_Key
-            WHERE b.Relationship_Type = 'Emergency' AND b.Stock_Item_Key NOT IN
-             (SELECT Stock_Item_Key FROM bridge_suppliersubstitution WHERE Relationship_Type = 'Secondary')""",
-        "bridge_suppliersubstitution", "dimension_stock_item",
-    ),
+    "r06_emergency_only_items": _emergency_only("Is_Active"),
+    "r06_emergency_only_items_with_inactive": _emergency_only("true"),
     "r07_price_increase": q(
         f"""SELECT round((CAST(s2 AS DOUBLE) / n2 - CAST(s1 AS DOUBLE) / n1) / (CAST(s1 AS DOUBLE) / n1) * 100, 2)
                    AS increase_pct FROM ({_AVERAGES}) a""",

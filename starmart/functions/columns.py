@@ -1,4 +1,4 @@
-"""Column expressions shared by the operators. All stay inside codegen; no UDFs."""
+"""Expressions shared by the operators. All are built-in functions; no UDFs."""
 
 from __future__ import annotations
 
@@ -7,95 +7,98 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-OPEN_END = dt.date(9999, 12, 31)
-
+from starmart.functions.sqltext import day as day_literal, name as quoted, text
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+OPEN_END = dt.date(9999, 12, 31)
 
 
-def _day(value: dt.date | str | Column) -> Column:
-    """A date literal; strings are read as ISO dates so they never compare as text."""
-    if isinstance(value, Column):
-        return value
-    if isinstance(value, str):
-        value = dt.date.fromisoformat(value)
-    return F.lit(value)
+def overlaps(valid_from: str, valid_to: str, lo: dt.date | str, hi: dt.date | str) -> Column:
+    """Validity range meets [lo, hi]; both ends inclusive."""
+    return F.expr(f"{quoted(valid_from)} <= {day_literal(hi)} AND {quoted(valid_to)} >= {day_literal(lo)}")
 
 
-def overlaps(valid_from, valid_to, lo, hi) -> Column:
-    """Validity range meets [lo, hi]; both ends inclusive."""
-    return (_col(valid_from) <= _day(hi)) & (_col(valid_to) >= _day(lo))
+def covers_sql(valid_from: str, valid_to: str, day: str, closed: str = "both") -> str:
+    if closed not in ("both", "left"):
+        raise ValueError(f"closed must be 'both' or 'left', not {closed!r}")
+    return f"{day} >= {quoted(valid_from)} AND {day} {'<=' if closed == 'both' else '<'} {quoted(valid_to)}"
 
 
-def covers(valid_from, valid_to, day, closed: str = "both") -> Column:
-    """Validity range holds ``day``.
+def covers(valid_from: str, valid_to: str, day: dt.date | str, closed: str = "both") -> Column:
+    """Validity range holds ``day``, a date or a column name.
 
     ``closed="both"`` treats ``valid_to`` as the last valid day, which is how the
     versions are built; ``"left"`` is the half-open reading, under which a fact
     dated on the last day of a version matches nothing.
     """
-    after_start = _day(day) >= _col(valid_from)
-    if closed == "both":
-        return after_start & (_day(day) <= _col(valid_to))
-    if closed == "left":
-        return after_start & (_day(day) < _col(valid_to))
-    raise ValueError(f"closed must be 'both' or 'left', not {closed!r}")
+    return F.expr(
+        covers_sql(valid_from, valid_to, quoted(day) if isinstance(day, str) else day_literal(day), closed)
+    )
 
 
-def in_year(day: Column | str, year: int) -> Column:
+def in_year(day: str, year: int) -> Column:
     """Year test as a date range, so that a scan can prune on it."""
-    return _col(day).between(F.lit(dt.date(year, 1, 1)), F.lit(dt.date(year, 12, 31)))
+    return F.expr(
+        f"{quoted(day)} BETWEEN {day_literal(dt.date(year, 1, 1))} AND {day_literal(dt.date(year, 12, 31))}"
+    )
+
+
+def recode_sql(column: str, mapping: dict[str, str], default: str = "null") -> str:
+    if default not in ("null", "keep"):
+        raise ValueError(f"default must be 'null' or 'keep', not {default!r}")
+    pairs = ", ".join(f"{text(old)}, {text(new)}" for old, new in mapping.items())
+    found = f"map({pairs})[{quoted(column)}]"
+    return f"coalesce({found}, {quoted(column)})" if default == "keep" else found
 
 
-def recode(value: Column | str, mapping: dict[str, str], default: str = "null") -> Column:
+def recode(column: str, mapping: dict[str, str], default: str = "null") -> Column:
     """Replace a value through a literal map.
 
     Values that the map lacks become NULL (``default="null"``) or stay (``"keep"``).
     """
-    if default not in ("null", "keep"):
-        raise ValueError(f"default must be 'null' or 'keep', not {default!r}")
-    c = _col(value)
-    pairs = [F.lit(x) for kv in mapping.items() for x in kv]
-    found = F.create_map(*pairs)[c]
-    return F.coalesce(found, c) if default == "keep" else found
+    return F.expr(recode_sql(column, mapping, default))
+
+
+def scaled_price_sql(price: str, factor: Decimal | str) -> str:
+    return f"CAST(round({quoted(price)} * {Decimal(str(factor)):f}BD, 2) AS DECIMAL(18,2))"
 
 
-def scaled_price(price: Column | str, factor: Decimal | str) -> Column:
+def scaled_price(price: str, factor: Decimal | str) -> Column:
     """``price * factor`` rounded half up to cents, kept in decimals throughout."""
-    f = Decimal(str(factor))
-    scale = max(-f.as_tuple().exponent, 0)
-    literal = F.lit(f).cast(T.DecimalType(max(len(f.as_tuple().digits), scale) + 1, scale))
-    return F.round(_col(price) * literal, 2).cast(T.DecimalType(18, 2))
+    return F.expr(scaled_price_sql(price, factor))
 
 
-def percent_of(part: Column | str, whole: Column | str) -> Column:
+def percent_sql(part: str, whole: str) -> str:
+    return f"CAST({part} AS DOUBLE) / nullif(CAST({whole} AS DOUBLE), 0.0D) * 100"
+
+
+def percent_of(part: str, whole: str) -> Column:
     """``part / whole * 100`` as double; NULL where ``whole`` is zero."""
-    return _col(part).cast("double") / F.nullif(_col(whole).cast("double"), F.lit(0.0)) * 100
+    return F.expr(percent_sql(quoted(part), quoted(whole)))
 
 
-def percent_change(before: Column | str, after: Column | str) -> Column:
+def percent_change(before: str, after: str) -> Column:
     """Relative change in percent; NULL where ``before`` is zero."""
-    return percent_of(_col(after) - _col(before), before)
+    return F.expr(percent_sql(f"({quoted(after)} - {quoted(before)})", quoted(before)))
 
 
-def exact_sum(df: DataFrame, name: str) -> Column:
+def exact_sum(df: DataFrame, column: str) -> Column:
     """Exact sum of a column of ``df``.
 
     Narrow decimals are added up as whole units of their last digit, in 64-bit
-    integers: about twice as fast as Spark's wide-decimal sum buffers. A total that
-    leaves 64 bits is an error in every session mode, never a wrapped number.
+    integers: about twice as fast as Spark's wide-decimal sum buffers on few groups.
+    A total beyond 64 bits is an error under ANSI rules; where the session has those
+    off it would wrap, so there the plain decimal sum is used.
     """
-    kind = df.schema[name].dataType
-    if not isinstance(kind, T.DecimalType) or kind.precision > 18:
-        return F.sum(name)
-    units = (F.col(name) * F.lit(10**kind.scale)).cast("long")
-    total = F.try_sum(units)
-    overflow = total.isNull() & (F.count(name) > 0)
-    step = F.lit(Decimal(1).scaleb(-kind.scale)).cast(T.DecimalType(max(kind.scale, 1), kind.scale))
-    return F.when(
-        overflow, F.raise_error(F.lit(f"sum of {name} exceeds 64 bits")).cast(T.DecimalType(22, kind.scale))
-    ).otherwise((total.cast(T.DecimalType(19, 0)) * step).cast(T.DecimalType(22, kind.scale)))
+    kind = df.schema[column].dataType
+    if not isinstance(kind, T.DecimalType) or kind.precision > 18 or not _ansi(df):
+        return F.sum(column)
+    units = f"sum(CAST({quoted(column)} * {10**kind.scale} AS BIGINT))"
+    step = f"{Decimal(1).scaleb(-kind.scale):f}BD"
+    return F.expr(f"CAST(CAST({units} AS DECIMAL(19,0)) * {step} AS DECIMAL(22,{kind.scale}))")
+
+
+def _ansi(df: DataFrame) -> bool:
+    return df.sparkSession.conf.get("spark.sql.ansi.enabled", "true").lower() == "true"
 
 
 # Multipliers of a small congruential mixer, modulus 2**31 - 1.
@@ -104,12 +107,12 @@ _STEP_A = 48271
 _STEP_B = 69621
 
 
-def draw(index: Column, seed: int, stream: int, bound: Column | int) -> Column:
-    """Repeatable pseudo-random integer in ``[0, bound)`` for a row index.
+def draw(index: str, seed: int, stream: int, bound: str | int) -> str:
+    """SQL for a repeatable pseudo-random integer in ``[0, bound)`` for a row index.
 
     Depends on the row only, so a retried task gives the same value, and it is
-    plain 64-bit arithmetic that any SQL engine can repeat.
+    plain 64-bit arithmetic that any SQL engine can repeat. ``index`` and ``bound``
+    are SQL expressions of type long, not negative.
     """
-    start = F.pmod(index.cast("long"), F.lit(_MODULUS)) * F.lit(_STEP_A) + F.lit(seed * 7919 + stream * 104729 + 1)
-    mixed = F.pmod(F.pmod(start, F.lit(_MODULUS)) * F.lit(_STEP_B) + F.lit(stream), F.lit(_MODULUS))
-    return F.pmod(mixed, bound if isinstance(bound, Column) else F.lit(bound).cast("long"))
+    start = f"(({index}) % {_MODULUS} * {_STEP_A} + {seed * 7919 + stream * 104729 + 1}) % {_MODULUS}"
+    return f"(({start} * {_STEP_B} + {stream}) % {_MODULUS} % ({bound}))"

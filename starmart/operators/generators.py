@@ -7,9 +7,10 @@ nothing is brought to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmart.functions.columns import draw
+from starmart.functions.sqltext import name, text
 
 # The segments, numbered from 1 in this order.
 SEGMENTS = ("High Value", "Growth", "Loyal", "Seasonal", "At Risk", "New Business", "Tail")
@@ -19,10 +20,9 @@ RELATIONSHIPS = ("Primary", "Secondary", "Emergency")
 
 def segment_dimension(spark: SparkSession) -> DataFrame:
     """The segments and their keys. A range has a known size, so joins see how small it is."""
-    names = F.array(*[F.lit(s) for s in SEGMENTS])
-    number = F.col("id").cast("int")
-    return spark.range(1, len(SEGMENTS) + 1, 1, 1).select(
-        number.alias("Segment_Key"), F.element_at(names, number).alias("Segment")
+    names = ", ".join(text(s) for s in SEGMENTS)
+    return spark.range(1, len(SEGMENTS) + 1, 1, 1).selectExpr(
+        "CAST(id AS INT) AS Segment_Key", f"element_at(array({names}), CAST(id AS INT)) AS Segment"
     )
 
 
@@ -32,36 +32,29 @@ def segment_bridge(customers: DataFrame, seed: int = 42, key: str = "Customer_Ke
     Two segments take 0.30-0.70 and the rest; three take 0.20-0.50, then from 0.20
     up to what leaves at least 0.10, and the rest.
     """
-    k = F.col(key)
-    n_segments = len(SEGMENTS)
-    plan = customers.filter(k >= first_key).select(
-        k,
-        (draw(k, seed, 1, 3) + 1).alias("n"),
-        draw(k, seed, 2, n_segments).alias("first"),
-        (draw(k, seed, 3, n_segments - 1) + 1).alias("step"),
-        (draw(k, seed, 4, 41) + 30).alias("half"),
-        (draw(k, seed, 5, 31) + 20).alias("third"),
+    k, n_segments = f"CAST({name(key)} AS BIGINT)", len(SEGMENTS)
+    plan = customers.filter(F.col(key) >= first_key).selectExpr(
+        name(key),
+        f"{draw(k, seed, 1, 3)} + 1 AS n",
+        f"{draw(k, seed, 2, n_segments)} AS first",
+        f"{draw(k, seed, 3, n_segments - 1)} + 1 AS step",
+        f"{draw(k, seed, 4, 41)} + 30 AS half",
+        f"{draw(k, seed, 5, 31)} + 20 AS third",
     )
-    # The number of segments is prime, so equal steps around it never meet.
-    second = draw(k, seed, 6, F.lit(71) - F.col("third")) + 20
-    member = [F.pmod(F.col("first") + F.col("step") * j, F.lit(n_segments)) + 1 for j in range(3)]
-    hundred = F.lit(100).cast("long")
 
-    def entry(j: int, hundredths: Column) -> Column:
-        weight = (hundredths.cast("decimal(3,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(5,2)")
-        return F.struct(member[j].cast("int").alias("Segment_Key"), weight.alias("Allocation_Weight"))
+    def entry(j: int, hundredths: str) -> str:
+        # The number of segments is prime, so equal steps around it never meet.
+        member = f"CAST((first + step * {j}) % {n_segments} + 1 AS INT)"
+        weight = f"CAST(CAST({hundredths} AS DECIMAL(3,0)) * 0.01BD AS DECIMAL(5,2))"
+        return f"named_struct('Segment_Key', {member}, 'Allocation_Weight', {weight})"
 
-    one = F.array(entry(0, hundred))
-    two = F.array(entry(0, F.col("half")), entry(1, hundred - F.col("half")))
-    three = F.array(
-        entry(0, F.col("third")),
-        entry(1, F.col("second")),
-        entry(2, hundred - F.col("third") - F.col("second")),
-    )
+    one = f"array({entry(0, '100')})"
+    two = f"array({entry(0, 'half')}, {entry(1, '100 - half')})"
+    three = f"array({entry(0, 'third')}, {entry(1, 'second')}, {entry(2, '100 - third - second')})"
     return (
-        plan.withColumn("second", second)
-        .select(key, F.explode(F.when(F.col("n") == 1, one).when(F.col("n") == 2, two).otherwise(three)).alias("m"))
-        .select(key, "m.Segment_Key", "m.Allocation_Weight")
+        plan.selectExpr("*", f"{draw(k, seed, 6, '71 - third')} + 20 AS second")
+        .selectExpr(name(key), f"explode(CASE n WHEN 1 THEN {one} WHEN 2 THEN {two} ELSE {three} END) AS m")
+        .selectExpr(name(key), "m.Segment_Key", "m.Allocation_Weight")
     )
 
 
@@ -69,7 +62,7 @@ def substitution_bridge(
     items: DataFrame,
     suppliers: DataFrame,
     total_rows: int | None = 200,
-    rows_per_item: Column | None = None,
+    rows_per_item: str | None = None,
     seed: int = 42,
     item_key: str = "Stock_Item_Key",
     supplier_key: str = "Supplier_Key",
@@ -79,48 +72,36 @@ def substitution_bridge(
 
     Row ``i`` belongs to item ``i`` modulo the items, its primary supplier is ``i``
     modulo the suppliers and its type cycles with ``i``. Either ``total_rows`` rows
-    are dealt out over the items in turn, or each item gets ``rows_per_item``.
+    are dealt out over the items in turn, or each item gets ``rows_per_item`` (a SQL
+    expression over the item's columns).
     """
     if (total_rows is None) == (rows_per_item is None):
         raise ValueError("give either total_rows or rows_per_item")
-    n_items = items.agg((F.max(item_key) - first_key + 1).cast("long")).scalar()
-    n_suppliers = suppliers.agg((F.max(supplier_key) - first_key + 1).cast("long")).scalar()
-    position = (F.col(item_key) - first_key).cast("long")
-    if rows_per_item is None:
-        rows_per_item = F.when(
-            position < total_rows, F.floor((F.lit(total_rows) - 1 - position) / F.col("n_items")) + 1
-        ).otherwise(0)
-    plan = (
+    item = name(item_key)
+    n_items = items.selectExpr(f"CAST(max({item}) - {first_key} + 1 AS BIGINT)").scalar()
+    n_suppliers = suppliers.selectExpr(f"CAST(max({name(supplier_key)}) - {first_key} + 1 AS BIGINT)").scalar()
+    position = f"CAST({item} - {first_key} AS BIGINT)"
+    copies = rows_per_item or f"(greatest({total_rows} - 1 - {position}, -n_items) + n_items) div n_items"
+    rows = (
         items.filter(F.col(item_key) >= first_key)
         .select(item_key, n_items.alias("n_items"), n_suppliers.alias("s"))
-        .withColumn("copies", rows_per_item.cast("long"))
+        .selectExpr("*", f"CAST({copies} AS INT) AS copies")
         .filter("copies > 0")
+        .selectExpr(item, "s", "n_items", "explode(sequence(0, copies - 1)) AS copy")
+        .selectExpr(item, "s", f"copy * n_items + {position} AS i")
     )
-    copy_numbers = F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)
-    rows = plan.select(item_key, "s", "n_items", F.explode(copy_numbers).alias("copy")).select(
-        item_key, "s", (F.col("copy") * F.col("n_items") + position).alias("i")
-    )
-    i, s = F.col("i"), F.col("s")
-    offset = draw(i, seed, 1, F.greatest(s - 1, F.lit(1).cast("long"))) + 1
-    drawn = rows.select(
-        item_key,
-        "s",
-        "i",
-        (F.pmod(i, s) + first_key).alias("primary"),
-        (F.pmod(i + offset, s) + first_key).alias("drawn"),
-    )
+    offset = f"{draw('i', seed, 1, 'greatest(s - 1, 1)')} + 1"
+    drawn = rows.selectExpr(item, "s", "i", "i % s AS primary", f"(i + {offset}) % s AS drawn")
     # A substitute that came out as the primary moves on to the next supplier.
-    following = F.pmod(F.col("primary") - first_key + 1, s) + first_key
-    substitute = F.when(F.col("drawn") == F.col("primary"), following).otherwise(F.col("drawn"))
-    kinds = F.array(*[F.lit(r) for r in RELATIONSHIPS])
-    return drawn.select(
-        item_key,
-        F.col("primary").alias("Primary_Supplier_Key"),
-        substitute.alias("Substitute_Supplier_Key"),
-        F.element_at(kinds, (F.pmod(i, F.lit(len(RELATIONSHIPS))) + 1).cast("int")).alias("Relationship_Type"),
-        (draw(i, seed, 2, 45) + 1).cast("int").alias("Lead_Time_Days"),
-        (draw(i, seed, 3, 2501).cast("decimal(4,0)") * F.lit("0.01").cast("decimal(3,2)"))
-        .cast("decimal(5,2)")
-        .alias("Unit_Cost_Premium_Pct"),
-        (draw(i, seed, 4, 100) < 85).alias("Is_Active"),
+    substitute = "IF(drawn = primary, (primary + 1) % s, drawn)"
+    kinds = ", ".join(text(r) for r in RELATIONSHIPS)
+    premium = f"CAST({draw('i', seed, 3, 2501)} AS DECIMAL(4,0)) * 0.01BD"
+    return drawn.selectExpr(
+        item,
+        f"primary + {first_key} AS Primary_Supplier_Key",
+        f"{substitute} + {first_key} AS Substitute_Supplier_Key",
+        f"element_at(array({kinds}), CAST(i % {len(RELATIONSHIPS)} + 1 AS INT)) AS Relationship_Type",
+        f"CAST({draw('i', seed, 2, 45)} + 1 AS INT) AS Lead_Time_Days",
+        f"CAST({premium} AS DECIMAL(5,2)) AS Unit_Cost_Premium_Pct",
+        f"{draw('i', seed, 4, 100)} < 85 AS Is_Active",
     )

@@ -14,7 +14,8 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from starmart.functions.columns import OPEN_END, recode, scaled_price
+from starmart.functions.columns import OPEN_END, recode, recode_sql, scaled_price_sql
+from starmart.functions.sqltext import day, name
 
 VALID_FROM, VALID_TO, IS_CURRENT = "Valid_From", "Valid_To", "Is_Current"
 _DAY = dt.timedelta(days=1)
@@ -29,13 +30,12 @@ class Era:
     factor: Decimal = Decimal("1")
 
 
-def scd2_current(base: DataFrame, start: Column | None = None) -> DataFrame:
-    """Snapshot rows as current, open-ended versions.
+def scd2_current(base: DataFrame) -> DataFrame:
+    """Snapshot rows as current, open-ended versions, valid from the day they name.
 
-    The start is the row's own ``Valid_From`` unless given. Any ``Valid_To`` of the
-    snapshot is replaced: every input row is taken as current.
+    Any ``Valid_To`` of the snapshot is replaced: every input row is taken as current.
     """
-    start = F.to_date(F.col(VALID_FROM)) if start is None else start
+    start = F.to_date(VALID_FROM)
     return base.withColumns({VALID_FROM: start, VALID_TO: F.lit(OPEN_END), IS_CURRENT: F.lit(True)})
 
 
@@ -66,33 +66,36 @@ def scd2_union(
     return scd2_history(base, changed, attribute, mapping, era, default).unionByName(current)
 
 
-def _version(start: Column, end: dt.date, current: bool, **values: Column) -> Column:
-    return F.struct(
-        start.alias(VALID_FROM),
-        F.lit(end).alias(VALID_TO),
-        F.lit(current).alias(IS_CURRENT),
-        *[v.alias(k) for k, v in values.items()],
-    )
+def _version(start: str, end: dt.date, current: bool, values: dict[str, str]) -> str:
+    fields = {VALID_FROM: start, VALID_TO: day(end), IS_CURRENT: str(current).lower(), **values}
+    return "named_struct(" + ", ".join(f"'{i}', {v}" for i, v in fields.items()) + ")"
 
 
-def _explode_versions(base: DataFrame, versions: Column, replaced: list[str]) -> DataFrame:
-    """One row per array entry, replaced columns staying at their old positions."""
+def _explode_versions(
+    base: DataFrame, changed: Column, of_changed: list[str], of_others: list[str], replaced: list[str]
+) -> DataFrame:
+    """One row per version; replaced columns stay at their old positions."""
     dropped = {VALID_FROM, VALID_TO, IS_CURRENT}
-    exploded = base.select("*", F.explode(versions).alias("__v"))
-    columns = [F.col(f"__v.`{c}`") if c in replaced else F.col(f"`{c}`") for c in base.columns if c not in dropped]
-    return exploded.select(*columns, f"__v.{VALID_FROM}", f"__v.{VALID_TO}", f"__v.{IS_CURRENT}")
+    kept = [
+        f"__v.{name(c)} AS {name(c)}" if c in replaced else name(c) for c in base.columns if c not in dropped
+    ]
+    versions = f"IF(__changed, array({', '.join(of_changed)}), array({', '.join(of_others)}))"
+    return (
+        base.withColumn("__changed", F.coalesce(changed, F.lit(False)))
+        .selectExpr("*", f"explode({versions}) AS __v")
+        .selectExpr(*kept, f"__v.{VALID_FROM}", f"__v.{VALID_TO}", f"__v.{IS_CURRENT}")
+    )
 
 
 def scd2_recoded(
     base: DataFrame, changed: Column, attribute: str, mapping: dict[str, str], era: Era, default: str = "null"
 ) -> DataFrame:
     """The rows of ``scd2_union`` from a single scan of the base."""
-    own_start = F.to_date(F.col(VALID_FROM))
-    past = _version(F.lit(era.start), era.end, False, **{attribute: recode(attribute, mapping, default)})
-    reopened = _version(F.lit(era.end + _DAY), OPEN_END, True, **{attribute: F.col(attribute)})
-    untouched = _version(own_start, OPEN_END, True, **{attribute: F.col(attribute)})
-    versions = F.when(changed, F.array(past, reopened)).otherwise(F.array(untouched))
-    return _explode_versions(base, versions, [attribute])
+    same = {attribute: name(attribute)}
+    past = _version(day(era.start), era.end, False, {attribute: recode_sql(attribute, mapping, default)})
+    reopened = _version(day(era.end + _DAY), OPEN_END, True, same)
+    untouched = _version(f"to_date({VALID_FROM})", OPEN_END, True, same)
+    return _explode_versions(base, changed, [past, reopened], [untouched], [attribute])
 
 
 def scd2_tiered(
@@ -109,14 +112,11 @@ def scd2_tiered(
     like all others, so earlier facts find no version, unless ``unchanged_from``
     opens it earlier.
     """
-    past = [
-        _version(F.lit(e.start), e.end, False, **{p: scaled_price(p, e.factor) for p in prices}) for e in eras
-    ]
-    now = {p: F.col(p).cast("decimal(18,2)") for p in prices}
-    current = _version(F.lit(current_from), OPEN_END, True, **now)
-    single = _version(F.lit(unchanged_from or current_from), OPEN_END, True, **now)
-    versions = F.when(changed, F.array(*past, current)).otherwise(F.array(single))
-    return _explode_versions(base, versions, prices)
+    past = [_version(day(e.start), e.end, False, {p: scaled_price_sql(p, e.factor) for p in prices}) for e in eras]
+    now = {p: f"CAST({name(p)} AS DECIMAL(18,2))" for p in prices}
+    current = _version(day(current_from), OPEN_END, True, now)
+    single = _version(day(unchanged_from or current_from), OPEN_END, True, now)
+    return _explode_versions(base, changed, [*past, current], [single], prices)
 
 
 def current_versions(versions: DataFrame) -> DataFrame:

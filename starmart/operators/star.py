@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starmart.functions.columns import exact_sum
+from starmart.functions.sqltext import name
 
 
 def reduce_fact(
@@ -42,10 +43,10 @@ def star_join(
     clash = set(names.values()) & set(fact.columns)
     if clash:
         raise ValueError(f"columns already present: {sorted(clash)}")
-    side = dimension.select(
-        F.col(dimension_key).alias("__k"), *[F.col(c).alias(out) for c, out in names.items()]
+    side = dimension.selectExpr(
+        f"{name(dimension_key)} AS __k", *[f"{name(c)} AS {name(out)}" for c, out in names.items()]
     )
-    return fact.join(side, F.col(fact_key) == F.col("__k"), how).drop("__k")
+    return fact.join(side, F.expr(f"{name(fact_key)} = __k"), how).drop("__k")
 
 
 def sum_by_attribute(

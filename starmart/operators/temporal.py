@@ -6,7 +6,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from starmart.functions.columns import covers, overlaps
+from starmart.functions.columns import covers, covers_sql, overlaps
+from starmart.functions.sqltext import name
 from starmart.operators.scd2 import VALID_FROM, VALID_TO
 
 
@@ -35,21 +36,18 @@ def temporal_join(
     clash = set(attributes) & set(fact.columns)
     if clash:
         raise ValueError(f"columns already present: {sorted(clash)}")
-    side = versions.select(
-        F.col(key).alias("__k"),
-        F.col(VALID_FROM).alias("__from"),
-        F.col(VALID_TO).alias("__to"),
-        *[F.col(a) for a in attributes],
+    side = versions.selectExpr(
+        f"{name(key)} AS __k", f"{VALID_FROM} AS __from", f"{VALID_TO} AS __to", *[name(a) for a in attributes]
     )
-    condition = (F.col(key) == F.col("__k")) & covers("__from", "__to", F.col(on_date), closed)
+    condition = f"{name(key)} = __k AND " + covers_sql("__from", "__to", name(on_date), closed)
     if salt > 1:
-        fact = fact.withColumn("__salt", F.pmod(F.hash(on_date), F.lit(salt)))
-        side = side.select("*", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("__copy"))
-        condition = condition & (F.col("__salt") == F.col("__copy"))
-    return fact.join(side, condition, how).drop("__k", "__from", "__to", "__salt", "__copy")
+        fact = fact.withColumn("__salt", F.expr(f"pmod(hash({name(on_date)}), {salt})"))
+        side = side.selectExpr("*", f"explode(sequence(0, {salt - 1})) AS __copy")
+        condition += " AND __salt = __copy"
+    return fact.join(side, F.expr(condition), how).drop("__k", "__from", "__to", "__salt", "__copy")
 
 
-def as_of(versions: DataFrame, day: dt.date | str, closed: str = "both") -> DataFrame:
+def as_of(versions: DataFrame, day: dt.date, closed: str = "both") -> DataFrame:
     """The versions valid on one day."""
     return versions.filter(covers(VALID_FROM, VALID_TO, day, closed))
 

@@ -35,7 +35,7 @@ class Enrichment:
     price_current_from: dt.date = PRICE_CURRENT_FROM
     unchanged_items_from: dt.date | None = None
     substitution_rows: int | None = 200
-    substitutes_per_item: Column | None = None
+    substitutes_per_item: str | None = None
     first_key: int = 1
     seed: int = 42
 

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, functions as F
 
 from starmart.functions.columns import OPEN_END
 from starmart.operators import quality, scd2
 from starmart.operators.scd2 import Era
-from starmart.plans import enrich
 from starmart.session import scratch_path
 from starmart.sources import typed_csv
 from starmart.sources.tables import row_counts, write_table
@@ -45,15 +43,14 @@ def _by_union(mart: SampleMart) -> DataFrame:
 
 def _misdated(mart: SampleMart, end: dt.date) -> DataFrame:
     """Versions whose history does not end the day before the current version starts."""
-    era = Era(OPENED.date(), end)
+    era = Era(OPENED, end)
     past = scd2.scd2_history(_customers(mart), mart.changed_customers(), "Buying_Group", GROUP_RECODE, era)
     return quality.era_violations(past.unionByName(_reopened(mart)), "Customer_Key")
 
 
 def _late_start_items(mart: SampleMart) -> DataFrame:
     """Unchanged items only from the start of the current prices on."""
-    settings = replace(mart.settings(), unchanged_items_from=None)
-    return enrich.stock_item_versions(mart.table("Dimension_Stock_Item").drop("Size"), settings)
+    return mart.item_versions(unchanged_from=None).drop("Size")
 
 
 def _segment_sizes(mart: SampleMart) -> DataFrame:

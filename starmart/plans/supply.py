@@ -81,9 +81,11 @@ def cost_exposure(mart: Mart, item: int | None = 10) -> DataFrame:
     )
 
 
-def emergency_only_items(mart: Mart) -> DataFrame:
+def emergency_only_items(mart: Mart, active_only: bool = True) -> DataFrame:
     """Emergency substitutes of items that have no secondary one."""
     bridge = mart.table("Bridge_SupplierSubstitution")
+    if active_only:
+        bridge = bridge.filter("Is_Active")
     exposed = only_of_kind(bridge, "Stock_Item_Key", "Relationship_Type", "Emergency", "Secondary")
     return (
         _with_item(mart, exposed, "Stock_Item")

@@ -11,13 +11,13 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from starmart.functions.sqltext import day
 from starmart.operators import generators, scd2
 from starmart.plans import enrich
 from starmart.plans.mart import During, Mart, within
 
-OPENED = dt.datetime(1992, 1, 1)
-CLOSES = dt.datetime(9999, 12, 31)
-CALENDAR_FROM, CALENDAR_DAYS = dt.date(1992, 1, 1), 7306  # up to 2012-01-01
+OPENED = dt.date(1992, 1, 1)
+CALENDAR_DAYS = 7306  # up to 2012-01-01
 
 GROUP_RECODE = {
     "AUTOMOBILE": "BUILDING",
@@ -26,50 +26,60 @@ GROUP_RECODE = {
     "HOUSEHOLD": "MACHINERY",
     "MACHINERY": "AUTOMOBILE",
 }
-GROUP_ERA = scd2.Era(OPENED.date(), dt.date(1998, 12, 31))
+GROUP_ERA = scd2.Era(OPENED, dt.date(1998, 12, 31))
 PRICE_ERAS = (
-    scd2.Era(OPENED.date(), dt.date(1998, 12, 31), Decimal("0.85")),
+    scd2.Era(OPENED, dt.date(1998, 12, 31), Decimal("0.85")),
     scd2.Era(dt.date(1999, 1, 1), dt.date(1999, 12, 31), Decimal("0.92")),
 )
 PRICE_CURRENT_FROM = dt.date(2000, 1, 1)
 
+# The stored columns; naming them saves each query a look at the file footers.
+STORED = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+}
 
-def _units(name: str) -> Column:
-    """A two-digit double as whole hundredths."""
-    return F.rint(F.col(name) * 100).cast("long")
-
-
-def _money(cents: Column) -> Column:
-    return (cents.cast("decimal(14,0)") * F.lit(Decimal("0.01")).cast("decimal(2,2)")).cast("decimal(18,2)")
 
+def _cents(column: str) -> str:
+    """A two-digit double as whole cents (or hundredths)."""
+    return f"CAST(rint({column} * 100) AS BIGINT)"
 
-_LIST = "cast(rint(l_extendedprice * 100) as bigint)"
-_NET = f"(({_LIST} * (100 - cast(rint(l_discount * 100) as bigint)) + 50) div 100)"
-_TAX = f"(({_NET} * cast(rint(l_tax * 100) as bigint) + 50) div 100)"
-_COST = f"(({_LIST} * (60 + 5 * (l_partkey % 5)) + 50) div 100)"
 
-def _sale_from_line() -> dict[str, Column]:
-    return {
-        "Sale_Key": F.expr("l_orderkey * 10 + l_linenumber"),
-        "Stock_Item_Key": F.col("l_partkey"),
-        "Supplier_Key": F.col("l_suppkey"),
-        "Salesperson_Key": F.col("l_suppkey"),
-        "Invoice_Date_Key": F.col("l_shipdate").cast("date"),
-        "Delivery_Date_Key": F.date_add(F.col("l_shipdate").cast("date"), F.col("l_linenumber")),
-        "Quantity": F.col("l_quantity").cast("int"),
-        "Total_Excluding_Tax": _money(F.expr(_NET)),
-        "Tax_Amount": _money(F.expr(_TAX)),
-        "Total_Including_Tax": _money(F.expr(f"{_NET} + {_TAX}")),
-        "Profit": _money(F.expr(f"{_NET} - {_COST}")),
-    }
+def _money(cents: str) -> str:
+    return f"CAST(CAST({cents} AS DECIMAL(14,0)) * 0.01BD AS DECIMAL(18,2))"
 
 
-def _sale_from_order() -> dict[str, Column]:
-    return {"Customer_Key": F.col("o_custkey"), "Bill_To_Customer_Key": F.expr("o_custkey - o_custkey % 10")}
+_LIST = _cents("l_extendedprice")
+_NET = f"(({_LIST} * (100 - {_cents('l_discount')}) + 50) div 100)"
+_TAX = f"(({_NET} * {_cents('l_tax')} + 50) div 100)"
+_COST = f"(({_LIST} * (60 + 5 * (l_partkey % 5)) + 50) div 100)"
 
+_SALE_FROM_LINE = {
+    "Sale_Key": "l_orderkey * 10 + l_linenumber",
+    "Stock_Item_Key": "l_partkey",
+    "Supplier_Key": "l_suppkey",
+    "Salesperson_Key": "l_suppkey",
+    "Invoice_Date_Key": "CAST(l_shipdate AS DATE)",
+    "Delivery_Date_Key": "date_add(CAST(l_shipdate AS DATE), l_linenumber)",
+    "Quantity": "CAST(l_quantity AS INT)",
+    "Total_Excluding_Tax": _money(_NET),
+    "Tax_Amount": _money(_TAX),
+    "Total_Including_Tax": _money(f"{_NET} + {_TAX}"),
+    "Profit": _money(f"{_NET} - {_COST}"),
+}
+_SALE_FROM_ORDER = {"Customer_Key": "o_custkey", "Bill_To_Customer_Key": "o_custkey - o_custkey % 10"}
+_SALE_FROM_CUSTOMER = {"City_Key": "c_nationkey"}
 
-def _sale_from_customer() -> dict[str, Column]:
-    return {"City_Key": F.col("c_nationkey")}
+_PAYMENT_METHOD_KEY = "CAST(substring(o_orderpriority, 1, 1) AS INT) AS Payment_Method_Key"
+_TRANSACTION_TYPE_KEY = "IF(l_returnflag = 'R', 2, 1) AS Transaction_Type_Key"
 
 
 class SampleMart(Mart):
@@ -79,7 +89,7 @@ class SampleMart(Mart):
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(STORED[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def table(self, name: str, *columns: str, during: During | None = None) -> DataFrame:
         if name == "Fact_Sale":
@@ -91,209 +101,188 @@ class SampleMart(Mart):
 
     def _dimension_date(self) -> DataFrame:
         """A fixed calendar: its row count does not depend on the data."""
-        days = self.spark.range(0, CALENDAR_DAYS, 1, 1).select(
-            F.date_add(F.lit(CALENDAR_FROM), F.col("id").cast("int")).alias("Date")
-        )
-        return days.select(
+        days = self.spark.range(0, CALENDAR_DAYS, 1, 1).selectExpr(f"date_add({day(OPENED)}, CAST(id AS INT)) AS Date")
+        return days.selectExpr(
             "Date",
-            F.dayofmonth("Date").alias("Day"),
-            F.date_format("Date", "MMMM").alias("Month"),
-            F.month("Date").alias("Calendar_Month_Number"),
-            F.year("Date").alias("Calendar_Year"),
-            F.month("Date").alias("Fiscal_Month_Number"),
-            F.year("Date").alias("Fiscal_Year"),
-            F.weekofyear("Date").alias("ISO_Week_Number"),
+            "day(Date) AS Day",
+            "date_format(Date, 'MMMM') AS Month",
+            "month(Date) AS Calendar_Month_Number",
+            "year(Date) AS Calendar_Year",
+            "month(Date) AS Fiscal_Month_Number",
+            "year(Date) AS Fiscal_Year",
+            "weekofyear(Date) AS ISO_Week_Number",
         )
 
     def _dimension_city(self) -> DataFrame:
         nation, region = self.raw("nation"), self.raw("region")
-        return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-            F.col("n_nationkey").alias("City_Key"), F.col("n_name").alias("City"), F.col("r_name").alias("Region")
+        return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).selectExpr(
+            "n_nationkey AS City_Key", "n_name AS City", "r_name AS Region"
         )
 
     def _dimension_customer(self) -> DataFrame:
-        return self.raw("customer").select(
-            F.col("c_custkey").alias("Customer_Key"),
-            F.col("c_name").alias("Customer"),
-            F.col("c_mktsegment").alias("Buying_Group"),
-            F.lit(OPENED).alias("Valid_From"),
-            F.lit(CLOSES).alias("Valid_To"),
+        return self.raw("customer").selectExpr(
+            "c_custkey AS Customer_Key",
+            "c_name AS Customer",
+            "c_mktsegment AS Buying_Group",
+            f"CAST({day(OPENED)} AS TIMESTAMP) AS Valid_From",
+            "CAST(DATE'9999-12-31' AS TIMESTAMP) AS Valid_To",
         )
 
     def _dimension_employee(self) -> DataFrame:
         """Each supplier's account manager."""
-        return self.raw("supplier").select(
-            F.col("s_suppkey").alias("Employee_Key"),
-            F.concat(F.lit("Manager of "), "s_name").alias("Employee"),
-            (F.col("s_suppkey") % 2 == 0).alias("Is_Salesperson"),
+        return self.raw("supplier").selectExpr(
+            "s_suppkey AS Employee_Key", "'Manager of ' || s_name AS Employee", "s_suppkey % 2 = 0 AS Is_Salesperson"
         )
 
     def _dimension_stock_item(self) -> DataFrame:
-        price = _money(_units("p_retailprice"))
-        return self.raw("part").select(
-            F.col("p_partkey").alias("Stock_Item_Key"),
-            F.col("p_name").alias("Stock_Item"),
-            F.col("p_brand").alias("Brand"),
-            F.col("p_size").cast("string").alias("Size"),
-            price.alias("Unit_Price"),
-            _money(F.expr("(cast(rint(p_retailprice * 100) as bigint) * 140 + 50) div 100")).alias(
-                "Recommended_Retail_Price"
-            ),
+        price = _cents("p_retailprice")
+        return self.raw("part").selectExpr(
+            "p_partkey AS Stock_Item_Key",
+            "p_name AS Stock_Item",
+            "p_brand AS Brand",
+            "CAST(p_size AS STRING) AS Size",
+            f"{_money(price)} AS Unit_Price",
+            f"{_money(f'({price} * 140 + 50) div 100')} AS Recommended_Retail_Price",
         )
 
     def _dimension_supplier(self) -> DataFrame:
-        return self.raw("supplier").select(F.col("s_suppkey").alias("Supplier_Key"), F.col("s_name").alias("Supplier"))
+        return self.raw("supplier").selectExpr("s_suppkey AS Supplier_Key", "s_name AS Supplier")
 
     def _dimension_payment_method(self) -> DataFrame:
-        """The order priorities stand for payment methods; reduced before the shuffle."""
-        return self.raw("orders").select(*self._payment_method("Payment_Method")).distinct()
+        """The order priorities stand for payment methods."""
+        name = "substring(o_orderpriority, 3, 40) AS Payment_Method"
+        return self.raw("orders").selectExpr(_PAYMENT_METHOD_KEY, name).distinct()
 
     def _dimension_transaction_type(self) -> DataFrame:
-        return self.raw("lineitem").select(*self._transaction_type("Transaction_Type")).distinct()
-
-    @staticmethod
-    def _payment_method(name: str | None = None) -> list[Column]:
-        key = F.substring("o_orderpriority", 1, 1).cast("int").alias("Payment_Method_Key")
-        return [key, F.substring("o_orderpriority", 3, 40).alias(name)] if name else [key]
-
-    @staticmethod
-    def _transaction_type(name: str | None = None) -> list[Column]:
-        returned = F.col("l_returnflag") == "R"
-        key = F.when(returned, 2).otherwise(1).alias("Transaction_Type_Key")
-        label = F.when(returned, "Stock Receipt").otherwise("Stock Issue")
-        return [key, label.alias(name)] if name else [key]
+        """Returned lines stand for receipts, the others for issues."""
+        return self.spark.range(1, 3, 1, 1).selectExpr(
+            "CAST(id AS INT) AS Transaction_Type_Key",
+            "element_at(array('Stock Issue', 'Stock Receipt'), CAST(id AS INT)) AS Transaction_Type",
+        )
 
     # facts
 
     def _fact_sale(self, columns: tuple[str, ...], during: During | None) -> DataFrame:
-        by_line, by_order, by_customer = _sale_from_line(), _sale_from_order(), _sale_from_customer()
-        available = {**by_line, **by_order, **by_customer}
-        wanted = columns or tuple({**by_line, **by_order})
+        available = {**_SALE_FROM_LINE, **_SALE_FROM_ORDER, **_SALE_FROM_CUSTOMER}
+        wanted = columns or tuple({**_SALE_FROM_LINE, **_SALE_FROM_ORDER})
         lines = self.raw("lineitem")
-        if during and during[0] == "Invoice_Date_Key":
+        by_invoice = during is not None and during[0] == "Invoice_Date_Key"
+        if by_invoice:
             # On the stored timestamp, so that the scan can skip row groups.
-            stored = lines.schema["l_shipdate"].dataType
             _, lo, hi = during
             if lo is not None:
-                lines = lines.filter(F.col("l_shipdate") >= F.lit(str(lo)).cast(stored))
+                lines = lines.filter(f"l_shipdate >= TIMESTAMP_NTZ'{lo} 00:00:00'")
             if hi is not None:
-                lines = lines.filter(F.col("l_shipdate") < F.lit(str(hi + dt.timedelta(days=1))).cast(stored))
+                lines = lines.filter(f"l_shipdate < TIMESTAMP_NTZ'{hi + dt.timedelta(days=1)} 00:00:00'")
         # Only the joins that the wanted columns need: each fact key resolves.
-        of_customer = set(wanted) & set(by_customer)
-        if of_customer or set(wanted) & set(by_order):
+        of_customer = set(wanted) & set(_SALE_FROM_CUSTOMER)
+        if of_customer or set(wanted) & set(_SALE_FROM_ORDER):
             orders = self.raw("orders").select("o_orderkey", "o_custkey")
-            lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            lines = lines.join(orders, F.expr("l_orderkey = o_orderkey"))
         if of_customer:
             customers = self.raw("customer").select("c_custkey", "c_nationkey")
-            lines = lines.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        sales = lines.select(*[available[c].alias(c) for c in wanted])
-        return sales if during is None or during[0] == "Invoice_Date_Key" else within(sales, during)
+            lines = lines.join(customers, F.expr("o_custkey = c_custkey"))
+        sales = lines.selectExpr(*[f"{available[c]} AS {c}" for c in wanted])
+        return sales if by_invoice else within(sales, during)
 
     def _fact_order(self) -> DataFrame:
         n_employees = self.raw("supplier").agg(F.count(F.lit(1))).scalar()
-        day = F.col("o_orderdate").cast("date")
-        return self.raw("orders").select(
-            F.col("o_orderkey").alias("Order_Key"),
-            F.col("o_custkey").alias("Customer_Key"),
-            day.alias("Order_Date_Key"),
-            F.date_add(day, (F.col("o_orderkey") % 5).cast("int")).alias("Picked_Date_Key"),
-            (F.col("o_orderkey") % n_employees).alias("Salesperson_Key"),
-            ((F.col("o_orderkey") + 1) % n_employees).alias("Picker_Key"),
-            _money(_units("o_totalprice")).alias("Total_Including_Tax"),
+        ordered = "CAST(o_orderdate AS DATE)"
+        return self.raw("orders").withColumn("__n", n_employees).selectExpr(
+            "o_orderkey AS Order_Key",
+            "o_custkey AS Customer_Key",
+            f"{ordered} AS Order_Date_Key",
+            f"date_add({ordered}, CAST(o_orderkey % 5 AS INT)) AS Picked_Date_Key",
+            "o_orderkey % __n AS Salesperson_Key",
+            "(o_orderkey + 1) % __n AS Picker_Key",
+            f"{_money(_cents('o_totalprice'))} AS Total_Including_Tax",
         )
 
     def _fact_purchase(self) -> DataFrame:
-        finalized = F.col("l_linestatus") == "F"
-        outers = F.col("l_quantity").cast("int")
-        return self.raw("lineitem").select(
-            F.expr("l_orderkey * 10 + l_linenumber").alias("Purchase_Key"),
-            F.col("l_shipdate").cast("date").alias("Date_Key"),
-            F.col("l_suppkey").alias("Supplier_Key"),
-            F.col("l_partkey").alias("Stock_Item_Key"),
-            outers.alias("Ordered_Outers"),
-            (outers * 12).alias("Ordered_Quantity"),
-            F.when(finalized, outers).otherwise(F.expr("cast(l_quantity as int) div 2").cast("int")).alias(
-                "Received_Outers"
-            ),
-            finalized.alias("Is_Order_Finalized"),
+        outers = "CAST(l_quantity AS INT)"
+        return self.raw("lineitem").selectExpr(
+            "l_orderkey * 10 + l_linenumber AS Purchase_Key",
+            "CAST(l_shipdate AS DATE) AS Date_Key",
+            "l_suppkey AS Supplier_Key",
+            "l_partkey AS Stock_Item_Key",
+            f"{outers} AS Ordered_Outers",
+            f"{outers} * 12 AS Ordered_Quantity",
+            f"IF(l_linestatus = 'F', {outers}, CAST({outers} div 2 AS INT)) AS Received_Outers",
+            "l_linestatus = 'F' AS Is_Order_Finalized",
         )
 
     def _fact_movement(self) -> DataFrame:
-        quantity = F.col("l_quantity").cast("int")
-        return self.raw("lineitem").select(
-            F.expr("l_orderkey * 10 + l_linenumber").alias("Movement_Key"),
-            F.col("l_shipdate").cast("date").alias("Date_Key"),
-            F.col("l_partkey").alias("Stock_Item_Key"),
-            F.col("l_suppkey").alias("Supplier_Key"),
-            *self._transaction_type(),
-            F.when(F.col("l_returnflag") == "R", quantity).otherwise(-quantity).alias("Quantity"),
+        quantity = "CAST(l_quantity AS INT)"
+        return self.raw("lineitem").selectExpr(
+            "l_orderkey * 10 + l_linenumber AS Movement_Key",
+            "CAST(l_shipdate AS DATE) AS Date_Key",
+            "l_partkey AS Stock_Item_Key",
+            "l_suppkey AS Supplier_Key",
+            _TRANSACTION_TYPE_KEY,
+            f"IF(l_returnflag = 'R', {quantity}, -{quantity}) AS Quantity",
         )
 
     def _fact_stock_holding(self) -> DataFrame:
-        k = F.col("p_partkey")
-        return self.raw("part").select(
-            k.alias("Stock_Holding_Key"),
-            k.alias("Stock_Item_Key"),
-            (k * 37 % 100).cast("int").alias("Quantity_On_Hand"),
-            (k * 17 % 60).cast("int").alias("Reorder_Level"),
+        return self.raw("part").selectExpr(
+            "p_partkey AS Stock_Holding_Key",
+            "p_partkey AS Stock_Item_Key",
+            "CAST(p_partkey * 37 % 100 AS INT) AS Quantity_On_Hand",
+            "CAST(p_partkey * 17 % 60 AS INT) AS Reorder_Level",
         )
 
     def _fact_transaction(self) -> DataFrame:
-        total = _units("o_totalprice")
-        status = F.col("o_orderstatus")
-        open_part = F.when(status == "F", F.lit(0)).when(status == "P", F.expr("cast(rint(o_totalprice * 100) as bigint) div 2"))
-        return self.raw("orders").select(
-            F.col("o_orderkey").alias("Transaction_Key"),
-            F.col("o_orderdate").cast("date").alias("Date_Key"),
-            F.col("o_custkey").alias("Customer_Key"),
-            F.expr("o_custkey - o_custkey % 10").alias("Bill_To_Customer_Key"),
-            *self._payment_method(),
-            _money(total).alias("Total_Including_Tax"),
-            _money(open_part.otherwise(total)).alias("Outstanding_Balance"),
-            (status == "F").alias("Is_Finalized"),
+        total = _cents("o_totalprice")
+        still_open = f"CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'P' THEN {total} div 2 ELSE {total} END"
+        return self.raw("orders").selectExpr(
+            "o_orderkey AS Transaction_Key",
+            "CAST(o_orderdate AS DATE) AS Date_Key",
+            "o_custkey AS Customer_Key",
+            "o_custkey - o_custkey % 10 AS Bill_To_Customer_Key",
+            _PAYMENT_METHOD_KEY,
+            f"{_money(total)} AS Total_Including_Tax",
+            f"{_money(still_open)} AS Outstanding_Balance",
+            "o_orderstatus = 'F' AS Is_Finalized",
         )
 
     # enrichment
 
-    def share_of_keys(self, table: str, key: str, divisor: int) -> Column:
-        """Keys up to the given part of the largest one, as a scalar subquery."""
-        bound = self.table(table, key).agg(F.expr(f"max({key}) div {divisor}")).scalar()
-        return F.col(key) <= bound
-
     def changed_customers(self) -> Column:
-        return self.share_of_keys("Dimension_Customer", "Customer_Key", 10)
+        """The first tenth of the keys, by a scalar subquery."""
+        return F.col("Customer_Key") <= self.raw("customer").selectExpr("max(c_custkey) div 10").scalar()
 
     def changed_items(self) -> Column:
-        return self.share_of_keys("Dimension_Stock_Item", "Stock_Item_Key", 2)
+        """The first half of the keys."""
+        return F.col("Stock_Item_Key") <= self.raw("part").selectExpr("max(p_partkey) div 2").scalar()
 
-    def settings(self) -> enrich.Enrichment:
-        return enrich.Enrichment(
-            changed_customers=self.changed_customers(),
-            group_recode=GROUP_RECODE,
-            group_era=GROUP_ERA,
+    def _dimension_customer_scd2(self) -> DataFrame:
+        e = enrich.Enrichment(
+            changed_customers=self.changed_customers(), group_recode=GROUP_RECODE, group_era=GROUP_ERA
+        )
+        return enrich.customer_versions(self._dimension_customer(), e)
+
+    def _dimension_stockitem_scd2(self) -> DataFrame:
+        return self.item_versions(unchanged_from=OPENED)
+
+    def item_versions(self, unchanged_from: dt.date | None) -> DataFrame:
+        e = enrich.Enrichment(
             changed_items=self.changed_items(),
             price_eras=PRICE_ERAS,
             price_current_from=PRICE_CURRENT_FROM,
-            unchanged_items_from=OPENED.date(),
-            substitution_rows=None,
-            substitutes_per_item=F.expr("1 + (Stock_Item_Key div 3) % 3"),
-            first_key=0,
+            unchanged_items_from=unchanged_from,
         )
-
-    def _dimension_customer_scd2(self) -> DataFrame:
-        return enrich.customer_versions(self._dimension_customer(), self.settings())
-
-    def _dimension_stockitem_scd2(self) -> DataFrame:
-        return enrich.stock_item_versions(self._dimension_stock_item(), self.settings())
+        return enrich.stock_item_versions(self._dimension_stock_item(), e)
 
     def _dimension_customersegment(self) -> DataFrame:
         return generators.segment_dimension(self.spark)
 
     def _bridge_customersegment(self) -> DataFrame:
-        return enrich.customer_segments(self._dimension_customer(), self.settings())
+        return enrich.customer_segments(self._dimension_customer(), enrich.Enrichment(first_key=0))
 
     def _bridge_suppliersubstitution(self) -> DataFrame:
-        return enrich.supplier_substitutes(self._dimension_stock_item(), self._dimension_supplier(), self.settings())
+        e = enrich.Enrichment(
+            substitution_rows=None, substitutes_per_item="1 + (Stock_Item_Key div 3) % 3", first_key=0
+        )
+        return enrich.supplier_substitutes(self._dimension_stock_item(), self._dimension_supplier(), e)
 
     def _vw_customer_current(self) -> DataFrame:
         return scd2.current_versions(self._dimension_customer_scd2())

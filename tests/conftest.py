@@ -9,8 +9,7 @@ from starmart.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = local_session("8", 4, "tests")
     session.sparkContext.setLogLevel("ERROR")
-    session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))
     return session
