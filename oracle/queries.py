@@ -233,6 +233,14 @@ QUERIES: dict[str, str] = {
         f"SELECT g.Segment, {weighted('gross_c', 'weighted_revenue')} FROM fact_sale s {_SEGMENT} GROUP BY 1",
         "fact_sale", "bridge_customersegment", "dimension_customersegment",
     ),
+    "q08_segment_revenue_unallocated": q(
+        f"""SELECT coalesce(g.Segment, 'Unallocated') AS Segment,
+                   CAST(CAST((sum(gross_c * coalesce(weight_c, 100)) + 50) // 100 AS BIGINT) / 100 AS DOUBLE)
+                       AS weighted_revenue
+            FROM fact_sale s LEFT JOIN bridge_customersegment b ON s.Customer_Key = b.Customer_Key AND b.Customer_Key >= 1
+            LEFT JOIN dimension_customersegment g ON b.Segment_Key = g.Segment_Key GROUP BY 1""",
+        "fact_sale", "bridge_customersegment", "dimension_customersegment",
+    ),
     "q09_multi_segment_customers": q(
         f"""SELECT c.Customer, g.Segment, {money('weight_c', 'Allocation_Weight')} FROM bridge_customersegment b
             JOIN dimension_customer c ON b.Customer_Key = c.Customer_Key
@@ -423,6 +431,9 @@ QUERIES: dict[str, str] = {
         "dimension_customer_scd2",
     ),
     "p13_current_stock_items": _item_versions("Is_Current"),
+    "a11_key_ranges": """SELECT 'Dimension_Customer' AS table_name, min(c_custkey) AS first_key, max(c_custkey) AS last_key FROM customer
+           UNION ALL SELECT 'Dimension_Stock_Item', min(p_partkey), max(p_partkey) FROM part
+           UNION ALL SELECT 'Dimension_Supplier', min(s_suppkey), max(s_suppkey) FROM supplier""",
     "a15_version_counts": q(
         """SELECT Customer_Key, count(*) AS n_versions FROM dimension_customer_scd2 GROUP BY 1 HAVING count(*) > 1""",
         "dimension_customer_scd2",

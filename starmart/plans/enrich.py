@@ -9,7 +9,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starmart.operators import generators, scd2
-from starmart.sources.tables import load_base_tables, summary_frame, write_table, write_view
+from starmart.sources.tables import Layout, load_base_tables, summary_frame, write_table, write_view
 
 # The recoding of buying groups and the eras of prices and groups.
 GROUP_RECODE = {"Tailspin Toys": "Wingtip Toys", "Wingtip Toys": "Tailspin Toys", "N/A": "Tailspin Toys"}
@@ -80,6 +80,7 @@ def enrich(
     fmt: str = "parquet",
     overwrite: bool = True,
     e: Enrichment = Enrichment(),
+    layout: Layout | None = None,
 ) -> list[tuple[str, int]]:
     """Write the enrichment tables and views beside the base tables; returns row counts."""
     customers, items, suppliers = (
@@ -92,7 +93,10 @@ def enrich(
         "Dimension_CustomerSegment": generators.segment_dimension(spark),
         "Bridge_CustomerSegment": customer_segments(customers, e),
     }
-    counts = [(name, write_table(df, name, schema, fmt, overwrite)) for name, df in frames.items()]
+    counts = [
+        (name, write_table(df, name, schema, fmt, overwrite, **(layout or {}).get(name, {})))
+        for name, df in frames.items()
+    ]
     for view, table in (
         ("vw_Customer_Current", "Dimension_Customer_SCD2"),
         ("vw_StockItem_Current", "Dimension_StockItem_SCD2"),
@@ -108,8 +112,9 @@ def build_warehouse(
     fmt: str = "parquet",
     overwrite: bool = True,
     e: Enrichment = Enrichment(),
+    layout: Layout | None = None,
 ) -> DataFrame:
     """Load, enrich and add views; returns the load summary."""
-    counts = load_base_tables(spark, csv_root, schema, fmt, overwrite)
-    counts += enrich(spark, schema, fmt, overwrite, e)
+    counts = load_base_tables(spark, csv_root, schema, fmt, overwrite, layout=layout)
+    counts += enrich(spark, schema, fmt, overwrite, e, layout)
     return summary_frame(spark, counts)

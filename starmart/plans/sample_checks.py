@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from starmart.functions.columns import OPEN_END
 from starmart.operators import quality, scd2
+from starmart.operators.bridge import weighted_agg
 from starmart.operators.scd2 import Era
 from starmart.session import scratch_path
 from starmart.sources import typed_csv
@@ -75,6 +77,36 @@ def _closed_group(mart: SampleMart) -> DataFrame:
     return quality.current_violations(closed, "Customer_Key", F.lit(OPEN_END))
 
 
+def _unallocated(mart: SampleMart) -> DataFrame:
+    """Segment revenue where the bridge starts at key 1, so that customer 0 has no segment."""
+    return weighted_agg(
+        mart.table("Fact_Sale", "Customer_Key", "Total_Including_Tax"),
+        mart.table("Bridge_CustomerSegment").filter("Customer_Key >= 1"),
+        mart.table("Dimension_CustomerSegment"),
+        "Customer_Key",
+        "Segment_Key",
+        "Segment",
+        {"weighted_revenue": "Total_Including_Tax"},
+        unallocated=True,
+    )
+
+
+def _key_ranges(mart: SampleMart) -> DataFrame:
+    """Smallest and largest key per dimension."""
+    keys = {
+        "Dimension_Customer": "Customer_Key",
+        "Dimension_Stock_Item": "Stock_Item_Key",
+        "Dimension_Supplier": "Supplier_Key",
+    }
+    ranges = [
+        mart.table(table, key)
+        .agg(F.min(key).alias("first_key"), F.max(key).alias("last_key"))
+        .select(F.lit(table).alias("table_name"), "first_key", "last_key")
+        for table, key in keys.items()
+    ]
+    return reduce(DataFrame.unionByName, ranges)
+
+
 _SUBSTITUTE = ["Stock_Item_Key", "Primary_Supplier_Key", "Substitute_Supplier_Key", "Relationship_Type"]
 
 
@@ -124,7 +156,7 @@ def _table_round_trip(mart: SampleMart) -> DataFrame:
     orders = mart.table("Fact_Order", "Order_Key", "Customer_Key", "Order_Date_Key", "Total_Including_Tax")
     spaced = orders.toDF(*[c.replace("_", " ") for c in orders.columns])
     write_table(spaced, name, "default", path=path)
-    write_table(spaced.limit(0), name, "default", overwrite=False)
+    write_table(spaced.unionByName(spaced), name, "default", overwrite=False)
     return mart.spark.table(f"default.{name}")
 
 
@@ -138,6 +170,8 @@ def _export_summary(mart: SampleMart) -> DataFrame:
 
 
 CHECKS: dict[str, Callable[[SampleMart], DataFrame]] = {
+    "q08_segment_revenue_unallocated": _unallocated,
+    "a11_key_ranges": _key_ranges,
     "e01_current_versions": lambda m: scd2.scd2_current(_customers(m)),
     "e02_history_unknown_null": lambda m: _history(m, "null"),
     "e02_history_unknown_kept": lambda m: _history(m, "keep"),

@@ -8,9 +8,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "starmart") -> SparkSession:
+def local_session(
+    cores: str = "*", shuffle_partitions: int = 8, app: str = "starmart", warehouse: str | None = None
+) -> SparkSession:
     """A single-machine session for tests and benchmarks; clusters bring their own."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", shuffle_partitions)
@@ -19,8 +21,10 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "sta
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    if warehouse:
+        builder = builder.config("spark.sql.warehouse.dir", warehouse)
+    return builder.getOrCreate()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

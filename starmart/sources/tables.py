@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from starmart.sources.registry import TABLES
 from starmart.sources.typed_csv import read_typed_csv
 
+# Table name -> further arguments of write_table.
+Layout = dict[str, dict]
+
 
 def underscored(df: DataFrame) -> DataFrame:
     """Column names with underscores for spaces, in one projection."""
@@ -27,7 +30,8 @@ def write_table(
 
     ``overwrite`` replaces the table, its schema included; otherwise an existing
     table is left alone. The count is taken while writing. ``bucket_by`` (number,
-    column) lets later joins and sums on that column run without a shuffle.
+    column) lets later joins and sums on that column run without a shuffle; leave it
+    where one key holds much of the table, since a bucket is read by one task.
     """
     spark = df.sparkSession
     full = f"{schema}.{name}"
@@ -83,12 +87,16 @@ def load_base_tables(
     overwrite: bool = True,
     on_error: str = "fail",
     names: list[str] | None = None,
+    layout: Layout | None = None,
 ) -> list[tuple[str, int]]:
-    """Load the registered tables from ``<csv_root>/<name>.csv``; returns row counts."""
+    """Load the registered tables from ``<csv_root>/<name>.csv``; returns row counts.
+
+    ``layout`` gives ``write_table`` options per table, say buckets by customer.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
     counts = []
     for name in names or list(TABLES):
         spec = TABLES[name]
         df = read_typed_csv(spark, f"{csv_root.rstrip('/')}/{spec.file_name}", spec, on_error)
-        counts.append((name, write_table(df, name, schema, fmt, overwrite)))
+        counts.append((name, write_table(df, name, schema, fmt, overwrite, **(layout or {}).get(name, {}))))
     return counts

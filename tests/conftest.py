@@ -9,7 +9,7 @@ from starmart.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("8", 4, "tests")
+def spark(tmp_path_factory):
+    session = local_session("8", 4, "tests", str(tmp_path_factory.mktemp("warehouse")))
     session.sparkContext.setLogLevel("ERROR")
     return session

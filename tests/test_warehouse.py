@@ -191,6 +191,28 @@ def test_second_load_keeps_or_replaces(spark, mart):
     assert write_table(mart.table("Dimension_Supplier").limit(3), "Scratch", SCHEMA) == 3
 
 
+def test_buckets_by_customer_spare_the_shuffles(spark, mart):
+    """Fact, versions and bridge in the same buckets: nothing is shuffled by customer."""
+    tables = ("Fact_Sale", "Dimension_Customer_SCD2", "Bridge_CustomerSegment")
+    for name in tables:
+        write_table(mart.table(name), f"Bucketed_{name}", SCHEMA, bucket_by=(4, "Customer_Key"))
+
+    class Bucketed(CatalogMart):
+        def table(self, name, *columns, during=None):
+            return super().table(f"Bucketed_{name}" if name in tables else name, *columns, during=during)
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for name in ("q08_segment_revenue", "q13_segment_and_historical_group"):
+            bucketed = QUESTIONS[name](Bucketed(spark, SCHEMA))
+            assert "hashpartitioning(Customer_Key" not in bucketed._jdf.queryExecution().executedPlan().toString()
+            assert sorted(map(str, bucketed.collect())) == sorted(map(str, QUESTIONS[name](mart).collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_ties_and_zero_totals(spark):
     day = dt.date(2015, 1, 1)
     sale = spark.createDataFrame(
