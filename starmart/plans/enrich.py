@@ -113,8 +113,12 @@ def build_warehouse(
     overwrite: bool = True,
     e: Enrichment = Enrichment(),
     layout: Layout | None = None,
+    on_error: str = "fail",
+    multi_line: bool = False,
 ) -> DataFrame:
     """Load, enrich and add views; returns the load summary."""
-    counts = load_base_tables(spark, csv_root, schema, fmt, overwrite, layout=layout)
+    counts = load_base_tables(
+        spark, csv_root, schema, fmt, overwrite, on_error, layout=layout, multi_line=multi_line
+    )
     counts += enrich(spark, schema, fmt, overwrite, e, layout)
     return summary_frame(spark, counts)

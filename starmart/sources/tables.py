@@ -88,6 +88,7 @@ def load_base_tables(
     on_error: str = "fail",
     names: list[str] | None = None,
     layout: Layout | None = None,
+    multi_line: bool = False,
 ) -> list[tuple[str, int]]:
     """Load the registered tables from ``<csv_root>/<name>.csv``; returns row counts.
 
@@ -97,6 +98,6 @@ def load_base_tables(
     counts = []
     for name in names or list(TABLES):
         spec = TABLES[name]
-        df = read_typed_csv(spark, f"{csv_root.rstrip('/')}/{spec.file_name}", spec, on_error)
+        df = read_typed_csv(spark, f"{csv_root.rstrip('/')}/{spec.file_name}", spec, on_error, multi_line)
         counts.append((name, write_table(df, name, schema, fmt, overwrite, **(layout or {}).get(name, {}))))
     return counts

@@ -69,13 +69,15 @@ def export_csv(df: DataFrame, path: str, columns: list[str] | None = None) -> in
 def export_tables(spark: SparkSession, schema: str, out_dir: str, names: list[str] | None = None) -> DataFrame:
     """Export catalog tables to ``<out_dir>/<name>.csv``, with row counts and their total.
 
-    Tables whose spec lists columns export those; others all but binary ones.
+    Headers get their spaces back, so the loader can read the files. Tables whose
+    spec lists columns export those; others all but binary ones.
     """
     from starmart.sources.tables import summary_frame
 
     counts = []
     for name in names or list(TABLES):
-        df = spark.table(f"{schema}.{name}")
+        stored = spark.table(f"{schema}.{name}")
+        df = stored.toDF(*[c.replace("_", " ") for c in stored.columns])
         spec = TABLES.get(name)
         columns = list(_present(spec, df.columns)) if spec and spec.columns else None
         counts.append((name, export_csv(df, f"{out_dir.rstrip('/')}/{name}.csv", columns)))
@@ -83,10 +85,9 @@ def export_tables(spark: SparkSession, schema: str, out_dir: str, names: list[st
 
 
 def _present(spec: TableSpec, header: list[str]):
-    """A spec's export columns as this table spells them, spaces or underscores."""
-    spaced = {h.replace("_", " "): h for h in header}
+    """A spec's export columns as this table spells them."""
     for column in spec.columns:
         if column.startswith("* "):
-            yield from (h for s, h in spaced.items() if s.split(" ", 1)[-1] == column[2:])
+            yield from (h for h in header if h.split(" ", 1)[-1] == column[2:])
         else:
-            yield spaced[column]
+            yield column

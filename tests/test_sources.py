@@ -141,4 +141,4 @@ def test_export_of_catalog_tables(spark, tmp_path):
     out = export_tables(spark, "io_test", str(tmp_path / "csv"), ["Dimension_Employee"])
     assert [tuple(r) for r in out.collect()] == [("Dimension_Employee", 1), ("TOTAL", 1)]
     header = spark.read.option("header", True).csv(str(tmp_path / "csv" / "Dimension_Employee.csv")).columns
-    assert header == employee.columns[:-1]
+    assert header == [c.replace("_", " ") for c in employee.columns[:-1]]
