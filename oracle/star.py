@@ -21,7 +21,7 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
     "fact_sale": (
         ("line_cents",),
         """SELECT l_orderkey * 10 + l_linenumber AS Sale_Key, o_custkey AS Customer_Key,
-                  o_custkey - o_custkey % 10 AS Bill_To_Customer_Key, l_partkey AS Stock_Item_Key,
+                  o_custkey - o_custkey % 10 AS Bill_To_Customer_Key, l_orderkey % 25 AS City_Key, l_partkey AS Stock_Item_Key,
                   l_suppkey AS Salesperson_Key, CAST(l_shipdate AS DATE) AS Invoice_Date_Key,
                   CAST(l_shipdate AS DATE) + l_linenumber AS Delivery_Date_Key,
                   CAST(l_quantity AS BIGINT) AS Quantity,
@@ -36,7 +36,7 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "dimension_customer": (
         (),
-        "SELECT c_custkey AS Customer_Key, c_name AS Customer, c_mktsegment AS Buying_Group, c_nationkey FROM customer",
+        "SELECT c_custkey AS Customer_Key, c_name AS Customer, c_mktsegment AS Buying_Group FROM customer",
     ),
     "dimension_employee": (
         (),

@@ -11,9 +11,12 @@ from starmart.plans.mart import Mart, whole_year
 _REVENUE = {"revenue": "Total_Including_Tax"}
 
 
-def _by_calendar(mart: Mart, fact: DataFrame, date_key: str, attributes: list[str], measures: dict[str, str]) -> DataFrame:
+def _by_calendar(
+    mart: Mart, fact: DataFrame, date_key: str, attributes: list[str], measures: dict[str, str]
+) -> DataFrame:
     """Sums per calendar attribute; only one row per day reaches the calendar join."""
-    return sum_by_attribute(fact, mart.table("Dimension_Date", "Date", *attributes), date_key, "Date", attributes, measures)
+    calendar = mart.table("Dimension_Date", "Date", *attributes)
+    return sum_by_attribute(fact, calendar, date_key, "Date", attributes, measures)
 
 
 def total_revenue(mart: Mart) -> DataFrame:

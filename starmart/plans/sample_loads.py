@@ -55,7 +55,8 @@ def typed_load(mart: SampleMart, name: str) -> DataFrame:
     spec = TABLES[name]
     source, key = SOURCES[name]
     cells = [
-        f"{_cell(kind, key, i)} AS `{column.replace('* ', 'SRC ')}`" for i, (column, kind) in enumerate(spec.types.items())
+        f"{_cell(kind, key, i)} AS `{column.replace('* ', 'SRC ')}`"
+        for i, (column, kind) in enumerate(spec.types.items())
     ]
     path = scratch_path(mart.spark, name)
     export_csv(mart.raw(source).selectExpr(*cells), path)

@@ -49,7 +49,8 @@ def segment_revenue_by_year(mart: Mart) -> DataFrame:
     calendar = mart.table("Dimension_Date", "Date", "Calendar_Year")
     dated = star_join(sale, calendar, "Invoice_Date_Key", "Date", ["Calendar_Year"])
     measures = {"weighted_revenue": "Total_Including_Tax"}
-    return weighted_agg(dated, *_bridge(mart), *_SEGMENT, measures, ["Calendar_Year"]).orderBy("Calendar_Year", F.desc("weighted_revenue"), "Segment")
+    revenue = weighted_agg(dated, *_bridge(mart), *_SEGMENT, measures, ["Calendar_Year"])
+    return revenue.orderBy("Calendar_Year", F.desc("weighted_revenue"), "Segment")
 
 
 def multi_segment_customers(mart: Mart) -> DataFrame:
@@ -78,7 +79,8 @@ def segment_and_historical_group(mart: Mart, year: int = 2015, closed: str = "bo
     grouped = temporal_join(daily, versions, "Customer_Key", "Invoice_Date_Key", ["Buying_Group"], closed=closed)
     # Still partitioned by customer after a sorted join, so this sum needs no shuffle there.
     per_group = grouped.groupBy("Customer_Key", "Buying_Group").agg(F.sum("weighted_revenue").alias("weighted_revenue"))
-    return weighted_sum(per_group, *_bridge(mart), *_SEGMENT, ["weighted_revenue"], ["Buying_Group"]).orderBy("Segment", F.desc("weighted_revenue"), "Buying_Group")
+    revenue = weighted_sum(per_group, *_bridge(mart), *_SEGMENT, ["weighted_revenue"], ["Buying_Group"])
+    return revenue.orderBy("Segment", F.desc("weighted_revenue"), "Buying_Group")
 
 
 def double_count(mart: Mart, year: int | None = None) -> DataFrame:

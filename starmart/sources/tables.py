@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from starmart.sources.registry import TABLES
@@ -65,10 +67,11 @@ def summary_frame(spark: SparkSession, counts: list[tuple[str, int]]) -> DataFra
 
 def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
     """Row counts per named frame and their total, as one lazy plan."""
-    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows") for n, df in frames.items()]
-    counts = parts[0]
-    for part in parts[1:]:
-        counts = counts.unionByName(part)
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+        for name, df in frames.items()
+    ]
+    counts = reduce(DataFrame.unionByName, parts)
     return counts.rollup("table_name").agg(F.sum("n_rows").alias("n_rows")).select(
         F.coalesce("table_name", F.lit("TOTAL")).alias("table_name"), "n_rows"
     )
