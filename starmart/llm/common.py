@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def shipped(spark: SparkSession) -> SparkSession:
+    """`spark`, after its workers were given this package's source, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent.parent
+        archive = Path(tempfile.mkdtemp(prefix="starmart-code-")) / "starmart.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, str(source.relative_to(package.parent)))
+        context.addPyFile(str(archive))
+        _SHIPPED.add(context.applicationId)
+    return spark
+
+
 def by_batch(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """`function` on each Arrow batch of `df`."""
 
@@ -42,6 +61,7 @@ def by_batch(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.Rec
         for batch in batches:
             yield from function(batch)
 
+    shipped(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starmart.llm.packing import packed_documents
 from starmart.llm.quality_rules import judged
 from starmart.llm.tables import table
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces of at most 2048 tokens, packed into sequences."""
+    return packed_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base failure and host verdict of every document; its source is its host."""
     return judged(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_quality_rules,)}
+QUERIES = {f.__name__: f for f in (op4_best_fit_packing, op5_quality_rules)}
