@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from starmart.llm.packing import packed_documents
 from starmart.llm.quality_rules import judged
 from starmart.llm.tables import table
+from starmart.llm.token_counts import token_counts
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,4 +20,9 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_best_fit_packing, op5_quality_rules)}
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document by the byte-level vocabulary."""
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op4_best_fit_packing, op5_quality_rules, op6_token_counts)}
