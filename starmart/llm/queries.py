@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starmart.llm.packing import packed_documents
 from starmart.llm.quality_rules import judged
+from starmart.llm.secrets import digest, secret_spans
 from starmart.llm.tables import table
 from starmart.llm.token_counts import token_counts
 
@@ -25,4 +26,9 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_best_fit_packing, op5_quality_rules, op6_token_counts)}
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: fixed patterns and random-looking strings."""
+    return digest(secret_spans(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (op4_best_fit_packing, op5_quality_rules, op6_token_counts, op7_secret_scans)}
