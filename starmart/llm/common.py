@@ -189,3 +189,13 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     at = np.cumsum(lengths)[:-1]
     out[at] = starts[1:] - (starts[:-1] + lengths[:-1] - 1)
     return np.cumsum(out)
+
+
+def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The distinct words among the spans of `data`, as binary, and for each span the place of its word there."""
+    sizes = ends - starts
+    offsets = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(sizes, out=offsets[1:])
+    joined = data[ranges(starts, sizes)]
+    found = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(joined)]).dictionary_encode()
+    return found.dictionary, np.asarray(found.indices)

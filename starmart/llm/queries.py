@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starmart.llm.language_id import held_out_predictions
 from starmart.llm.packing import packed_documents
 from starmart.llm.quality_rules import judged
 from starmart.llm.secrets import digest, secret_spans
@@ -31,4 +32,9 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(secret_spans(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op4_best_fit_packing, op5_quality_rules, op6_token_counts, op7_secret_scans)}
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from four of five folds."""
+    return held_out_predictions(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op4_best_fit_packing, op5_quality_rules, op6_token_counts, op7_secret_scans, op8_language_id)}

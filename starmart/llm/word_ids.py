@@ -11,7 +11,7 @@ import os
 import numpy as np
 import pyarrow as pa
 
-from starmart.llm.common import flat, ranges, words
+from starmart.llm.common import distinct_words, flat, ranges, words
 
 #: Distinct words that a task remembers; beyond that it forgets all and goes on.
 REMEMBERED = 300_000
@@ -67,17 +67,13 @@ class WordIds:
         """All ids of the texts (no nulls), and where each text's ids begin (with one more entry for the end)."""
         data, begins = flat(texts)
         starts, ends, first = words(data, begins)
-        sizes = ends - starts
-        offsets = np.zeros(len(starts) + 1, np.int32)
-        np.cumsum(sizes, out=offsets[1:])
-        joined = data[ranges(starts, sizes)]
-        found = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(joined)]).dictionary_encode()
-        distinct = found.dictionary.to_pylist()
+        found, at = distinct_words(data, starts, ends)
+        distinct = found.to_pylist()
         if len(self.known) > REMEMBERED:
             self._forget()
         if new := [w for w in distinct if w not in self.known]:
             self._learn(new)
-        places = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[np.asarray(found.indices)]
+        places = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[at]
         counts = self.begins[places + 1] - self.begins[places]
         ids = self.ids[ranges(self.begins[places], counts)]
         ends_at = np.zeros(len(places) + 1, np.int64)
