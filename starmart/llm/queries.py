@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starmart.llm.html_text import page_texts
 from starmart.llm.language_id import held_out_predictions
 from starmart.llm.packing import packed_documents
 from starmart.llm.quality_rules import judged
@@ -37,4 +38,9 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held_out_predictions(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_best_fit_packing, op5_quality_rules, op6_token_counts, op7_secret_scans, op8_language_id)}
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return page_texts(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op4_best_fit_packing, op5_quality_rules, op6_token_counts, op7_secret_scans, op8_language_id, op9_html_extraction)}
