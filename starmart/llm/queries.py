@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starmart.llm.fingerprints import compared
 from starmart.llm.html_text import page_texts
 from starmart.llm.language_id import held_out_predictions
 from starmart.llm.packing import packed_documents
@@ -13,6 +14,11 @@ from starmart.llm.tables import table
 from starmart.llm.token_counts import token_counts
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bottom-k fingerprints of every document and of its edited text."""
+    return compared(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces of at most 2048 tokens, packed into sequences."""
     return packed_documents(table(spark, sf_dir, "documents"))
@@ -43,4 +49,4 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_texts(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op4_best_fit_packing, op5_quality_rules, op6_token_counts, op7_secret_scans, op8_language_id, op9_html_extraction)}
+QUERIES = {f.__name__: f for f in (op3_document_fingerprints, op4_best_fit_packing, op5_quality_rules, op6_token_counts, op7_secret_scans, op8_language_id, op9_html_extraction)}
