@@ -89,13 +89,16 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[begins[0] : begins[-1]], begins - begins[0]
 
 
-def words(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, begins: np.ndarray, cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Begin and end of each word `[^\\x20\\x09-\\x0D]+` in the bytes, and for each text its first word (one more for the end).
 
     White space is ASCII here, so byte positions never fall inside a code point; no word crosses a text.
+    `cuts` marks bytes at which another word begins, if any.
     """
     inside = (data != 32) & ((data < 9) | (data > 13))
     first = np.zeros(len(data) + 1, bool)
+    if cuts is not None:
+        first[:-1] = cuts
     first[begins] = True
     before = np.empty_like(inside)
     before[:1] = False
@@ -179,16 +182,8 @@ def text_shingles(texts: pa.Array, size: int) -> list[np.ndarray]:
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The integers of all ranges [start, start + length), one after the other."""
-    total = int(lengths.sum())
-    out = np.ones(total, np.int64)
-    keep = lengths > 0
-    starts, lengths = starts[keep], lengths[keep]
-    if not total:
-        return out
-    out[0] = starts[0]
-    at = np.cumsum(lengths)[:-1]
-    out[at] = starts[1:] - (starts[:-1] + lengths[:-1] - 1)
-    return np.cumsum(out)
+    ends = np.cumsum(lengths, dtype=np.int64)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
 
 
 def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, np.ndarray]:
