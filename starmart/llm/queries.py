@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starmart.llm.fingerprints import compared
 from starmart.llm.html_text import page_texts
+from starmart.llm.jaccard_join import Join, similar_documents
 from starmart.llm.language_id import held_out_predictions
 from starmart.llm.packing import packed_documents
 from starmart.llm.quality_rules import judged
@@ -14,6 +15,11 @@ from starmart.llm.tables import table
 from starmart.llm.token_counts import token_counts
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose sets of 3-word shingles are alike at 0.9 or more, as components."""
+    return similar_documents(table(spark, sf_dir, "documents"), Join(3, 90, 100))
+
+
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bottom-k fingerprints of every document and of its edited text."""
     return compared(table(spark, sf_dir, "documents"))
@@ -49,4 +55,4 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_texts(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op3_document_fingerprints, op4_best_fit_packing, op5_quality_rules, op6_token_counts, op7_secret_scans, op8_language_id, op9_html_extraction)}
+QUERIES = {f.__name__: f for f in (op2_jaccard_join, op3_document_fingerprints, op4_best_fit_packing, op5_quality_rules, op6_token_counts, op7_secret_scans, op8_language_id, op9_html_extraction)}
