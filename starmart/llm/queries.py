@@ -11,6 +11,7 @@ from starmart.llm.language_id import held_out_predictions
 from starmart.llm.packing import packed_documents
 from starmart.llm.quality_rules import judged
 from starmart.llm.secrets import digest, secret_spans
+from starmart.llm.suffix_dedup import removed_bytes
 from starmart.llm.tables import table
 from starmart.llm.token_counts import token_counts
 
@@ -55,4 +56,22 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_texts(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op2_jaccard_join, op3_document_fingerprints, op4_best_fit_packing, op5_quality_rules, op6_token_counts, op7_secret_scans, op8_language_id, op9_html_extraction)}
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What repeated strings of 100 bytes take from every document."""
+    return removed_bytes(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_jaccard_join,
+        op3_document_fingerprints,
+        op4_best_fit_packing,
+        op5_quality_rules,
+        op6_token_counts,
+        op7_secret_scans,
+        op8_language_id,
+        op9_html_extraction,
+        op10_suffix_array_dedup,
+    )
+}
