@@ -11,11 +11,17 @@ from starmart.llm.language_id import held_out_predictions
 from starmart.llm.packing import packed_documents
 from starmart.llm.quality_rules import judged
 from starmart.llm.secrets import digest, secret_spans
+from starmart.llm.sentencepieces import round_trips
 from starmart.llm.suffix_dedup import removed_bytes
 from starmart.llm.tables import table
 from starmart.llm.token_counts import token_counts
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded to pieces and decoded again."""
+    return round_trips(table(spark, sf_dir, "documents"))
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose sets of 3-word shingles are alike at 0.9 or more, as components."""
     return similar_documents(table(spark, sf_dir, "documents"), Join(3, 90, 100))
@@ -64,6 +70,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_sentencepiece,
         op2_jaccard_join,
         op3_document_fingerprints,
         op4_best_fit_packing,
