@@ -74,14 +74,19 @@ def _margin(op: str, where: str) -> str:
 
 
 def _suppliers(where: str) -> str:
+    """Both roles from one list of names: each link is looked up per end, then the ends are put side by side."""
     return q(
-        f"""SELECT i.Stock_Item, p.Supplier AS primary_supplier, u.Supplier AS substitute_supplier,
-                   b.Relationship_Type, CAST(b.Lead_Time_Days AS INTEGER) AS Lead_Time_Days,
-                   {money('b.premium_c', 'Unit_Cost_Premium_Pct')}
-            FROM bridge_suppliersubstitution b
-            JOIN dimension_stock_item i ON b.Stock_Item_Key = i.Stock_Item_Key
-            JOIN dimension_supplier p ON b.Primary_Supplier_Key = p.Supplier_Key
-            JOIN dimension_supplier u ON b.Substitute_Supplier_Key = u.Supplier_Key WHERE {where}""",
+        f"""WITH links AS (SELECT row_number() OVER () AS link, * FROM bridge_suppliersubstitution WHERE {where}),
+            ends AS (
+              SELECT link, 1 AS role, Primary_Supplier_Key AS k FROM links
+              UNION ALL SELECT link, 2, Substitute_Supplier_Key FROM links),
+            named AS (
+              SELECT link, max(Supplier) FILTER (role = 1) AS primary_supplier, max(Supplier) FILTER (role = 2) AS substitute_supplier
+              FROM ends, dimension_supplier WHERE k = Supplier_Key GROUP BY link)
+            SELECT (SELECT Stock_Item FROM dimension_stock_item i WHERE i.Stock_Item_Key = links.Stock_Item_Key) AS Stock_Item,
+                   primary_supplier, substitute_supplier, Relationship_Type,
+                   CAST(Lead_Time_Days AS INTEGER) AS Lead_Time_Days, {money('premium_c', 'Unit_Cost_Premium_Pct')}
+            FROM links, named WHERE links.link = named.link""",
         "bridge_suppliersubstitution", "dimension_stock_item", "dimension_supplier",
     )
 
@@ -149,7 +154,7 @@ def _scd2_customer(null_unknown: bool) -> str:
     return f"""SELECT c_custkey AS Customer_Key, c_name AS Customer,
        CASE c_mktsegment WHEN 'BUILDING' THEN 'MACHINERY' WHEN 'MACHINERY' THEN 'BUILDING'
                          WHEN 'AUTOMOBILE' THEN 'BUILDING' ELSE {unknown} END AS Buying_Group,
-       '1992-01-01' AS Valid_From, '1998-12-31' AS Valid_To, false AS Is_Current
+       '1900-01-01' AS Valid_From, '1998-12-31' AS Valid_To, false AS Is_Current
 FROM customer WHERE c_custkey <= (SELECT max(c_custkey) // 10 FROM customer)"""
 
 
@@ -164,7 +169,7 @@ def _item_versions(where: str = "true", late: bool = False) -> str:
     start = "CASE WHEN era_from IS NULL THEN NULL ELSE era_from END" if late else "Valid_From"
     if late:
         return q(
-            f"""SELECT Stock_Item_Key, Stock_Item, Brand, {money('(price_c * pct + 50) // 100', 'Unit_Price')},
+            f"""SELECT Stock_Item_Key, Stock_Item, Brand, Size, {money('(price_c * pct + 50) // 100', 'Unit_Price')},
                        {money('(retail_c * pct + 50) // 100', 'Recommended_Retail_Price')},
                        {day('era_from', 'Valid_From')}, {day('era_to', 'Valid_To')}, now AS Is_Current
                 FROM dimension_stock_item i JOIN item_eras e
@@ -172,7 +177,7 @@ def _item_versions(where: str = "true", late: bool = False) -> str:
             "dimension_stock_item", "item_eras",
         )
     return q(
-        f"""SELECT Stock_Item_Key, Stock_Item, Brand, {money('price_c', 'Unit_Price')},
+        f"""SELECT Stock_Item_Key, Stock_Item, Brand, Size, {money('price_c', 'Unit_Price')},
                    {money('retail_c', 'Recommended_Retail_Price')}, {day(start)}, {day('Valid_To')}, Is_Current
             FROM dimension_stockitem_scd2 WHERE {where}""",
         "dimension_stockitem_scd2",
@@ -180,6 +185,25 @@ def _item_versions(where: str = "true", late: bool = False) -> str:
 
 
 _FOREIGN_KEYS = [
+    ("Fact_Sale", "City_Key", "Dimension_City", "lineitem", "l_orderkey % 25", "nation", "n_nationkey"),
+    ("Fact_Sale", "Bill_To_Customer_Key", "Dimension_Customer", "fact_sale", "Bill_To_Customer_Key", "customer", "c_custkey"),
+    ("Fact_Sale", "Salesperson_Key", "Dimension_Employee", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    ("Fact_Sale", "Supplier_Key", "Dimension_Supplier", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    ("Fact_Sale", "Invoice_Date_Key", "Dimension_Date", "fact_sale", "Invoice_Date_Key", "dimension_date", "Date"),
+    ("Fact_Sale", "Delivery_Date_Key", "Dimension_Date", "fact_sale", "Delivery_Date_Key", "dimension_date", "Date"),
+    ("Fact_Order", "Order_Date_Key", "Dimension_Date", "orders", "CAST(o_orderdate AS DATE)", "dimension_date", "Date"),
+    ("Fact_Order", "Picked_Date_Key", "Dimension_Date", "orders", "CAST(o_orderdate AS DATE) + CAST(o_orderkey % 5 AS INTEGER)", "dimension_date", "Date"),
+    ("Fact_Order", "Salesperson_Key", "Dimension_Employee", "fact_order", "Salesperson_Key", "supplier", "s_suppkey"),
+    ("Fact_Order", "Picker_Key", "Dimension_Employee", "fact_order", "Picker_Key", "supplier", "s_suppkey"),
+    ("Fact_Purchase", "Date_Key", "Dimension_Date", "lineitem", "CAST(l_shipdate AS DATE)", "dimension_date", "Date"),
+    ("Fact_Purchase", "Stock_Item_Key", "Dimension_Stock_Item", "lineitem", "l_partkey", "part", "p_partkey"),
+    ("Fact_Movement", "Date_Key", "Dimension_Date", "lineitem", "CAST(l_shipdate AS DATE)", "dimension_date", "Date"),
+    ("Fact_Movement", "Stock_Item_Key", "Dimension_Stock_Item", "lineitem", "l_partkey", "part", "p_partkey"),
+    ("Fact_Movement", "Supplier_Key", "Dimension_Supplier", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    ("Fact_Movement", "Transaction_Type_Key", "Dimension_Transaction_Type", "lineitem", "CASE l_returnflag WHEN 'R' THEN 2 ELSE 1 END", "(VALUES (1), (2)) t(k)", "k"),
+    ("Fact_Transaction", "Date_Key", "Dimension_Date", "orders", "CAST(o_orderdate AS DATE)", "dimension_date", "Date"),
+    ("Fact_Transaction", "Bill_To_Customer_Key", "Dimension_Customer", "orders", "o_custkey - o_custkey % 10", "customer", "c_custkey"),
+    ("Fact_Transaction", "Payment_Method_Key", "Dimension_Payment_Method", "orders", "substr(o_orderpriority, 1, 1)", "orders", "substr(o_orderpriority, 1, 1)"),
     ("Fact_Sale", "Customer_Key", "Dimension_Customer", "lineitem JOIN orders ON l_orderkey = o_orderkey",
      "o_custkey", "customer", "c_custkey"),
     ("Fact_Sale", "Stock_Item_Key", "Dimension_Stock_Item", "lineitem", "l_partkey", "part", "p_partkey"),
@@ -190,14 +214,34 @@ _FOREIGN_KEYS = [
 ]
 
 
-def _foreign_keys() -> str:
+def _foreign_keys(customers: str = "true") -> str:
     parts = [
         f"""SELECT '{fact}' AS fact, '{key}' AS fact_key, '{dim}' AS dimension,
                    count(DISTINCT {fk}) AS n_orphan_keys, count({fk}) AS n_orphan_rows
-            FROM {source} WHERE {fk} NOT IN (SELECT {dk} FROM {target})"""
+            FROM {source} WHERE {fk} NOT IN (SELECT {dk} FROM {target} WHERE {customers if target == 'customer' else 'true'})"""
         for fact, key, dim, source, fk, target, dk in _FOREIGN_KEYS
     ]
-    return "\nUNION ALL\n".join(parts)
+    return q("\nUNION ALL\n".join(parts), "fact_sale", "fact_order", "dimension_date")
+
+
+def _row_counts() -> str:
+    sources = {
+        "Dimension_Date": "dimension_date", "Dimension_City": "nation", "Dimension_Customer": "customer",
+        "Dimension_Employee": "supplier", "Dimension_Stock_Item": "part", "Dimension_Supplier": "supplier",
+        "Dimension_Payment_Method": "(SELECT DISTINCT o_orderpriority FROM orders) p",
+        "Dimension_Transaction_Type": "(VALUES (1), (2)) t", "Fact_Sale": "lineitem", "Fact_Order": "orders",
+        "Fact_Purchase": "lineitem", "Fact_Movement": "lineitem", "Fact_Stock_Holding": "part", "Fact_Transaction": "orders",
+        "Dimension_Customer_SCD2": "dimension_customer_scd2", "Dimension_StockItem_SCD2": "dimension_stockitem_scd2",
+        "Dimension_CustomerSegment": "dimension_customersegment", "Bridge_CustomerSegment": "bridge_customersegment",
+        "Bridge_SupplierSubstitution": "bridge_suppliersubstitution",
+    }
+    counts = " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {t}" for n, t in sources.items())
+    return q(
+        f"""SELECT coalesce(table_name, 'TOTAL') AS table_name, CAST(sum(n_rows) AS BIGINT) AS n_rows
+            FROM ({counts}) c GROUP BY ROLLUP (table_name)""",
+        "dimension_date", "dimension_customer_scd2", "dimension_stockitem_scd2", "dimension_customersegment",
+        "bridge_customersegment", "bridge_suppliersubstitution",
+    )
 
 
 QUERIES: dict[str, str] = {
@@ -226,8 +270,7 @@ QUERIES: dict[str, str] = {
     "q06_revenue_by_historical_group_salted": _group_by_year("<="),
     "q07_customers_with_changes": q(
         f"""SELECT Customer_Key, Customer, Buying_Group, {day('Valid_From')}, {day('Valid_To')}, Is_Current
-            FROM dimension_customer_scd2 WHERE Customer_Key IN
-             (SELECT Customer_Key FROM dimension_customer_scd2 GROUP BY 1 HAVING count(*) > 1)""",
+            FROM dimension_customer_scd2 QUALIFY count(*) OVER (PARTITION BY Customer_Key) >= 2""",
         "dimension_customer_scd2",
     ),
     "q08_segment_revenue": q(
@@ -235,18 +278,24 @@ QUERIES: dict[str, str] = {
         "fact_sale", "bridge_customersegment", "dimension_customersegment",
     ),
     "q08_segment_revenue_unallocated": q(
-        f"""SELECT coalesce(g.Segment, 'Unallocated') AS Segment,
-                   CAST(CAST((sum(gross_c * coalesce(weight_c, 100)) + 50) // 100 AS BIGINT) / 100 AS DOUBLE)
-                       AS weighted_revenue
-            FROM fact_sale s LEFT JOIN bridge_customersegment b ON s.Customer_Key = b.Customer_Key AND b.Customer_Key >= 1
-            LEFT JOIN dimension_customersegment g ON b.Segment_Key = g.Segment_Key GROUP BY 1""",
-        "fact_sale", "bridge_customersegment", "dimension_customersegment",
+        """SELECT Segment, CAST(CAST((sum(part) + 50) // 100 AS BIGINT) / 100 AS DOUBLE) AS weighted_revenue FROM (
+             SELECT g.Segment, s.gross_c * w AS part
+             FROM fact_sale s JOIN short_bridge USING (Customer_Key) JOIN dimension_customersegment g USING (Segment_Key)
+             UNION ALL
+             SELECT 'Unallocated', s.gross_c * (100 - coalesce(total, 0))
+             FROM fact_sale s LEFT JOIN (SELECT Customer_Key, sum(w) AS total FROM short_bridge GROUP BY 1) t USING (Customer_Key)) x
+           GROUP BY 1""",
+        "fact_sale", "short_bridge", "dimension_customersegment",
     ),
+    # The customers with several memberships, counted beside each of them.
     "q09_multi_segment_customers": q(
-        f"""SELECT c.Customer, g.Segment, {money('weight_c', 'Allocation_Weight')} FROM bridge_customersegment b
-            JOIN dimension_customer c ON b.Customer_Key = c.Customer_Key
-            JOIN dimension_customersegment g ON b.Segment_Key = g.Segment_Key
-            WHERE b.Customer_Key IN (SELECT Customer_Key FROM bridge_customersegment GROUP BY 1 HAVING count(*) > 1)""",
+        f"""WITH counted AS (
+              SELECT Customer_Key, Segment_Key, weight_c, count(*) OVER (PARTITION BY Customer_Key) AS memberships
+              FROM bridge_customersegment)
+            SELECT (SELECT Customer FROM dimension_customer d WHERE d.Customer_Key = counted.Customer_Key) AS Customer,
+                   (SELECT Segment FROM dimension_customersegment d WHERE d.Segment_Key = counted.Segment_Key) AS Segment,
+                   {money('weight_c', 'Allocation_Weight')}
+            FROM counted WHERE memberships > 1""",
         "bridge_customersegment", "dimension_customer", "dimension_customersegment",
     ),
     "q10_segment_revenue_by_year": q(
@@ -254,15 +303,16 @@ QUERIES: dict[str, str] = {
             FROM fact_sale s {_DATE} {_SEGMENT} GROUP BY ALL""",
         "fact_sale", "dimension_date", "bridge_customersegment", "dimension_customersegment",
     ),
-    "q11_suppliers_of_item": _suppliers("b.Is_Active AND b.Stock_Item_Key = 10"),
+    "q11_suppliers_of_item": _suppliers("Is_Active AND Stock_Item_Key = 10"),
     "q11_suppliers_of_all_items": _suppliers("true"),
     "q12_emergency_suppliers": q(
-        f"""SELECT i.Stock_Item, u.Supplier AS emergency_supplier, CAST(b.Lead_Time_Days AS INTEGER) AS Lead_Time_Days,
-                   {money('b.premium_c', 'Unit_Cost_Premium_Pct')}
-            FROM bridge_suppliersubstitution b
-            JOIN dimension_stock_item i ON b.Stock_Item_Key = i.Stock_Item_Key
-            JOIN dimension_supplier u ON b.Substitute_Supplier_Key = u.Supplier_Key
-            WHERE b.Relationship_Type = 'Emergency' AND b.Is_Active AND b.premium_c > 1000""",
+        f"""WITH dear AS (
+              SELECT Stock_Item_Key AS item, Substitute_Supplier_Key AS supplier_id, premium_c,
+                     CAST(Lead_Time_Days AS INTEGER) AS Lead_Time_Days
+              FROM bridge_suppliersubstitution
+              WHERE (Relationship_Type, Is_Active) = ('Emergency', true) AND premium_c / 100 > 10)
+            SELECT Stock_Item, Supplier AS emergency_supplier, Lead_Time_Days, {money('premium_c', 'Unit_Cost_Premium_Pct')}
+            FROM dear, dimension_stock_item, dimension_supplier WHERE Stock_Item_Key = item AND Supplier_Key = supplier_id""",
         "bridge_suppliersubstitution", "dimension_stock_item", "dimension_supplier",
     ),
     "q13_segment_and_historical_group": _segment_group("<="),
@@ -310,7 +360,7 @@ QUERIES: dict[str, str] = {
                    {day('t', 'before_to')}, {day('Valid_From', 'after_from')}, {day('Valid_To', 'after_to')}
             FROM (SELECT *, lag(Buying_Group) OVER w AS "before", lag(Valid_From) OVER w AS f, lag(Valid_To) OVER w AS t
                   FROM dimension_customer_scd2 WINDOW w AS (PARTITION BY Customer_Key ORDER BY Valid_From)) x
-            WHERE f IS NOT NULL""",
+            WHERE f IS NOT NULL AND "before" IS DISTINCT FROM Buying_Group""",
         "dimension_customer_scd2",
     ),
     "r06_emergency_only_items": _emergency_only("Is_Active"),
@@ -400,11 +450,11 @@ QUERIES: dict[str, str] = {
         "fact_sale",
     ),
     "e01_current_versions": """SELECT c_custkey AS Customer_Key, c_name AS Customer, c_mktsegment AS Buying_Group,
-       '1992-01-01' AS Valid_From, '9999-12-31' AS Valid_To, true AS Is_Current FROM customer""",
+       '1900-01-01' AS Valid_From, '9999-12-31' AS Valid_To, true AS Is_Current FROM customer""",
     "e02_history_unknown_null": _scd2_customer(True),
     "e02_history_unknown_kept": _scd2_customer(False),
     "e03_reopened_versions": """SELECT c_custkey AS Customer_Key, c_name AS Customer, c_mktsegment AS Buying_Group,
-       CASE WHEN c_custkey <= (SELECT max(c_custkey) // 10 FROM customer) THEN '1999-01-01' ELSE '1992-01-01' END
+       CASE WHEN c_custkey <= (SELECT max(c_custkey) // 10 FROM customer) THEN '1999-01-01' ELSE '1900-01-01' END
            AS Valid_From, '9999-12-31' AS Valid_To, true AS Is_Current FROM customer""",
     "e04_customer_versions": _CUSTOMER_VERSIONS,
     "u01_customer_versions_by_union": _CUSTOMER_VERSIONS,
@@ -515,14 +565,8 @@ QUERIES: dict[str, str] = {
         "bridge_suppliersubstitution",
     ),
     "v08_foreign_keys": _foreign_keys(),
-    "v09_row_counts": """SELECT table_name, n_rows FROM (
-           SELECT 'Dimension_Customer' AS table_name, count(*) AS n_rows FROM customer
-           UNION ALL SELECT 'Dimension_Stock_Item', count(*) FROM part
-           UNION ALL SELECT 'Dimension_Supplier', count(*) FROM supplier
-           UNION ALL SELECT 'Fact_Sale', count(*) FROM lineitem
-           UNION ALL SELECT 'Fact_Order', count(*) FROM orders
-           UNION ALL SELECT 'TOTAL', (SELECT count(*) FROM customer) + (SELECT count(*) FROM part)
-               + (SELECT count(*) FROM supplier) + (SELECT count(*) FROM lineitem) + (SELECT count(*) FROM orders)) t""",
+    "v08_foreign_keys_of_unknown_customers": _foreign_keys("c_custkey % 11 <> 3"),
+    "v09_row_counts": _row_counts(),
     "s01_csv_round_trip": """SELECT p_partkey AS "Stock Item Key", p_name AS "Stock Item", p_brand AS "Brand",
            CAST(p_size AS VARCHAR) AS "Size", CAST(CAST(round(p_retailprice * 100) AS BIGINT) / 100 AS DOUBLE) AS "Unit Price"
            FROM part""",

@@ -32,7 +32,11 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
     "dimension_date": (
         (),
         """SELECT CAST(r AS DATE) AS Date, year(r) AS Calendar_Year, month(r) AS Calendar_Month_Number
-           FROM range(TIMESTAMP '1992-01-01', TIMESTAMP '2012-01-02', INTERVAL 1 DAY) t(r)""",
+           FROM (SELECT unnest(generate_series(least(s1, o1), greatest(s2, o2), INTERVAL 1 DAY)) AS r
+                 FROM (SELECT min(CAST(l_shipdate AS DATE)) AS s1, max(CAST(l_shipdate AS DATE) + CAST(l_linenumber AS INTEGER)) AS s2
+                       FROM lineitem),
+                      (SELECT min(CAST(o_orderdate AS DATE)) AS o1,
+                              max(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 5 AS INTEGER)) AS o2 FROM orders)) days""",
     ),
     "dimension_customer": (
         (),
@@ -44,7 +48,7 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "dimension_stock_item": (
         (),
-        """SELECT p_partkey AS Stock_Item_Key, p_name AS Stock_Item, p_brand AS Brand,
+        """SELECT p_partkey AS Stock_Item_Key, p_name AS Stock_Item, p_brand AS Brand, CAST(p_size AS VARCHAR) AS Size,
                   CAST(round(p_retailprice * 100) AS BIGINT) AS price_c,
                   (CAST(round(p_retailprice * 100) AS BIGINT) * 140 + 50) // 100 AS retail_c FROM part""",
     ),
@@ -56,28 +60,28 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "dimension_customer_scd2": (
         ("dimension_customer", "customer_recode"),
-        """SELECT Customer_Key, Customer, new AS Buying_Group, DATE '1992-01-01' AS Valid_From,
+        """SELECT Customer_Key, Customer, new AS Buying_Group, DATE '1900-01-01' AS Valid_From,
                   DATE '1998-12-31' AS Valid_To, false AS Is_Current
            FROM dimension_customer LEFT JOIN customer_recode ON Buying_Group = old
            WHERE Customer_Key <= (SELECT max(c_custkey) // 10 FROM customer)
            UNION ALL
            SELECT Customer_Key, Customer, Buying_Group,
                   CASE WHEN Customer_Key <= (SELECT max(c_custkey) // 10 FROM customer)
-                       THEN DATE '1999-01-01' ELSE DATE '1992-01-01' END,
+                       THEN DATE '1999-01-01' ELSE DATE '1900-01-01' END,
                   DATE '9999-12-31', true
            FROM dimension_customer""",
     ),
     "item_eras": (
         (),
-        """SELECT * FROM (VALUES (85, DATE '1992-01-01', DATE '1998-12-31', false),
+        """SELECT * FROM (VALUES (85, DATE '1900-01-01', DATE '1998-12-31', false),
                                  (92, DATE '1999-01-01', DATE '1999-12-31', false),
                                  (100, DATE '2000-01-01', DATE '9999-12-31', true)) t(pct, era_from, era_to, now)""",
     ),
     "dimension_stockitem_scd2": (
         ("dimension_stock_item", "item_eras"),
-        """SELECT Stock_Item_Key, Stock_Item, Brand, (price_c * pct + 50) // 100 AS price_c,
+        """SELECT Stock_Item_Key, Stock_Item, Brand, Size, (price_c * pct + 50) // 100 AS price_c,
                   (retail_c * pct + 50) // 100 AS retail_c,
-                  CASE WHEN changed THEN era_from ELSE DATE '1992-01-01' END AS Valid_From,
+                  CASE WHEN changed THEN era_from ELSE DATE '1900-01-01' END AS Valid_From,
                   era_to AS Valid_To, now AS Is_Current
            FROM (SELECT *, Stock_Item_Key <= (SELECT max(p_partkey) // 2 FROM part) AS changed
                  FROM dimension_stock_item) i
@@ -104,6 +108,13 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
             FROM (SELECT *, {draw('k', 6, '71 - third')} + 20 AS second FROM segment_plan) p
             JOIN (VALUES (0), (1), (2)) t(j) ON j < n""",
     ),
+    # Without customer 0, some memberships missing, some weights NULL (which allocate nothing).
+    "short_bridge": (
+        ("bridge_customersegment",),
+        """SELECT Customer_Key, Segment_Key, CASE WHEN Customer_Key % 5 = 2 THEN 0 ELSE weight_c END AS w
+           FROM bridge_customersegment
+           WHERE Customer_Key >= 1 AND NOT (Customer_Key % 7 = 1 AND Segment_Key > 4)""",
+    ),
     "substitution_rows": (
         (),
         """SELECT p_partkey AS k, p_partkey + j * (SELECT max(p_partkey) + 1 FROM part) AS i,
@@ -172,4 +183,5 @@ def with_tables(body: str, *names: str) -> str:
     if not ordered:
         return body
     ctes = ",\n".join(f"{n} AS ({TABLES[n][1]})" for n in ordered)
-    return f"WITH {ctes}\n{body}"
+    own = body.lstrip()
+    return f"WITH {ctes},\n{own[5:]}" if own.startswith("WITH ") else f"WITH {ctes}\n{body}"

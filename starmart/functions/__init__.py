@@ -1,7 +1,6 @@
 from starmart.functions.columns import (
     covers,
     draw,
-    exact_sum,
     in_year,
     overlaps,
     percent_change,
@@ -13,7 +12,6 @@ from starmart.functions.columns import (
 __all__ = [
     "covers",
     "draw",
-    "exact_sum",
     "in_year",
     "overlaps",
     "percent_change",

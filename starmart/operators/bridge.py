@@ -36,16 +36,24 @@ def weighted_sum(
     only the reduced rows fan out. Names are looked up last, on one row per member:
     a join of the whole bridge on so few member keys would pile up on them.
 
-    With ``unallocated``, what the bridge or the members lack is kept under that
-    name instead of dropping out, so the totals still add up.
+    A NULL weight allocates nothing. With ``unallocated``, what a key's weights leave of
+    its measures, and what goes to members without a name, is kept under that name
+    instead of dropping out, so the totals still add up.
     """
     by = by or []
-    joined = bridge_join(reduced, bridge, key, [member_key, weight], "left" if unallocated else "inner")
-    share = F.coalesce(F.col(weight), F.lit(1).cast("decimal(5,2)")) if unallocated else F.col(weight)
+    joined = bridge_join(reduced, bridge, key, [member_key, weight])
+    share = F.coalesce(F.col(weight), F.lit(0))
     per_member = joined.groupBy(*by, member_key).agg(*[F.sum(F.col(m) * share).alias(m) for m in measures])
     named = star_join(per_member, members, member_key, member_key, [name], "left" if unallocated else "inner")
     if unallocated:
-        named = named.withColumn(name, F.coalesce(F.col(name), F.lit(UNALLOCATED)))
+        allocated = named.withColumn(name, F.coalesce(F.col(name), F.lit(UNALLOCATED))).select(*by, name, *measures)
+        weights = bridge.groupBy(key).agg(F.sum(share).alias("__w"))
+        left = 1 - F.coalesce(F.col("__w"), F.lit(0))
+        rest = reduced.join(weights, key, "left").filter(left != 0)
+        rest = rest.groupBy(*by).agg(*[F.sum(F.col(m) * left).alias(m) for m in measures])
+        # Without groups the sum of no rows is a row of NULLs.
+        rest = rest.filter(F.coalesce(*measures).isNotNull()).withColumn(name, F.lit(UNALLOCATED))
+        named = allocated.unionByName(rest)
     return named.groupBy(*by, name).agg(*[F.round(F.sum(m), 2).alias(m) for m in measures])
 
 

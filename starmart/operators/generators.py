@@ -73,7 +73,8 @@ def substitution_bridge(
     Row ``i`` belongs to item ``i`` modulo the items, its primary supplier is ``i``
     modulo the suppliers and its type cycles with ``i``. Either ``total_rows`` rows
     are dealt out over the items in turn, or each item gets ``rows_per_item`` (a SQL
-    expression over the item's columns).
+    expression over the item's columns). A substitute is another supplier; where there is
+    only one, there are no rows.
     """
     if (total_rows is None) == (rows_per_item is None):
         raise ValueError("give either total_rows or rows_per_item")
@@ -86,20 +87,19 @@ def substitution_bridge(
         items.filter(F.col(item_key) >= first_key)
         .select(item_key, n_items.alias("n_items"), n_suppliers.alias("s"))
         .selectExpr("*", f"CAST({copies} AS INT) AS copies")
-        .filter("copies > 0")
+        .filter("copies > 0 AND s > 1")
         .selectExpr(item, "s", "n_items", "explode(sequence(0, copies - 1)) AS copy")
         .selectExpr(item, "s", f"copy * n_items + {position} AS i")
     )
-    offset = f"{draw('i', seed, 1, 'greatest(s - 1, 1)')} + 1"
-    drawn = rows.selectExpr(item, "s", "i", "i % s AS primary", f"(i + {offset}) % s AS drawn")
-    # A substitute that came out as the primary moves on to the next supplier.
-    substitute = "IF(drawn = primary, (primary + 1) % s, drawn)"
+    # One to s - 1 suppliers further on: never the primary itself.
+    offset = f"{draw('i', seed, 1, 's - 1')} + 1"
+    drawn = rows.selectExpr(item, "i", "i % s AS primary", f"(i + {offset}) % s AS substitute")
     kinds = ", ".join(text(r) for r in RELATIONSHIPS)
     premium = f"CAST({draw('i', seed, 3, 2501)} AS DECIMAL(4,0)) * 0.01BD"
     return drawn.selectExpr(
         item,
         f"primary + {first_key} AS Primary_Supplier_Key",
-        f"{substitute} + {first_key} AS Substitute_Supplier_Key",
+        f"substitute + {first_key} AS Substitute_Supplier_Key",
         f"element_at(array({kinds}), CAST(i % {len(RELATIONSHIPS)} + 1 AS INT)) AS Relationship_Type",
         f"CAST({draw('i', seed, 2, 45)} + 1 AS INT) AS Lead_Time_Days",
         f"CAST({premium} AS DECIMAL(5,2)) AS Unit_Cost_Premium_Pct",

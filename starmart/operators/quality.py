@@ -6,9 +6,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from starmart.functions.sqltext import name, text
 from starmart.operators.bridge import WEIGHT, fan_out_totals
 from starmart.operators.scd2 import IS_CURRENT, VALID_FROM, VALID_TO, version_chain
-from starmart.operators.temporal import temporal_join
 
 
 def weight_sum_violations(bridge: DataFrame, key: str, weight: str = WEIGHT) -> DataFrame:
@@ -58,15 +58,18 @@ def temporal_coverage(
 ) -> DataFrame:
     """Fact rows by the number of versions that match them; all should match one.
 
-    Works on distinct key and date pairs, so a hot key costs one row per day.
+    A key's versions travel as one array, which its eras bound, so each fact row stays
+    one row and only the counts are added up. Rows with a NULL key match none.
     """
-    pairs = fact.groupBy(key, on_date).agg(F.count(F.lit(1)).alias("n_fact_rows"))
-    marked = versions.select(key, VALID_FROM, VALID_TO).withColumn("__hit", F.lit(1))
-    joined = temporal_join(pairs, marked, key, on_date, ["__hit"], "left", closed)
-    per_pair = joined.groupBy(key, on_date).agg(
-        F.max("n_fact_rows").alias("n_fact_rows"), F.count("__hit").alias("n_versions")
+    spans = versions.groupBy(F.col(key).alias("__k")).agg(
+        F.collect_list(F.struct(F.col(VALID_FROM).alias("lo"), F.col(VALID_TO).alias("hi"))).alias("__spans")
     )
-    return per_pair.groupBy("n_versions").agg(F.sum("n_fact_rows").alias("n_fact_rows"))
+    keyed = fact.filter(F.col(key).isNotNull()).join(spans, F.col(key) == F.col("__k"), "left")
+    until = "<=" if closed == "both" else "<"
+    hits = f"size(filter(__spans, s -> {name(on_date)} >= s.lo AND {name(on_date)} {until} s.hi))"
+    counted = keyed.select(F.expr(f"CAST(IF(__spans IS NULL, 0, {hits}) AS BIGINT)").alias("n_versions"))
+    without = fact.filter(F.col(key).isNull()).select(F.lit(0).cast("long").alias("n_versions"))
+    return counted.unionByName(without).groupBy("n_versions").agg(F.count(F.lit(1)).alias("n_fact_rows"))
 
 
 def current_violations(versions: DataFrame, key: str, open_end: Column) -> DataFrame:
@@ -96,19 +99,36 @@ def orphan_keys(fact: DataFrame, fact_key: str, dimension: DataFrame, dimension_
 
 
 def foreign_key_report(checks: list[tuple[str, str, str, DataFrame, DataFrame, str]]) -> DataFrame:
-    """Orphan counts per foreign key: (fact name, key, dimension name, fact, dimension, dimension key)."""
-    parts = []
-    for fact_name, fact_key, dimension_name, fact, dimension, dimension_key in checks:
-        orphans = orphan_keys(fact, fact_key, dimension, dimension_key)
-        parts.append(
-            orphans.agg(
-                F.count(F.lit(1)).alias("n_orphan_keys"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_orphan_rows")
-            ).select(
-                F.lit(fact_name).alias("fact"),
-                F.lit(fact_key).alias("fact_key"),
-                F.lit(dimension_name).alias("dimension"),
-                "n_orphan_keys",
-                "n_orphan_rows",
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    """Orphan counts per foreign key: (fact name, key, dimension name, fact, dimension, dimension key).
+
+    A fact, which should be the same frame in all its checks, is read once: the values of its
+    keys are stacked as (check, text) and counted before the one anti-join.
+    """
+    frames = {id(fact): fact for _, _, _, fact, _, _ in checks}
+    used = []
+    for frame_id, fact in frames.items():
+        own = [(i, k) for i, (_, k, _, f, _, _) in enumerate(checks) if id(f) == frame_id]
+        stack = ", ".join(f"{i}, CAST({name(k)} AS STRING)" for i, k in own)
+        used.append(fact.selectExpr(f"stack({len(own)}, {stack}) AS (check, key)").filter("key IS NOT NULL"))
+    counted = reduce(DataFrame.unionByName, used).groupBy("check", "key").agg(F.count(F.lit(1)).alias("n_rows"))
+    known = [
+        dimension.select(F.lit(i).alias("check"), F.col(dk).cast("string").alias("key"))
+        for i, (_, _, _, _, dimension, dk) in enumerate(checks)
+    ]
+    orphans = counted.join(reduce(DataFrame.unionByName, known), ["check", "key"], "left_anti")
+    totals = orphans.groupBy("check").agg(
+        F.count(F.lit(1)).alias("n_orphan_keys"), F.sum("n_rows").alias("n_orphan_rows")
+    )
+    rows = ", ".join(
+        f"struct({i} AS check, {text(f)} AS fact, {text(k)} AS fact_key, {text(d)} AS dimension)"
+        for i, (f, k, d, *_) in enumerate(checks)
+    )
+    listed = checks[0][3].sparkSession.range(1).selectExpr(f"inline(array({rows}))")
+    zero = F.lit(0).cast("long")
+    return listed.join(totals, "check", "left").select(
+        "fact",
+        "fact_key",
+        "dimension",
+        F.coalesce("n_orphan_keys", zero).alias("n_orphan_keys"),
+        F.coalesce("n_orphan_rows", zero).alias("n_orphan_rows"),
+    )

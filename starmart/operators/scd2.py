@@ -74,16 +74,15 @@ def _version(start: str, end: dt.date, current: bool, values: dict[str, str]) ->
 def _explode_versions(
     base: DataFrame, changed: Column, of_changed: list[str], of_others: list[str], replaced: list[str]
 ) -> DataFrame:
-    """One row per version; replaced columns stay at their old positions."""
-    dropped = {VALID_FROM, VALID_TO, IS_CURRENT}
-    kept = [
-        f"__v.{name(c)} AS {name(c)}" if c in replaced else name(c) for c in base.columns if c not in dropped
-    ]
+    """One row per version; replaced columns and those of the validity stay at their old positions, new ones follow."""
+    replaced = [*replaced, VALID_FROM, VALID_TO, IS_CURRENT]
+    kept = [f"__v.{name(c)} AS {name(c)}" if c in replaced else name(c) for c in base.columns]
+    kept += [f"__v.{c}" for c in (VALID_FROM, VALID_TO, IS_CURRENT) if c not in base.columns]
     versions = f"IF(__changed, array({', '.join(of_changed)}), array({', '.join(of_others)}))"
     return (
         base.withColumn("__changed", F.coalesce(changed, F.lit(False)))
         .selectExpr("*", f"explode({versions}) AS __v")
-        .selectExpr(*kept, f"__v.{VALID_FROM}", f"__v.{VALID_TO}", f"__v.{IS_CURRENT}")
+        .selectExpr(*kept)
     )
 
 
@@ -150,7 +149,7 @@ def version_chain(versions: DataFrame, key: str, *attributes: str) -> DataFrame:
 
 
 def changes(versions: DataFrame, key: str, attribute: str, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Before and after of each pair of consecutive versions of a key."""
+    """Before and after of each pair of consecutive versions of a key whose attribute differs; NULL is a value here."""
     chain = version_chain(versions, key, attribute, *carry)
     order = Window.partitionBy(key).orderBy(VALID_FROM)
     paired = chain.withColumns(
@@ -160,7 +159,8 @@ def changes(versions: DataFrame, key: str, attribute: str, carry: tuple[str, ...
             "before_to": F.lag(VALID_TO).over(order),
         }
     )
-    return paired.filter(F.col("before_from").isNotNull()).select(
+    changed = F.col("before_from").isNotNull() & ~F.col("before").eqNullSafe(F.col(attribute))
+    return paired.filter(changed).select(
         key,
         *carry,
         "before",

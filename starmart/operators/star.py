@@ -3,7 +3,7 @@
 The pattern throughout: add the fact up on its own keys first, then join the
 dimension, then add up on the attributes. The first step combines on the map side,
 so a key that holds a large share of the fact reaches the shuffle as one row per
-task, and the join that follows reuses the partitioning by key. No join carries a
+task. No join carries a
 broadcast hint: Spark compares sizes with its threshold, again at run time, and
 sorts and merges what is too large.
 """
@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starmart.functions.columns import exact_sum
 from starmart.functions.sqltext import name
 
 
@@ -20,7 +19,7 @@ def reduce_fact(
     fact: DataFrame, keys: list[str], measures: dict[str, str] | None = None, count_as: str | None = None
 ) -> DataFrame:
     """Exact sums (output name -> measure) and a row count per key combination."""
-    aggs = [exact_sum(fact, m).alias(out) for out, m in (measures or {}).items()]
+    aggs = [F.sum(m).alias(out) for out, m in (measures or {}).items()]
     if count_as:
         aggs.append(F.count(F.lit(1)).alias(count_as))
     return fact.groupBy(*keys).agg(*aggs)

@@ -29,7 +29,8 @@ def temporal_join(
 
     Adaptive execution splits a hot key here by itself. Where it is off, ``salt``
     spreads each key over that many partitions by date and repeats the versions as
-    often; the salt is a function of the row, so retried tasks agree.
+    often; the salt is a function of the row, so retried tasks agree. Under
+    ``how="left"`` rows with a NULL key, which match nothing, are spread by date.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
@@ -44,7 +45,12 @@ def temporal_join(
         fact = fact.withColumn("__salt", F.expr(f"pmod(hash({name(on_date)}), {salt})"))
         side = side.selectExpr("*", f"explode(sequence(0, {salt - 1})) AS __copy")
         condition += " AND __salt = __copy"
-    return fact.join(side, F.expr(condition), how).drop("__k", "__from", "__to", "__salt", "__copy")
+    if how == "left":
+        fact = fact.withColumn("__null", F.expr(f"IF({name(key)} IS NULL, 1 + pmod(hash({name(on_date)}), 1024), 0)"))
+        side = side.selectExpr("*", "0 AS __none")
+        condition += " AND __null = __none"
+    scratch = ("__k", "__from", "__to", "__salt", "__copy", "__null", "__none")
+    return fact.join(side, F.expr(condition), how).drop(*scratch)
 
 
 def as_of(versions: DataFrame, day: dt.date, closed: str = "both") -> DataFrame:

@@ -33,6 +33,7 @@ class Enrichment:
     changed_items: Column | int = 100
     price_eras: tuple[scd2.Era, ...] = PRICE_ERAS
     price_current_from: dt.date = PRICE_CURRENT_FROM
+    priced: tuple[str, ...] = PRICED
     unchanged_items_from: dt.date | None = None
     substitution_rows: int | None = 200
     substitutes_per_item: str | None = None
@@ -52,12 +53,14 @@ def customer_versions(customers: DataFrame, e: Enrichment = Enrichment()) -> Dat
 
 
 def stock_item_versions(items: DataFrame, e: Enrichment = Enrichment()) -> DataFrame:
-    """Stock items with their earlier prices."""
-    priced = [p for p in PRICED if p in items.columns]
+    """Stock items with their earlier prices; a price column of ``e.priced`` that is missing is an error."""
+    missing = [p for p in e.priced if p not in items.columns]
+    if missing:
+        raise ValueError(f"price columns not found: {missing}")
     return scd2.scd2_tiered(
         items,
         _up_to("Stock_Item_Key", e.changed_items),
-        priced,
+        list(e.priced),
         list(e.price_eras),
         e.price_current_from,
         e.unchanged_items_from,

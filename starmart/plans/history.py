@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from starmart.functions.columns import exact_sum, overlaps, percent_change, percent_of
+from starmart.functions.columns import overlaps, percent_change, percent_of
 from starmart.operators.scd2 import changed_versions, changes
 from starmart.operators.star import reduce_fact, star_join
 from starmart.operators.temporal import temporal_join, valid_during
@@ -39,12 +39,10 @@ def item_price_during(mart: Mart, item: int = 50, year: int = 2015) -> DataFrame
 def revenue_by_historical_group(mart: Mart, closed: str = "both", how: str = "inner", salt: int = 1) -> DataFrame:
     """Revenue per buying group at the time of sale, and year."""
     sale = mart.table("Fact_Sale", "Customer_Key", "Invoice_Date_Key", "Total_Including_Tax")
-    # A version depends on customer and day only, so a customer's day is one row here.
-    reduced = reduce_fact(sale, ["Customer_Key", "Invoice_Date_Key"], {"revenue": "Total_Including_Tax"})
     versions = mart.table("Dimension_Customer_SCD2", "Customer_Key", "Buying_Group", *_SPAN)
-    grouped = temporal_join(
-        reduced, versions, "Customer_Key", "Invoice_Date_Key", ["Buying_Group"], how, closed, salt
-    )
+    # Few sales share a customer and a day: they are joined as they are, and added up per group and day.
+    joined = temporal_join(sale, versions, "Customer_Key", "Invoice_Date_Key", ["Buying_Group"], how, closed, salt)
+    grouped = reduce_fact(joined, ["Buying_Group", "Invoice_Date_Key"], {"revenue": "Total_Including_Tax"})
     calendar = mart.table("Dimension_Date", "Date", "Calendar_Year")
     dated = star_join(grouped, calendar, "Invoice_Date_Key", "Date", ["Calendar_Year"])
     return (
@@ -122,20 +120,17 @@ def margin_at_historical_price(mart: Mart, up_to_key: int | None = 10, closed: s
         sale = sale.filter(F.col("Stock_Item_Key") <= up_to_key)
         versions = versions.filter(F.col("Stock_Item_Key") <= up_to_key)
     margin = percent_of("Profit", "Total_Including_Tax")
-    daily = sale.withColumn("margin", margin).groupBy("Stock_Item_Key", "Invoice_Date_Key").agg(
-        exact_sum(sale, "Profit").alias("profit"), F.sum("margin").alias("margins"), F.count("margin").alias("n")
-    )
+    sale = sale.select("Stock_Item_Key", "Invoice_Date_Key", "Profit", margin.alias("margin"))
     priced = temporal_join(
-        daily, versions, "Stock_Item_Key", "Invoice_Date_Key", ["Stock_Item", "Unit_Price"], closed=closed
+        sale, versions, "Stock_Item_Key", "Invoice_Date_Key", ["Stock_Item", "Unit_Price"], closed=closed
     )
     calendar = mart.table("Dimension_Date", "Date", "Calendar_Year")
     dated = star_join(priced, calendar, "Invoice_Date_Key", "Date", ["Calendar_Year"])
-    n_rows = F.nullif(F.sum("n"), F.lit(0).cast("long"))
     return (
         dated.groupBy("Calendar_Year", "Stock_Item", F.col("Unit_Price").alias("price_at_time"))
         .agg(
-            F.round(F.sum("profit"), 2).alias("total_profit"),
-            F.round(F.sum("margins") / n_rows, 1).alias("avg_margin_pct"),
+            F.round(F.sum("Profit"), 2).alias("total_profit"),
+            F.round(F.avg("margin"), 1).alias("avg_margin_pct"),
         )
         .orderBy("Stock_Item", "Calendar_Year", "price_at_time")
     )

@@ -52,7 +52,7 @@ def _misdated(mart: SampleMart, end: dt.date) -> DataFrame:
 
 def _late_start_items(mart: SampleMart) -> DataFrame:
     """Unchanged items only from the start of the current prices on."""
-    return mart.item_versions(unchanged_from=None).drop("Size")
+    return mart.item_versions(unchanged_from=None)
 
 
 def _segment_sizes(mart: SampleMart) -> DataFrame:
@@ -78,10 +78,11 @@ def _closed_group(mart: SampleMart) -> DataFrame:
 
 
 def _unallocated(mart: SampleMart) -> DataFrame:
-    """Segment revenue where the bridge starts at key 1, so that customer 0 has no segment."""
+    """Segment revenue over a bridge without customer 0, with short and with NULL weights; it adds up to all revenue."""
+    bridge = mart.table("Bridge_CustomerSegment").filter("Customer_Key >= 1 AND NOT (Customer_Key % 7 = 1 AND Segment_Key > 4)")
     return weighted_agg(
         mart.table("Fact_Sale", "Customer_Key", "Total_Including_Tax"),
-        mart.table("Bridge_CustomerSegment").filter("Customer_Key >= 1"),
+        bridge.withColumn("Allocation_Weight", F.expr("IF(Customer_Key % 5 = 2, NULL, Allocation_Weight)")),
         mart.table("Dimension_CustomerSegment"),
         "Customer_Key",
         "Segment_Key",
@@ -119,8 +120,28 @@ def _emergency_from_primary(mart: SampleMart) -> DataFrame:
     return quality.self_substitutes(bridge.withColumn("Substitute_Supplier_Key", wrong))
 
 
-def _foreign_keys(mart: SampleMart) -> DataFrame:
+def _foreign_keys(mart: SampleMart, customers: str = "true") -> DataFrame:
+    """Orphans of each key that the sample mart holds; ``customers`` picks the customers that are known."""
     pairs = [
+        ("Fact_Sale", "City_Key", "Dimension_City", "City_Key"),
+        ("Fact_Sale", "Bill_To_Customer_Key", "Dimension_Customer", "Customer_Key"),
+        ("Fact_Sale", "Salesperson_Key", "Dimension_Employee", "Employee_Key"),
+        ("Fact_Sale", "Supplier_Key", "Dimension_Supplier", "Supplier_Key"),
+        ("Fact_Sale", "Invoice_Date_Key", "Dimension_Date", "Date"),
+        ("Fact_Sale", "Delivery_Date_Key", "Dimension_Date", "Date"),
+        ("Fact_Order", "Order_Date_Key", "Dimension_Date", "Date"),
+        ("Fact_Order", "Picked_Date_Key", "Dimension_Date", "Date"),
+        ("Fact_Order", "Salesperson_Key", "Dimension_Employee", "Employee_Key"),
+        ("Fact_Order", "Picker_Key", "Dimension_Employee", "Employee_Key"),
+        ("Fact_Purchase", "Date_Key", "Dimension_Date", "Date"),
+        ("Fact_Purchase", "Stock_Item_Key", "Dimension_Stock_Item", "Stock_Item_Key"),
+        ("Fact_Movement", "Date_Key", "Dimension_Date", "Date"),
+        ("Fact_Movement", "Stock_Item_Key", "Dimension_Stock_Item", "Stock_Item_Key"),
+        ("Fact_Movement", "Supplier_Key", "Dimension_Supplier", "Supplier_Key"),
+        ("Fact_Movement", "Transaction_Type_Key", "Dimension_Transaction_Type", "Transaction_Type_Key"),
+        ("Fact_Transaction", "Date_Key", "Dimension_Date", "Date"),
+        ("Fact_Transaction", "Bill_To_Customer_Key", "Dimension_Customer", "Customer_Key"),
+        ("Fact_Transaction", "Payment_Method_Key", "Dimension_Payment_Method", "Payment_Method_Key"),
         ("Fact_Sale", "Customer_Key", "Dimension_Customer", "Customer_Key"),
         ("Fact_Sale", "Stock_Item_Key", "Dimension_Stock_Item", "Stock_Item_Key"),
         ("Fact_Order", "Customer_Key", "Dimension_Customer", "Customer_Key"),
@@ -128,13 +149,19 @@ def _foreign_keys(mart: SampleMart) -> DataFrame:
         ("Fact_Transaction", "Customer_Key", "Dimension_Customer", "Customer_Key"),
         ("Fact_Stock_Holding", "Stock_Item_Key", "Dimension_Stock_Item", "Stock_Item_Key"),
     ]
-    return quality.foreign_key_report(
-        [(f, fk, d, mart.table(f, fk), mart.table(d, dk), dk) for f, fk, d, dk in pairs]
-    )
+    facts = {f: mart.table(f, *[k for name, k, *_ in pairs if name == f]) for f in dict.fromkeys(p[0] for p in pairs)}
+    known = {(d, dk): mart.table(d, dk) for _, _, d, dk in pairs}
+    known["Dimension_Customer", "Customer_Key"] = known["Dimension_Customer", "Customer_Key"].filter(customers)
+    return quality.foreign_key_report([(f, fk, d, facts[f], known[d, dk], dk) for f, fk, d, dk in pairs])
 
 
 def _row_counts(mart: SampleMart) -> DataFrame:
-    names = ("Dimension_Customer", "Dimension_Stock_Item", "Dimension_Supplier", "Fact_Order")
+    """All tables of the mart: the fourteen base tables and the five of the enrichment."""
+    base = "Date City Customer Employee Stock_Item Supplier Payment_Method Transaction_Type"
+    facts = "Order Purchase Movement Stock_Holding Transaction"
+    names = [f"Dimension_{n}" for n in base.split()] + [f"Fact_{n}" for n in facts.split()]
+    names += ["Dimension_Customer_SCD2", "Dimension_StockItem_SCD2", "Dimension_CustomerSegment"]
+    names += ["Bridge_CustomerSegment", "Bridge_SupplierSubstitution"]
     frames = {n: mart.table(n) for n in names}
     return row_counts({**frames, "Fact_Sale": mart.table("Fact_Sale", "Sale_Key")})
 
@@ -178,13 +205,13 @@ CHECKS: dict[str, Callable[[SampleMart], DataFrame]] = {
     "e03_reopened_versions": _reopened,
     "e04_customer_versions": _versions,
     "u01_customer_versions_by_union": _by_union,
-    "e05_stock_item_versions": lambda m: m.table("Dimension_StockItem_SCD2").drop("Size"),
+    "e05_stock_item_versions": lambda m: m.table("Dimension_StockItem_SCD2"),
     "e05_stock_item_versions_late_start": _late_start_items,
     "e06_supplier_substitutes": lambda m: m.table("Bridge_SupplierSubstitution"),
     "e08_segment_sizes": _segment_sizes,
     "e09_segment_bridge": lambda m: m.table("Bridge_CustomerSegment"),
     "p12_current_customers": lambda m: m.table("vw_Customer_Current"),
-    "p13_current_stock_items": lambda m: m.table("vw_StockItem_Current").drop("Size"),
+    "p13_current_stock_items": lambda m: m.table("vw_StockItem_Current"),
     "a15_version_counts": lambda m: scd2.version_counts(_versions(m), "Customer_Key"),
     "v01_weight_sum_violations": lambda m: quality.weight_sum_violations(
         m.table("Bridge_CustomerSegment"), "Customer_Key"
@@ -218,6 +245,7 @@ CHECKS: dict[str, Callable[[SampleMart], DataFrame]] = {
     ),
     "v07_emergency_from_primary": _emergency_from_primary,
     "v08_foreign_keys": _foreign_keys,
+    "v08_foreign_keys_of_unknown_customers": lambda m: _foreign_keys(m, "Customer_Key % 11 <> 3"),
     "v09_row_counts": _row_counts,
     "s01_csv_round_trip": _csv_round_trip,
     "s07_table_round_trip": _table_round_trip,

@@ -74,11 +74,10 @@ def segment_and_historical_group(mart: Mart, year: int = 2015, closed: str = "bo
         "Total_Including_Tax",
         during=whole_year("Invoice_Date_Key", year),
     )
-    daily = reduce_fact(sale, ["Customer_Key", "Invoice_Date_Key"], {"weighted_revenue": "Total_Including_Tax"})
     versions = mart.table("Dimension_Customer_SCD2", "Customer_Key", "Buying_Group", "Valid_From", "Valid_To")
-    grouped = temporal_join(daily, versions, "Customer_Key", "Invoice_Date_Key", ["Buying_Group"], closed=closed)
+    grouped = temporal_join(sale, versions, "Customer_Key", "Invoice_Date_Key", ["Buying_Group"], closed=closed)
     # Still partitioned by customer after a sorted join, so this sum needs no shuffle there.
-    per_group = grouped.groupBy("Customer_Key", "Buying_Group").agg(F.sum("weighted_revenue").alias("weighted_revenue"))
+    per_group = reduce_fact(grouped, ["Customer_Key", "Buying_Group"], {"weighted_revenue": "Total_Including_Tax"})
     revenue = weighted_sum(per_group, *_bridge(mart), *_SEGMENT, ["weighted_revenue"], ["Buying_Group"])
     return revenue.orderBy("Segment", F.desc("weighted_revenue"), "Buying_Group")
 

@@ -9,6 +9,9 @@ from starmart.sources.registry import TABLES, TableSpec
 # Doubled quotes inside quoted values, empty text for NULL.
 _FORMAT = {"header": True, "quote": '"', "escape": '"', "nullValue": "", "emptyValue": ""}
 
+#: Holds the text of lines that do not have the header's fields.
+CORRUPT = "_corrupt_record"
+
 
 def cast_columns(df: DataFrame, casts: dict[str, str], on_error: str = "fail") -> DataFrame:
     """Cast the named columns in one projection; the others pass through.
@@ -39,13 +42,26 @@ def read_typed_csv(
 ) -> DataFrame:
     """Typed scan of a CSV file or folder with a header.
 
+    Under ``on_error="fail"`` a line with more or fewer fields than the header is an
+    error; under ``"null"`` its text is kept in the column CORRUPT, and `corrupt_rows` counts such lines.
     ``multi_line`` allows line breaks inside quoted values; such files cannot be
     split, so leave it off where no value has any.
     """
-    raw = spark.read.options(**_FORMAT).option("multiLine", multi_line).csv(path)
+    raw = spark.read.options(**_FORMAT).option("multiLine", multi_line)
+    if on_error == "fail":
+        raw = raw.option("mode", "FAILFAST").csv(path)
+    else:
+        header = raw.csv(path).columns
+        fields = [T.StructField(c, T.StringType()) for c in [*header, CORRUPT]]
+        raw = raw.schema(T.StructType(fields)).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
     return cast_columns(raw, casts.casts(raw.columns) if isinstance(casts, TableSpec) else casts, on_error)
 
 
+def corrupt_rows(df: DataFrame) -> int:
+    """Lines that did not have the header's fields, of a scan with ``on_error="null"``."""
+    return df.filter(F.col(CORRUPT).isNotNull()).count()
+
+
 def exportable(df: DataFrame) -> DataFrame:
     """The columns that text can hold: binary ones are dropped, floats and booleans keep their text."""
     return df.select(*[F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, T.BinaryType)])

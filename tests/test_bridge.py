@@ -84,3 +84,13 @@ def test_double_weights_work_too(facts, bridge, members):
     as_double = bridge.withColumn("Allocation_Weight", F.col("Allocation_Weight").cast("double"))
     out = weighted_agg(facts, as_double, members, "c", "s", "name", {"m": "m"})
     assert {r.name: r.m for r in out.collect()}["one"] == pytest.approx(103.68)
+
+
+def test_unallocated_keeps_the_total_of_short_and_null_weights(spark):
+    facts = spark.createDataFrame([(k, Dec("100.00")) for k in (1, 2, 3)], "c int, m decimal(18,2)")
+    bridge = spark.createDataFrame(
+        [(1, 1, Dec("0.60")), (2, 1, None), (2, 2, None)], "c int, s int, Allocation_Weight decimal(5,2)"
+    )
+    names = spark.createDataFrame([(1, "a"), (2, "b")], "s int, name string")
+    out = weighted_agg(facts, bridge, names, "c", "s", "name", {"m": "m"}, unallocated=True)
+    assert {r.name: r.m for r in out.collect()} == {"a": Dec("60.00"), "b": Dec("0.00"), "Unallocated": Dec("240.00")}

@@ -4,7 +4,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from starmart.functions import covers, draw, exact_sum, in_year, overlaps, percent_change, percent_of, recode, scaled_price
+from starmart.operators.star import reduce_fact
+from starmart.functions import covers, draw, in_year, overlaps, percent_change, percent_of, recode, scaled_price
 
 D = dt.date
 
@@ -69,27 +70,14 @@ def test_percentages_of_zero_are_null(spark):
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
-def test_exact_sum_is_exact(spark, ansi):
+def test_sums_are_exact_and_do_not_wrap(spark, ansi):
     spark.conf.set("spark.sql.ansi.enabled", ansi)
     try:
-        rows = [(Decimal("0.10"), 1, Decimal("1.2345")), (Decimal("0.20"), 2, None), (Decimal("-0.01"), 3, Decimal("2"))]
-        df = spark.createDataFrame(rows, "m decimal(18,2), n int, w decimal(30,4)")
-        row = df.agg(*[exact_sum(df, c).alias(c) for c in ("m", "n", "w")]).first()
-        assert (row.m, row.n, row.w) == (Decimal("0.29"), 6, Decimal("3.2345"))
-        empty = df.filter("n > 9")
-        assert empty.agg(exact_sum(empty, "m").alias("m")).first().m is None
-    finally:
-        spark.conf.unset("spark.sql.ansi.enabled")
-
-
-def test_exact_sum_never_wraps(spark):
-    big = Decimal("9999999999999999.99")
-    df = spark.createDataFrame([(big,)] * 12, "m decimal(18,2)")
-    with pytest.raises(Exception, match="OVERFLOW"):
-        df.agg(exact_sum(df, "m")).collect()
-    spark.conf.set("spark.sql.ansi.enabled", "false")
-    try:
-        assert df.agg(exact_sum(df, "m").alias("m")).first().m == big * 12
+        big = Decimal("9000000000000000.00")
+        df = spark.createDataFrame([("a", big)] * 20 + [("b", Decimal("0.10")), ("b", None)], "k string, m decimal(18,2)")
+        out = reduce_fact(df, ["k"], {"m": "m"})
+        assert {r.k: r.m for r in out.collect()} == {"a": big * 20, "b": Decimal("0.10")}
+        assert out.schema["m"].dataType.simpleString() == "decimal(28,2)"
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
 

@@ -111,3 +111,19 @@ def test_version_counts_and_changed_versions(spark):
     df = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
     assert rows(scd2.version_counts(df, "k")) == [(1, 2)]
     assert rows(scd2.changed_versions(df, "k")) == [(1,), (1,)]
+
+
+def test_one_pass_keeps_the_order_of_columns(spark):
+    base = spark.createDataFrame(
+        [(1, "a", D(2013, 1, 1), OPEN, 7), (9, "b", D(2013, 1, 1), OPEN, 8)],
+        "Customer_Key int, Buying_Group string, Valid_From date, Valid_To date, Lineage_Key int",
+    )
+    args = (base, F.col("Customer_Key") <= 3, "Buying_Group", FLIP, ERA)
+    assert scd2.scd2_recoded(*args).columns == scd2.scd2_union(*args).columns
+    assert rows(scd2.scd2_recoded(*args)) == rows(scd2.scd2_union(*args))
+
+
+def test_changes_leave_out_what_did_not_change(spark):
+    data = [(1, None, D(2013, 1, 1), D(2014, 12, 31)), (1, None, D(2015, 1, 1), D(2016, 12, 31)), (1, "a", D(2017, 1, 1), OPEN)]
+    df = spark.createDataFrame(data, "k int, v string, Valid_From date, Valid_To date")
+    assert rows(scd2.changes(df, "k", "v"), "before", "after", "after_from") == [(None, "a", D(2017, 1, 1))]

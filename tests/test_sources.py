@@ -3,9 +3,13 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
+from starmart.plans.catalog import QUESTIONS
+from starmart.sources import typed_csv
 from starmart.sources.registry import TABLES
 from starmart.sources.tables import formatted, row_counts, summary_frame, underscored, write_table, write_view
+from starmart.sources.testdata import SampleMart
 from starmart.sources.typed_csv import cast_columns, export_csv, export_tables, exportable, read_typed_csv
 
 CASTS = {"Id": "int", "Is Big": "boolean", "Price": "decimal(18,2)", "Day": "date"}
@@ -142,3 +146,32 @@ def test_export_of_catalog_tables(spark, tmp_path):
     assert [tuple(r) for r in out.collect()] == [("Dimension_Employee", 1), ("TOTAL", 1)]
     header = spark.read.option("header", True).csv(str(tmp_path / "csv" / "Dimension_Employee.csv")).columns
     assert header == [c.replace("_", " ") for c in employee.columns[:-1]]
+
+
+def test_lines_with_other_fields_than_the_header(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("k,v,m\n1,a,2.00\n2,b,3.00,EXTRA\n3,c\n")
+    casts = {"k": "int", "m": "decimal(18,2)"}
+    with pytest.raises(Exception, match="MALFORMED|malformed|FAILFAST"):
+        typed_csv.read_typed_csv(spark, str(tmp_path / "x.csv"), casts).collect()
+    df = typed_csv.read_typed_csv(spark, str(tmp_path / "x.csv"), casts, on_error="null")
+    assert typed_csv.corrupt_rows(df.cache()) == 2 and df.filter("k = 1").first()[typed_csv.CORRUPT] is None
+
+
+def test_missing_stored_column_is_an_error(spark, tmp_path):
+    spark.read.parquet("/root/testdata/sf0.001/orders.parquet").withColumnRenamed("o_custkey", "o_custkeyX").write.parquet(
+        str(tmp_path / "orders.parquet")
+    )
+    with pytest.raises(ValueError, match="o_custkey"):
+        SampleMart(spark, str(tmp_path)).raw("orders")
+
+
+def test_calendar_follows_the_facts(spark, tmp_path):
+    """Facts before 1992 and after 2012 count like all others."""
+    for name, days in (("lineitem", "l_shipdate"), ("orders", "o_orderdate")):
+        df = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+        shift = F.expr(f"IF(l_orderkey % 2 = 0, {days} + INTERVAL '14' YEAR, {days} - INTERVAL '14' YEAR)" if name == "lineitem" else days)
+        df.withColumn(days, shift.cast("timestamp_ntz")).write.parquet(str(tmp_path / f"{name}.parquet"))
+    mart = SampleMart(spark, str(tmp_path))
+    by_year = QUESTIONS["q01_revenue_by_year"](mart).agg(F.sum("revenue")).first()[0]
+    assert by_year == QUESTIONS["q16_total_revenue"](mart).first()[0]
+    assert mart.table("Dimension_Date").filter("Calendar_Year < 1992 OR Calendar_Year > 2012").count() > 0
