@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 #: Bytes of text that are worked on at once; one longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
@@ -34,15 +35,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written to a scratch table and read again: cuts the lineage, and each part is computed once."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the scratch table of a frame that `stored` returned, when nothing reads it any more."""
+    jvm = df.sparkSession.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df.stored_path)
+    path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 _SHIPPED: set[str] = set()
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shipped(spark: SparkSession) -> SparkSession:
     """`spark`, after its workers were given this package's source, once for each application."""
     context = spark.sparkContext
+    # Rows of long texts make large Arrow batches; smaller ones than Spark's default keep workers small.
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, "1000")
     if context.applicationId not in _SHIPPED:
         package = Path(__file__).resolve().parent.parent
         archive = Path(tempfile.mkdtemp(prefix="starmart-code-")) / "starmart.zip"
@@ -54,7 +68,7 @@ def shipped(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def by_batch(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def by_batch(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """`function` on each Arrow batch of `df`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,17 +163,26 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
 
 
-def shingles(word_hashes: np.ndarray, first: np.ndarray, size: int) -> list[np.ndarray]:
+#: Shingle hashes may hold the shingle's bytes in words in their low bits, up to this number.
+LENGTHS = 63
+
+
+def shingles(word_hashes: np.ndarray, first: np.ndarray, size: int, lengths: np.ndarray | None = None) -> list[np.ndarray]:
     """For each text the sorted distinct 64-bit hashes of its `size`-word shingles.
 
     A text with fewer words has its whole sequence as the one shingle, a text without words has none.
+    With the words' `lengths`, the low bits of a hash are the sum of its words' lengths, up to LENGTHS.
     """
     n = len(word_hashes)
     factors = [np.uint64(pow(0xC2B2AE3D27D4EB4F, j + 1, 1 << 64)) for j in range(size)]
     total = np.zeros(n, np.uint64)
-    for j in range(size):
+    for j in range(min(size, n)):
         total[: n - j] += word_hashes[j:] * factors[j]
     total = mixed(total)
+    if lengths is not None:
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        bytes_ = np.minimum(ends[np.minimum(np.arange(n) + size, n)] - ends[:-1], LENGTHS).astype(np.uint64)
+        total = (total & ~np.uint64(LENGTHS)) | bytes_
     out = []
     for low, high in zip(first[:-1].tolist(), first[1:].tolist()):
         if high - low >= size:
@@ -172,12 +195,12 @@ def shingles(word_hashes: np.ndarray, first: np.ndarray, size: int) -> list[np.n
     return out
 
 
-def text_shingles(texts: pa.Array, size: int) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of each text, words compared with A-Z as a-z."""
+def text_shingles(texts: pa.Array, size: int, with_lengths: bool = False) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text, words compared with A-Z as a-z; see `shingles`."""
     data, begins = flat(texts)
     data = lowered(data)
     starts, ends, first = words(data, begins)
-    return shingles(span_hashes(data, starts, ends), first, size)
+    return shingles(span_hashes(data, starts, ends), first, size, ends - starts if with_lengths else None)
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
