@@ -112,6 +112,21 @@ def host_rates(df: DataFrame, host: str = "host") -> DataFrame:
     return hosts.drop("_prior")
 
 
+def _host(host: Column | str) -> Column:
+    name = F.col(host) if isinstance(host, str) else host
+    return F.coalesce(name.cast("string"), F.lit(""))
+
+
+def _verdicts(rows: DataFrame, policy: HostPolicy) -> DataFrame:
+    return host_rates(rows).select(
+        "host",
+        ((F.col("n_docs") >= policy.min_documents) & (F.col("rate_any") > policy.max_rate)).alias("host_rejected"),
+    )
+
+
+_BASE_FAILED = " OR ".join(f"fails_{r}" for r in BASE_RULES)
+
+
 def judged(docs: DataFrame, host: Column | str = "source", text: str = "text", policy: HostPolicy = HostPolicy()) -> DataFrame:
     """`docs` without its text, with COUNTS, `base_failed`, `host_rejected` and `kept`.
 
@@ -121,17 +136,25 @@ def judged(docs: DataFrame, host: Column | str = "source", text: str = "text", p
     are summed from them with partial sums, so a hot host reaches the shuffle as a
     row per task, and joined back by an equi-join that adaptive execution may split.
     """
-    name = F.col(host) if isinstance(host, str) else host
-    rows = docs.select("doc_id", F.col(text).alias("_text"), F.coalesce(name.cast("string"), F.lit("")).alias("host"))
+    rows = docs.select("doc_id", F.col(text).alias("_text"), _host(host).alias("host"))
     rows = stored(with_failures(with_counts(rows, "_text").drop("_text")), "quality")
-    hosts = host_rates(rows).select(
-        "host",
-        ((F.col("n_docs") >= policy.min_documents) & (F.col("rate_any") > policy.max_rate)).alias("host_rejected"),
-    )
-    base = F.expr(" OR ".join(f"fails_{r}" for r in BASE_RULES))
     return (
-        rows.join(hosts, "host")
-        .withColumn("base_failed", base)
+        rows.join(_verdicts(rows, policy), "host")
+        .withColumn("base_failed", F.expr(_BASE_FAILED))
         .withColumn("kept", ~F.col("base_failed") & ~F.col("host_rejected"))
         .select("doc_id", *COUNTS, "base_failed", "kept", "host", "host_rejected")
     )
+
+
+def kept_documents(docs: DataFrame, host: Column | str = "source", text: str = "text", policy: HostPolicy = HostPolicy()) -> DataFrame:
+    """The rows of `docs`, with all their columns, that `judged` keeps.
+
+    The counts are made once for the hosts and again for the documents, so that no text is
+    stored or shuffled. Columns of any name may be there.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(text).alias("_text"), _host(host).alias("host"))
+    # Observing the rows keeps the optimizer from computing the counts anew inside the filter below.
+    counted = with_failures(with_counts(rows, "_text")).observe("counted", F.count("*").alias("rows"))
+    rejected = _verdicts(stored(counted.drop("_row", "_text"), "quality"), policy).where("host_rejected").select("host")
+    kept = counted.where(f"NOT ({_BASE_FAILED})").join(rejected, "host", "left_anti")
+    return kept.select("_row.*")

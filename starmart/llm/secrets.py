@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starmart.llm.common import by_batch, flat, slices, stored
@@ -154,29 +155,44 @@ def _matches(data: np.ndarray, begins: np.ndarray) -> tuple[list[list[tuple[int,
     return found, points
 
 
-_SPANS = "array<struct<kind:int,low:long,high:long>>"
-_FOUND = f"doc_id long, base {_SPANS}, candidates array<struct<low:long,high:long,symbols:binary>>"
+def _candidates(data: np.ndarray, begins: np.ndarray, found: list[list[tuple[int, int, int]]]) -> list[list[tuple[int, int]]]:
+    """For each text the runs (begin, end) in bytes that have an encoding and that no base span overlaps."""
+    runs: list[list[tuple[int, int]]] = [[] for _ in found]
+    for low, high in zip(*(x.tolist() for x in _runs(_CHARS[data] > 0, begins, MIN_CANDIDATE))):
+        i = int(np.searchsorted(begins, low, "right")) - 1
+        if encoding(data[low:high].tobytes()) and not any(a < high and low < b for a, _, b in found[i]):
+            runs[i].append((low, high))
+    return runs
 
 
-def _scan(docs: DataFrame) -> DataFrame:
-    """For each row its base spans and the candidates that may be random, in code points."""
+def _tested(symbols: bytes, frequencies: np.ndarray) -> tuple[int, int]:
+    """A candidate's stratum and p-value bin (0: p = 1)."""
+    p = battery(symbols, _ALPHABETS[encoding(symbols)], frequencies)
+    return sum(len(symbols) >= x for x in STRATA) - 1, min(_MOST_BINS, int(-math.log10(max(p, 1e-300)) * _BINS_PER_DECADE))
+
+
+_FOUND = "doc_id long, base array<struct<kind:int,low:long,high:long>>, tested array<struct<low:long,high:long,stratum:int,bin:int>>"
+
+
+def _scanned(docs: DataFrame, frequencies: np.ndarray) -> DataFrame:
+    """For each row its base spans and its tested candidates, in code points."""
+    span = pa.list_(pa.struct([("kind", pa.int32()), ("low", pa.int64()), ("high", pa.int64())]))
+    candidate = pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64()), ("stratum", pa.int32()), ("bin", pa.int32())]))
 
     def scan(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in slices(batch):
             data, begins = flat(part.column("text"))
             found, points = _matches(data, begins)
-            runs: list[list[tuple[int, int]]] = [[] for _ in found]
-            for low, high in zip(*(x.tolist() for x in _runs(_CHARS[data] > 0, begins, MIN_CANDIDATE))):
-                i = int(np.searchsorted(begins, low, "right")) - 1
-                if encoding(data[low:high].tobytes()) and not any(a < high and low < b for a, _, b in found[i]):
-                    runs[i].append((low, high))
-            base = [[{"kind": k, "low": int(points[a] - points[o]), "high": int(points[b] - points[o])} for a, k, b in sorted(x)] for x, o in zip(found, begins.tolist())]
-            candidates = [[{"low": int(points[a] - points[o]), "high": int(points[b] - points[o]), "symbols": data[a:b].tobytes()} for a, b in x] for x, o in zip(runs, begins.tolist())]
-            span = pa.list_(pa.struct([("kind", pa.int32()), ("low", pa.int64()), ("high", pa.int64())]))
-            candidate = pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64()), ("symbols", pa.binary())]))
+            base, tested = [], []
+            for spans, runs, origin in zip(found, _candidates(data, begins, found), points[begins[:-1]].tolist()):
+                base.append([{"kind": k, "low": int(points[a]) - origin, "high": int(points[b]) - origin} for a, k, b in sorted(spans)])
+                tested.append([])
+                for a, b in runs:
+                    stratum, bin_ = _tested(data[a:b].tobytes(), frequencies)
+                    tested[-1].append({"low": int(points[a]) - origin, "high": int(points[b]) - origin, "stratum": stratum, "bin": bin_})
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").cast(pa.int64()), pa.array(base, span), pa.array(candidates, candidate)],
-                names=["doc_id", "base", "candidates"],
+                [part.column("doc_id").cast(pa.int64()), pa.array(base, span), pa.array(tested, candidate)],
+                names=["doc_id", "base", "tested"],
             )
 
     return by_batch(docs.select("doc_id", "text"), scan, _FOUND)
@@ -199,25 +215,6 @@ def symbol_frequencies(docs: DataFrame) -> np.ndarray:
     return out
 
 
-def _tested(found: DataFrame, frequencies: np.ndarray) -> DataFrame:
-    """`found` with each candidate's stratum and p-value bin (0: p = 1) in place of its symbols."""
-
-    def test(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        out = []
-        for row in batch.column("candidates").to_pylist():
-            tested = []
-            for c in row:
-                s = c["symbols"]
-                p = battery(s, _ALPHABETS[encoding(s)], frequencies)
-                exponent = min(_MOST_BINS, int(-math.log10(max(p, 1e-300)) * _BINS_PER_DECADE))
-                tested.append({"low": c["low"], "high": c["high"], "stratum": sum(len(s) >= x for x in STRATA) - 1, "bin": exponent})
-            out.append(tested)
-        kind = pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64()), ("stratum", pa.int32()), ("bin", pa.int32())]))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, kind)], names=["doc_id", "base", "tested"])
-
-    return by_batch(found, test, f"doc_id long, base {_SPANS}, tested array<struct<low:long,high:long,stratum:int,bin:int>>")
-
-
 def least_bins(counts: dict[tuple[int, int], int]) -> dict[int, int]:
     """Per stratum the least p-value bin that Benjamini-Hochberg accepts at level Q; a bin's p is its upper edge."""
     out = {}
@@ -231,6 +228,11 @@ def least_bins(counts: dict[tuple[int, int], int]) -> dict[int, int]:
     return out
 
 
+def _accepted(found: DataFrame) -> dict[int, int]:
+    each = found.select(F.explode("tested").alias("c")).groupBy("c.stratum", "c.bin").count()
+    return least_bins({(r.stratum, r.bin): r["count"] for r in each.collect()})  # bounded: strata x bins
+
+
 def secret_spans(docs: DataFrame) -> DataFrame:
     """doc_id and `spans`, an array of (kind, low, high) in code points, by low and kind; kinds by their place in KINDS.
 
@@ -238,9 +240,8 @@ def secret_spans(docs: DataFrame) -> DataFrame:
     itself; no rows give no rows. Texts are read twice (for the frequencies and for the
     matches); found spans are stored once and never shuffled.
     """
-    found = stored(_tested(_scan(docs), symbol_frequencies(docs)), "secrets")
-    each = found.select(F.explode("tested").alias("c")).groupBy("c.stratum", "c.bin").count()
-    accepted = least_bins({(r.stratum, r.bin): r["count"] for r in each.collect()})  # bounded: strata x bins
+    found = stored(_scanned(docs, symbol_frequencies(docs)), "secrets")
+    accepted = _accepted(found)
     added = F.transform(
         F.filter("tested", lambda c: c.bin >= _least(accepted, c.stratum)),
         lambda c: F.struct(F.lit(KINDS.index("random")).alias("kind"), c.low.alias("low"), c.high.alias("high")),
@@ -269,3 +270,51 @@ def digest(found: DataFrame) -> DataFrame:
 
     base, counts = F.filter("spans", lambda x: x.kind < 3), [count(kind) for kind in range(3)]
     return found.select("doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written("spans").alias("spans"))
+
+
+def _masked(text: bytes, spans: list[tuple[int, int, int]], mask: bytes) -> bytes:
+    """`text` with the spans (begin, kind, end) masked, overlapping ones together; of an assignment the value only."""
+    hidden = []
+    for low, kind, high in spans:
+        match = ASSIGN.fullmatch(text, low, high) if kind == 0 else None
+        hidden.append((match.start(2) if match else low, high))
+    out, at = [], 0
+    for low, high in sorted(hidden):
+        if low >= at:
+            out += [text[at:low], mask]
+        at = max(at, high)
+    return b"".join([*out, text[at:]])
+
+
+def redacted(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
+    """`docs` with all columns, each secret of `secret_spans` in `text` masked, and `n_chars` (where there is one) that of the new text.
+
+    Null texts stay null. The texts are read a third time for it, and nothing is shuffled.
+    """
+    frequencies = symbol_frequencies(docs)
+    accepted = _accepted(stored(_scanned(docs, frequencies), "secrets"))
+    names = docs.columns
+
+    def hide(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        valid = batch.column("text").is_valid()
+        at = 0
+        for part in slices(batch):
+            data, begins = flat(part.column("text"))
+            found, _ = _matches(data, begins)
+            whole, texts = data.tobytes(), []
+            for i, runs in enumerate(_candidates(data, begins, found)):
+                low, spans = int(begins[i]), list(found[i])
+                for a, b in runs:
+                    stratum, bin_ = _tested(whole[a:b], frequencies)
+                    if bin_ >= accepted.get(stratum, _MOST_BINS + 1):
+                        spans.append((a, 3, b))
+                text = whole[low : int(begins[i + 1])]
+                texts.append(_masked(text, [(a - low, k, b - low) for a, k, b in spans], mask.encode()).decode())
+            columns = dict(zip(names, part.columns))
+            columns["text"] = pc.if_else(valid.slice(at, part.num_rows), pa.array(texts, columns["text"].type), None)
+            if "n_chars" in columns:
+                columns["n_chars"] = pc.if_else(pc.is_valid(columns["text"]), pc.utf8_length(columns["text"]).cast(columns["n_chars"].type), columns["n_chars"])
+            at += part.num_rows
+            yield pa.RecordBatch.from_arrays([columns[c] for c in names], names=names)
+
+    return by_batch(docs, hide, docs.schema)

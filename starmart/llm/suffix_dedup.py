@@ -313,7 +313,9 @@ def _found(doc: np.ndarray, low: np.ndarray, high: np.ndarray, anchor: np.ndarra
 
 
 def _with_ranges(docs: DataFrame) -> DataFrame:
-    keyed = docs.withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)))
+    """`row` (all columns of `docs`) and `ranges`."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc"), row)
     return keyed.join(removals(docs), "doc", "left").drop("doc")
 
 
@@ -328,6 +330,44 @@ def _cut(text: bytes, found: list[dict] | None) -> tuple[list[tuple[int, int]],
     return runs, b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
 
 
+def _whole_points(text: bytes, runs: list[tuple[int, int]]) -> bytes:
+    """What stays of the text if runs are cut, but no code point is cut in two."""
+    out, at = [], 0
+    for low, high in runs:
+        while low < high and text[low] & 0xC0 == 0x80:
+            low += 1
+        while high < len(text) and high > low and text[high] & 0xC0 == 0x80:
+            high -= 1
+        out.append(text[at:low])
+        at = high
+    return b"".join([*out, text[at:]])
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """`docs` with all columns, the repeated strings cut from `text` and `n_chars` (where there is one) that of the new text.
+
+    Code points that a run covers in part stay. A text of which nothing but white space stays
+    goes with its row; texts that were so before stay.
+    """
+    names, schema = docs.columns, docs.schema
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = dict(zip(names, batch.column("row").flatten()))
+            texts, stays = [], []
+            for text, found in zip(columns["text"].to_pylist(), batch.column("ranges").to_pylist()):
+                data = (text or "").encode()
+                kept = _whole_points(data, _cut(data, found)[0])
+                texts.append(None if text is None else kept.decode())
+                stays.append(len(kept) == len(data) or bool(kept.strip()))
+            columns["text"] = pa.array(texts, columns["text"].type)
+            if "n_chars" in columns:
+                columns["n_chars"] = pc.if_else(pc.is_valid(columns["text"]), pc.utf8_length(columns["text"]).cast(columns["n_chars"].type), columns["n_chars"])
+            yield pa.RecordBatch.from_arrays([columns[c] for c in names], names=names).filter(pa.array(stays))
+
+    return _with_ranges(docs).mapInArrow(cut, schema)
+
+
 def removed_bytes(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: what repeated strings of LEAST bytes take from each text.
 
@@ -348,5 +388,5 @@ def removed_bytes(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
 
-    rows = _with_ranges(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select("doc_id", "text", "ranges")
+    rows = _with_ranges(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select("row.doc_id", "row.text", "ranges")
     return rows.mapInArrow(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
