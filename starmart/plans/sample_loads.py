@@ -1,8 +1,8 @@
 """The typed load of each registered table, fed from the sample tables.
 
-Every row of a sample table becomes a CSV row with the registered header. Cells are
-arithmetic on the row's key, so each typed column has values of its kind; the files
-are then loaded by their spec like any export.
+Every row of a sample table becomes a CSV row with the registered header and a column of
+quoted text. Cells are arithmetic on the row's key, with NULLs, negative and large values and
+times of day; the files are then loaded by their spec like any export.
 """
 
 from __future__ import annotations
@@ -38,32 +38,34 @@ SOURCES = {
 
 
 def _cell(kind: str, key: str, position: int) -> str:
+    """Values of a kind over its range, negative ones too, and NULL for every thirteenth row."""
     n = f"({key} + {position})"
-    return {
-        "int": f"CAST({n} % 1000 AS INT)",
-        "long": n,
+    large = f"IF({n} % 2 = 0, 1, -1) * ({n} * 1000003 % 10000000000000)"
+    day = f"date_add(DATE'2013-01-01', CAST({n} % 1461 AS INT))"
+    cell = {
+        "int": f"CAST({n} % 2000000 - 1000000 AS INT)",
+        "long": f"{n} * 1000003 - 5000000000",
         "boolean": f"{n} % 2 = 0",
-        "decimal(18,2)": f"CAST({n} % 100000 AS DECIMAL(9,0)) * 0.01BD",
-        "decimal(18,3)": f"CAST({n} % 100000 AS DECIMAL(9,0)) * 0.001BD",
-        "date": f"date_add(DATE'2013-01-01', CAST({n} % 1461 AS INT))",
-        "timestamp": f"CAST(date_add(DATE'2013-01-01', CAST({n} % 1461 AS INT)) AS TIMESTAMP)",
+        "decimal(18,2)": f"CAST({large} AS DECIMAL(14,0)) * 0.01BD",
+        "decimal(18,3)": f"CAST({large} AS DECIMAL(14,0)) * 0.001BD",
+        "date": day,
+        "timestamp": f"CAST({day} AS TIMESTAMP_NTZ) + make_dt_interval(0, 8, 0, {n} % 43200)",
+        "string": f"concat('row \"', {key}, '\", as written')",
     }[kind]
+    return f"IF({n} % 13 = 0, NULL, {cell})"
 
 
 def typed_load(mart: SampleMart, name: str) -> DataFrame:
-    """Write one table's rows as CSV and load them by the table's spec."""
+    """Write one table's rows as CSV, with a column of quoted text, and load them by the table's spec."""
     spec = TABLES[name]
     source, key = SOURCES[name]
-    cells = [
-        f"{_cell(kind, key, i)} AS `{column.replace('* ', 'SRC ')}`"
-        for i, (column, kind) in enumerate(spec.types.items())
-    ]
+    columns = {f"SRC {c}" if c in spec.source_ids else c: kind for c, kind in spec.types.items()} | {"Remark": "string"}
+    cells = [f"{_cell(kind, key, i)} AS `{column}`" for i, (column, kind) in enumerate(columns.items())]
     path = scratch_path(mart.spark, name)
     export_csv(mart.raw(source).selectExpr(*cells), path)
     loaded = underscored(read_typed_csv(mart.spark, path, spec))
-    return loaded.select(
-        *[F.col(f.name).cast("date") if isinstance(f.dataType, T.TimestampType) else f.name for f in loaded.schema]
-    )
+    times = [f.name for f in loaded.schema if isinstance(f.dataType, T.TimestampType)]
+    return loaded.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in times}) if times else loaded
 
 
 LOADS: dict[str, Callable[[SampleMart], DataFrame]] = {

@@ -103,7 +103,4 @@ def export_tables(spark: SparkSession, schema: str, out_dir: str, names: list[st
 def _present(spec: TableSpec, header: list[str]):
     """A spec's export columns as this table spells them."""
     for column in spec.columns:
-        if column.startswith("* "):
-            yield from (h for h in header if h.split(" ", 1)[-1] == column[2:])
-        else:
-            yield column
+        yield from spec.spelled(column, header) or [column]

@@ -71,12 +71,12 @@ def mart(spark, tmp_path_factory):
              "Dimension_Supplier": N_SUPPLIERS, "Dimension_City": 3, "Dimension_Employee": 4,
              "Dimension_Payment_Method": 2, "Dimension_Transaction_Type": 2, "Fact_Stock_Holding": N_ITEMS}
     for name, spec in TABLES.items():
-        kinds = {**{c.replace("* ", "SRC "): k for c, k in spec.types.items()}, **{c: "string" for c in TEXT.get(name, [])}}
+        kinds = {**{f"SRC {c}" if c in spec.source_ids else c: k for c, k in spec.types.items()}, **{c: "string" for c in TEXT.get(name, [])}}
         with open(root / spec.file_name, "w", newline="", encoding="utf-8") as f:
             out = csv.writer(f)
             out.writerow(kinds)
             for i in range(sizes.get(name, N_SALES)):
-                out.writerow([value(name, c.replace("SRC ", "* ") if c.startswith("SRC ") else c, k, i) for c, k in kinds.items()])
+                out.writerow([value(name, c, k, i) for c, k in kinds.items()])
     spark.sql(f"DROP DATABASE IF EXISTS {SCHEMA} CASCADE")
     summary = build_warehouse(spark, str(root), SCHEMA)
     built = CatalogMart(spark, SCHEMA)
