@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from starmart.llm import jaccard_join, suffix_dedup
 from starmart.llm.fingerprints import compared, containment, distinct_shingles, edited, fingerprints, merged, read, resemblance
 from starmart.llm.language_id import UNKNOWN, fit, held_out_predictions, predicted
-from starmart.llm.packing import pack, packed_documents
+from starmart.llm.packing import Bins, pack, packed_documents
 from starmart.llm.quality_rules import HostPolicy, judged, kept_documents
 from starmart.llm.secrets import digest, redacted, secret_spans
 from starmart.llm.sentencepieces import decoded, encoded, round_trips
@@ -159,14 +159,32 @@ def test_packing(docs):
 
 def test_search_empties_bins():
     rng = np.random.default_rng(3)
-    for _ in range(30):
-        lengths = rng.integers(1, 101, 60)
-        where, offset = pack(lengths, 100)
-        assert np.bincount(where, weights=lengths).max() <= 100
-        assert where.max() + 1 <= max(-(-lengths.sum() // 100), (lengths > 50).sum()) + 1
+    for most in (100, 40):
+        for _ in range(30):
+            lengths = rng.integers(1, most + 1, 60)
+            alone = Bins(100)
+            alone.best_fit(lengths)
+            where, _ = pack(lengths, 100)
+            assert np.bincount(where, weights=lengths).max() <= 100
+            # No more bins than best fit by itself; with small pieces at most one beyond the bound.
+            assert where.max() + 1 <= len(alone.items)
+            if most == 40:
+                assert where.max() + 1 <= -(-lengths.sum() // 100) + 1
     assert pack(np.array([60, 60, 40, 40]), 100)[0].max() == 1
 
 
+def test_exchanges_fill_bins():
+    """Two for one and one for one, from a start that best fit would not choose."""
+    bins = Bins(10)
+    bins.items, bins.fill = [[(3, 0), (3, 1)], [(5, 2), (4, 3)]], [6, 9]
+    bins.search()
+    assert sorted(bins.fill) == [5, 10]
+    bins = Bins(10)
+    bins.items, bins.fill = [[(2, 0)], [(8, 1)]], [2, 8]
+    bins.search()
+    assert sorted(bins.fill) == [0, 10]
+
+
 def test_quality_counts(docs):
     got = judged(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed").collect()
     want = []
