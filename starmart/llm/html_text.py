@@ -6,8 +6,9 @@ enclose it. Lines inside boilerplate elements (scripts, menus, forms, and elemen
 class, id or role says so) are never content. The others' text-to-tag ratios are smoothed
 over neighbouring lines; lines above a threshold are clustered into content, and the region
 of a cluster is the innermost article that holds it, so that short lines of an article stay.
-Where a page marks no article, a region is what lies between the cluster's lines in
-their common parent element.
+Outside articles, a region is what lies between the strongest cluster's lines in their
+common parent element. The articles and that region are compared by their text: each
+stays that has at least SHARE of the other's.
 """
 
 from __future__ import annotations
@@ -51,6 +52,8 @@ _PARTS = re.compile(r"[A-Za-z][a-z]*")
 
 #: Lines on either side that smoothing reaches, its standard deviation, and the threshold in means of all ratios.
 RADIUS, SIGMA, THRESHOLD = 2, 1.0, 0.5
+#: What articles and the strongest cluster outside them need of each other's text to stay.
+SHARE = 0.5
 
 
 def _marked(attributes: list[tuple[str, str | None]]) -> tuple[bool, bool]:
@@ -178,6 +181,38 @@ def _common(paths: list[tuple[int, ...]]) -> tuple[int, ...]:
     return low[:n]
 
 
+def _article_lines(kept: list[Line], seeds: np.ndarray) -> set[int]:
+    """Lines of the articles that a seed is in or that have SHARE of the largest one's text, with those around and inside them."""
+    sizes: dict[int, int] = {}
+    for x in kept:
+        if x.article >= 0:
+            sizes[x.article] = sizes.get(x.article, 0) + len(x.text)
+    articles = {kept[i].article for i in seeds if kept[i].article >= 0} | {k for k, n in sizes.items() if n >= SHARE * max(sizes.values())}
+    inner = {n for x in kept for n in x.parents if x.article in articles}
+    return {i for i, x in enumerate(kept) if x.article in articles or x.article >= 0 and (x.article in inner or articles & set(x.parents))}
+
+
+def _cluster_region(kept: list[Line], seeds: np.ndarray) -> tuple[set[int], int]:
+    """What lies between the lines of the strongest cluster of seeds outside articles, in their common parent, and the cluster's text."""
+    seeds = np.array([i for i in seeds if kept[i].article < 0], np.int64)
+    if not len(seeds):
+        return set(), 0
+    clusters = np.split(seeds, np.flatnonzero(np.diff(seeds) > RADIUS) + 1)
+    sizes = [sum(len(kept[i].text) for i in c) for c in clusters]
+    best = clusters[int(np.argmax(sizes))]
+    parent = _common([kept[i].parents for i in best])
+    inside = [i for i, x in enumerate(kept) if x.article < 0 and x.parents[: len(parent)] == parent]
+    at = {i: k for k, i in enumerate(inside)}
+    same = [at[i] for i in seeds.tolist() if i in at]
+    low, high = same[0], same[-1]
+    # Lines next to the region, with nothing else between.
+    while low > 0 and inside[low - 1] == inside[low] - 1 and kept[inside[low - 1]].tags <= 3:
+        low -= 1
+    while high + 1 < len(inside) and inside[high + 1] == inside[high] + 1 and kept[inside[high + 1]].tags <= 3:
+        high += 1
+    return set(inside[low : high + 1]), max(sizes)
+
+
 def content(lines: list[Line]) -> list[Line]:
     """The lines of the page's main text, in order."""
     kept = [x for x in lines if not x.dropped]
@@ -185,23 +220,12 @@ def content(lines: list[Line]) -> list[Line]:
         return []
     score = smoothed(np.array([len(x.text) / x.tags for x in kept]))
     seeds = np.flatnonzero(score >= THRESHOLD * score.mean())
-    in_article = [i for i in seeds if kept[i].article >= 0]
-    if any(x.article >= 0 for x in kept):
-        # Article marks are trusted: what lies outside them is no content.
-        articles = {kept[i].article for i in in_article} or {x.article for x in kept if x.article >= 0}
-        inner = {n for x in kept for n in x.parents if x.article in articles}
-        return [x for x in kept if x.article in articles or x.article >= 0 and (x.article in inner or articles & set(x.parents))]
-    # No article marks: the strongest cluster's region in its common parent.
-    clusters = np.split(seeds, np.flatnonzero(np.diff(seeds) > RADIUS) + 1)
-    best = max(clusters, key=lambda c: sum(len(kept[i].text) for i in c))
-    parent = _common([kept[i].parents for i in best])
-    same = [i for i in seeds if kept[i].parents[: len(parent)] == parent]
-    low, high = same[0], same[-1]
-    while low > 0 and kept[low - 1].parents[: len(parent)] == parent and kept[low - 1].tags <= 3:
-        low -= 1
-    while high + 1 < len(kept) and kept[high + 1].parents[: len(parent)] == parent and kept[high + 1].tags <= 3:
-        high += 1
-    return [x for x in kept[low : high + 1] if x.parents[: len(parent)] == parent]
+    marked = _article_lines(kept, seeds)
+    region, size = _cluster_region(kept, seeds)
+    held = sum(len(kept[i].text) for i in marked)
+    # Articles and the cluster outside them each stay unless the other has far more text.
+    chosen = (marked if held >= SHARE * size else set()) | (region if size >= SHARE * held else set())
+    return [kept[i] for i in sorted(chosen)]
 
 
 def main_text(html: str) -> str:

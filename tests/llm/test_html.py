@@ -26,3 +26,23 @@ def test_pages(spark):
     got = sorted((r.page_id or 0, r.url, r.text, r.n_chars) for r in page_texts(df).collect())
     assert got == [(0, None, "", 0), (1, "u", "é", 1), (2, "v", "", 0), (2, "v", "", 0)]
     assert page_texts(df.limit(0)).count() == 0
+
+
+LONG = "This sentence stands for one of the long paragraphs of the page's text. " * 4
+TEASER = "<article><a href=x>A teaser card of a few words</a></article>"
+
+
+def test_text_outside_articles_is_compared_with_them():
+    body = f"<p>{LONG}</p><p>short</p><p>{LONG}</p>"
+    want = f"{LONG.strip()}\n\nshort\n\n{LONG.strip()}"
+    for page in (f"<div>{body}</div>{TEASER}", f"{TEASER}<div>{body}</div>", f"<div><p>{LONG}</p>{TEASER}<p>short</p><p>{LONG}</p></div>"):
+        assert main_text(page) == want
+    # Little text outside goes, as much as the article's stays.
+    assert main_text(f"<div>some words outside</div><article>{body}</article>") == want
+    assert main_text(f"<article><p>{LONG}</p></article><div><p>{LONG}</p></div>") == f"{LONG.strip()}\n\n{LONG.strip()}"
+
+
+def test_article_of_many_short_lines_stays_beside_one_long_line():
+    items = "".join(f"<li><a href=x>Item {k} has</a> <b>few</b> <i>words</i></li>" for k in range(30))
+    page = f"<article><p>{LONG * 2}</p><p>a</p><p>b</p><p>c</p></article><article><ul>{items}</ul></article>"
+    assert all(f"Item {k} has few words" in main_text(page) for k in range(30))
