@@ -3,7 +3,8 @@
 A page is read as a stream of events of the standard library's parser. Every block
 element's text is a line; a line knows how many tags it took and which elements
 enclose it. Lines inside boilerplate elements (scripts, menus, forms, and elements whose
-class, id or role says so) are never content. The others' text-to-tag ratios are smoothed
+class, id or role is such a name as a whole) are never content; names do not count on
+articles, on what holds one, or most of the text of a page without. The others' text-to-tag ratios are smoothed
 over neighbouring lines; lines above a threshold are clustered into content, and the region
 of a cluster is the innermost article that holds it, so that short lines of an article stay.
 Outside articles, a region is what lies between the strongest cluster's lines in their
@@ -14,7 +15,7 @@ stays that has at least SHARE of the other's.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
@@ -34,7 +35,7 @@ _BLOCK = frozenset(
 )
 _CELL = frozenset(("td", "th", "br"))
 _DROPPED = frozenset(
-    "script style noscript template head title nav footer aside form button select textarea iframe object svg canvas math audio "
+    "script style noscript template head title nav footer aside form button select textarea iframe object svg canvas audio "
     "video dialog menu fieldset applet".split()
 )
 _ARTICLE = frozenset(("article", "main"))
@@ -48,7 +49,9 @@ _BOILERPLATE = frozenset(
     "newsletter subscribe subscription signup comment comments disqus reply replies respond related recommended recommendations share "
     "sharing social widget widgets login search searchbox pagination pager toolbar skip complementary contentinfo".split()
 )
-_PARTS = re.compile(r"[A-Za-z][a-z]*")
+#: Words that may stand beside those in one name: site-footer, search-box. Any other word makes it another name (has-sidebar).
+_BESIDE = frozenset("site page top bottom left right primary secondary global main header bar box list entry post article".split())
+_NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 #: Lines on either side that smoothing reaches, its standard deviation, and the threshold in means of all ratios.
 RADIUS, SIGMA, THRESHOLD = 2, 1.0, 0.5
@@ -56,15 +59,20 @@ RADIUS, SIGMA, THRESHOLD = 2, 1.0, 0.5
 SHARE = 0.5
 
 
-def _marked(attributes: list[tuple[str, str | None]]) -> tuple[bool, bool]:
-    """Whether class, id or role name boilerplate, and whether they name a header; hidden elements count as boilerplate."""
-    names: set[str] = set()
+def _marked(attributes: list[tuple[str, str | None]]) -> tuple[bool, bool, bool]:
+    """Whether a whole name in class, id or role is one of boilerplate, whether one is a header's, and whether the element is hidden."""
+    boilerplate = header = False
     for key, value in attributes:
         if key in ("class", "id", "role") and value:
-            names.update(x.lower() for x in _PARTS.findall(value))
+            for name in value.split():
+                parts = {x.lower() for x in _NAME_PARTS.findall(name) if not x.isdigit()}
+                if name.lower() in _BOILERPLATE or parts & _BOILERPLATE and parts <= _BOILERPLATE | _BESIDE:
+                    boilerplate = True
+                elif "header" in parts and parts <= _BESIDE:
+                    header = True
         elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and value and re.search(r"display\s*:\s*none", value):
-            return True, False
-    return bool(names & _BOILERPLATE), "header" in names
+            return False, False, True
+    return boilerplate, header, False
 
 
 @dataclass
@@ -83,13 +91,23 @@ class _Open:
     dropped: bool
     header: bool
     article: int
+    hard: bool  # dropped for more than its name
+    named: tuple[int, ...]  # numbers of the elements around, and of this one, that are boilerplate by name only
+
+
+_TOP = _Open("", -1, False, False, -1, False, ())
 
 
 class PageLines(HTMLParser):
-    """Collects the lines of a page from the parser's events."""
+    """Collects the lines of a page from the parser's events; names are not looked at in the elements whose numbers `exempt` has."""
 
-    def __init__(self) -> None:
+    def __init__(self, exempt: Container[int] = ()) -> None:
         super().__init__(convert_charrefs=True)
+        self.exempt = exempt
+        #: Characters of the page's text and of each element that is boilerplate by name, and those that hold an article.
+        self.size = 0
+        self.held: dict[int, int] = {}
+        self.holders: set[int] = set()
         self.lines: list[Line] = []
         self.open: list[_Open] = []
         self.parts: list[str] = []
@@ -99,7 +117,7 @@ class PageLines(HTMLParser):
     def _end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            top = self.open[-1] if self.open else _Open("", -1, False, False, -1)
+            top = self.open[-1] if self.open else _TOP
             heading = any(x.tag in _HEADING for x in self.open)
             dropped = top.header and not (heading and top.article >= 0)
             blocks = tuple(x.number for x in self.open if x.tag in _BLOCK)
@@ -129,18 +147,30 @@ class PageLines(HTMLParser):
             self._close_open(_SIBLINGS[tag], ("ul", "ol", "dl", "table", "select", "menu"))
         if tag == "body":
             self._close_open(("head",), ())
-        above = self.open[-1] if self.open else _Open("", -1, False, False, -1)
-        marked, header = _marked(attrs)
-        # The page's own frame is not boilerplate, whatever its class says.
-        dropped = above.dropped or tag in _DROPPED or marked and tag not in ("html", "body")
+        above = self.open[-1] if self.open else _TOP
+        marked, header, hidden = _marked(attrs)
+        # The page's own frame is not boilerplate, whatever its class says, nor is an article, but for one inside another.
+        frame = tag in ("html", "body")
+        own = tag in _ARTICLE and not any(x.tag == "article" for x in self.open) or frame
+        named = (marked or header) and not own and self.count + 1 not in self.exempt
+        hard = above.hard or tag in _DROPPED or hidden and not frame
+        dropped = above.dropped or hard or marked and named
         if tag in _BLOCK:
             self._end_line()
             self.tags = 1
         if tag in _VOID:
             return
         self.count += 1
+        if tag in _ARTICLE and not hard:
+            # What is named inside an article (its comments) may hold others.
+            within = next((x.number for x in self.open if x.tag in _ARTICLE), self.count)
+            self.holders.update(x for x in above.named if x < within)
         article = self.count if tag in _ARTICLE and not dropped else above.article
-        self.open.append(_Open(tag, self.count, dropped, above.header or tag == "header" or header, article))
+        names = above.named
+        if named:
+            names += (self.count,)
+            self.held[self.count] = 0
+        self.open.append(_Open(tag, self.count, dropped, above.header or tag == "header" or header and named, article, hard, names))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -156,15 +186,35 @@ class PageLines(HTMLParser):
                 return self._close(depth)
 
     def handle_data(self, data: str) -> None:
-        if not (self.open and self.open[-1].dropped):
+        top = self.open[-1] if self.open else _TOP
+        if not top.hard:
+            size = len("".join(data.split()))
+            self.size += size
+            for x in top.named:
+                self.held[x] += size
+        if not top.dropped:
             self.parts.append(data)
 
 
-def page_lines(html: str) -> list[Line]:
-    parser = PageLines()
+def _parsed(html: str, exempt: Container[int] = ()) -> PageLines:
+    parser = PageLines(exempt)
     parser.feed(html)
     parser.close()
     parser._end_line()
+    return parser
+
+
+def page_lines(html: str) -> list[Line]:
+    """The lines of a page. A name says nothing of an element that holds an article, nor of one with most of the page's
+    text where no article is outside such elements, nor where all of the text is in elements with such names."""
+    parser = _parsed(html)
+    wrong = set(parser.holders)
+    if not any(x.article >= 0 and not x.dropped for x in parser.lines):
+        wrong |= {k for k, n in parser.held.items() if 2 * n > parser.size}
+    if wrong:
+        parser = _parsed(html, wrong)
+    if parser.held and all(x.dropped for x in parser.lines):
+        parser = _parsed(html, range(parser.count + 1))
     return parser.lines
 
 

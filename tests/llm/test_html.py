@@ -46,3 +46,34 @@ def test_article_of_many_short_lines_stays_beside_one_long_line():
     items = "".join(f"<li><a href=x>Item {k} has</a> <b>few</b> <i>words</i></li>" for k in range(30))
     page = f"<article><p>{LONG * 2}</p><p>a</p><p>b</p><p>c</p></article><article><ul>{items}</ul></article>"
     assert all(f"Item {k} has few words" in main_text(page) for k in range(30))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<main class='has-sidebar'>{}</main>", "<article class='post comments-open'>{}</article>", "<div class='content-sidebar-wrap'><article>{}</article></div>",
+        "<div id='search-layout'><p>x</p>{}</div>", "<div class='widget'><article>{}</article></div>", "<article class='sponsored'>{}</article>",
+        "<div class='header-layout'><main>{}</main></div>", "<div class='header'><div class='search'>{}</div></div><div class='sidebar'>few words</div>",
+        "<div class='sidebar'>few words</div><main><div role='search'>{}</div></main>",
+    ],
+)
+def test_names_do_not_drop_the_text(page):
+    assert LONG.strip() in main_text(page.format(f"<p>{LONG}</p>"))
+    assert "few words" not in main_text(page.format(f"<p>{LONG}</p>"))
+
+
+def test_names_still_drop_parts():
+    for name in ("sidebar", "site-footer", "searchBox", "comments comments-2", "ADS"):
+        assert main_text(f"<div><p>{LONG}</p><div class='{name}'>few words</div></div>") == LONG.strip()
+    comments = "<div class='comments'><article class='comment'>few words</article></div>"
+    assert main_text(f"<article><p>{LONG}</p>{comments}</article>") == LONG.strip()
+
+
+def test_text_all_in_named_elements_stays():
+    got = main_text(f"<div class='sidebar'><p>{LONG}</p></div><div class='widget'><p>{LONG}</p></div>")
+    assert got.count(LONG.strip()) == 2
+    assert main_text("<nav class='menu'>x</nav><div hidden>y</div>") == ""
+
+
+def test_math_stays():
+    assert main_text("<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p></article>") == "so x=1 holds"
