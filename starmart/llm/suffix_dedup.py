@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starmart.llm.common import _powers, flat, mixed, ranges, shipped, slices, span_hashes, stored
 from starmart.llm.counters import places, summed
@@ -35,8 +35,12 @@ FLUSH, ARRAY_BYTES = 1 << 20, 1 << 18
 #: A counter with more than this share of a part's spans is hot; no fewer spans than FEW are.
 HOT_SHARE, FEW = 1 / 16, 2000
 
-_SPAN = np.dtype([("anchor", "<u8"), ("hash", "<u8"), ("doc", "<i8"), ("low", "<i8"), ("size", "<i4")])
+_SPAN = np.dtype([("anchor", "<u8"), ("hash", "<u8"), ("doc", "<i8"), ("tie", "<i8"), ("low", "<i8"), ("size", "<i4")])
 _NO_ID = -(1 << 63)
+#: So many repeated ids are looked up one by one; where there are more, all rows are told apart by their text.
+REPEATED = 1000
+
+Places = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
 def _anchors(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -66,7 +70,7 @@ def _anchors(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return value[at], starts[at], starts[np.append(at[1:], len(starts)) - 1]
 
 
-def _spans(texts: pa.Array, ids: np.ndarray, hot: np.ndarray) -> np.ndarray:
+def _spans(texts: pa.Array, ids: np.ndarray, ties: np.ndarray, hot: np.ndarray) -> np.ndarray:
     """The spans of the texts; those of hot anchors string by string."""
     data, begins = flat(texts)
     anchor, low, last = _anchors(data, begins)
@@ -77,37 +81,39 @@ def _spans(texts: pa.Array, ids: np.ndarray, hot: np.ndarray) -> np.ndarray:
     out["hash"] = span_hashes(data, low, last + LEAST)
     out["anchor"] = np.append(anchor[~heated], mixed(out["hash"][len(low) - len(single) :]))
     text = np.searchsorted(begins, low, "right") - 1
-    out["doc"], out["low"], out["size"] = ids[text], low - begins[text], last - low + LEAST
+    out["doc"], out["tie"], out["low"], out["size"] = ids[text], ties[text], low - begins[text], last - low + LEAST
     return out
 
 
 def _first_of_each(spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Equal spans once, the first by (doc, low); and the later ones."""
-    spans = spans[np.lexsort((spans["low"], spans["doc"], spans["hash"], spans["anchor"]))]
+    """Equal spans once, the first by (doc, tie, low); and the later ones."""
+    spans = spans[np.lexsort((spans["low"], spans["tie"], spans["doc"], spans["hash"], spans["anchor"]))]
     new = np.ones(len(spans), bool)
     new[1:] = (spans["anchor"][1:] != spans["anchor"][:-1]) | (spans["hash"][1:] != spans["hash"][:-1])
     firsts = spans[new]
     first = firsts[np.cumsum(new) - 1] if len(spans) else spans
-    later = (spans["doc"] > first["doc"]) | ((spans["doc"] == first["doc"]) & (spans["low"] > first["low"]))
+    later = spans["low"] > first["low"]
+    for name in ("tie", "doc"):
+        later = (spans[name] > first[name]) | ((spans[name] == first[name]) & later)
     return firsts, spans[later]
 
 
-def merged_intervals(doc: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The union of intervals of each document, ordered; touching ones become one."""
+def merged_intervals(doc: np.ndarray, tie: np.ndarray, low: np.ndarray, high: np.ndarray) -> Places:
+    """The union of intervals of each document (doc, tie), ordered; touching ones become one."""
     if not len(doc):
-        return doc, low, high
-    order = np.lexsort((low, doc))
-    doc, low, high = doc[order], low[order], high[order]
+        return doc, tie, low, high
+    order = np.lexsort((low, tie, doc))
+    doc, tie, low, high = doc[order], tie[order], low[order], high[order]
     # The furthest end so far within the document.
     change = np.ones(len(doc), bool)
-    change[1:] = doc[1:] != doc[:-1]
+    change[1:] = (doc[1:] != doc[:-1]) | (tie[1:] != tie[:-1])
     group = np.cumsum(change)
     step = np.int64(high.max()) + 1
     reach = np.maximum.accumulate(high + group * step) - group * step
     new = change.copy()
     new[1:] |= low[1:] > reach[:-1]
     at = np.flatnonzero(new)
-    return doc[at], low[at], reach[np.append(at[1:], len(doc)) - 1]
+    return doc[at], tie[at], low[at], reach[np.append(at[1:], len(doc)) - 1]
 
 
 def common_prefix_intervals(prefix: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
@@ -164,39 +170,51 @@ def maximal_repeats(pieces: list[bytes], groups: np.ndarray, least: int = LEAST)
     return piece, begin, prefix, found
 
 
-def _repeated(rows: list[tuple[int, int, int, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Intervals (doc, low, high) of the repeats in spans (anchor, doc, low, bytes), without each repeat's first occurrence."""
+def _repeated(rows: list[tuple[int, int, int, int, bytes]]) -> Places:
+    """Intervals (doc, tie, low, high) of the repeats in spans (anchor, doc, tie, low, bytes), without each repeat's first occurrence."""
     anchors: dict[int, int] = {}
     groups = np.array([anchors.setdefault(r[0], len(anchors)) for r in rows], np.int64)
-    piece, begin, _, found = maximal_repeats([r[3] for r in rows], groups)
+    piece, begin, _, found = maximal_repeats([r[4] for r in rows], groups)
     doc = np.array([r[1] for r in rows], np.int64)[piece]
-    low = np.array([r[2] for r in rows], np.int64)[piece] + begin
+    tie = np.array([r[2] for r in rows], np.int64)[piece]
+    low = np.array([r[3] for r in rows], np.int64)[piece] + begin
     covered = np.zeros(len(piece), np.int64)
     rank = np.empty(len(piece), np.int64)  # by place; equal places (a repeated row) share a rank
-    order = np.lexsort((low, doc))
-    new = np.ones(len(order), bool)
-    new[1:] = (doc[order][1:] != doc[order][:-1]) | (low[order][1:] != low[order][:-1])
+    order = np.lexsort((low, tie, doc))
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for x in (doc[order], tie[order], low[order]):
+        new[1:] |= x[1:] != x[:-1]
     rank[order] = np.cumsum(new)
     for length, a, b in found:
         own = rank[a : b + 1]
         part = covered[a : b + 1]
         np.maximum(part, length, out=part, where=own > own.min())
     at = covered > 0
-    return merged_intervals(doc[at], low[at], low[at] + covered[at])
+    return merged_intervals(doc[at], tie[at], low[at], low[at] + covered[at])
 
 
 _MESSAGE = "part int, kind int, data binary"
-_FOUND = "doc long, low long, high long, anchor long, hash long"
+_FOUND = "doc long, tie long, low long, high long, anchor long, hash long"
+
 
+def _key(docs: DataFrame) -> list[Column]:
+    """doc and tie of each row: the id, and a hash of the text where the id is null or on several rows, else 0."""
+    doc = F.col("doc_id").cast("long")
+    ids = docs.select(doc.alias("id")).where("id IS NOT NULL").groupBy("id").count().where("count > 1")
+    repeated = [r.id for r in ids.limit(REPEATED + 1).collect()]
+    tied = F.lit(True) if len(repeated) > REPEATED else doc.isNull() | doc.isin(repeated) if repeated else doc.isNull()
+    return [F.coalesce(doc, F.lit(_NO_ID)).alias("doc"), F.when(tied, F.xxhash64("text")).otherwise(F.lit(0)).cast("long").alias("tie")]
 
-def removals(docs: DataFrame) -> DataFrame:
-    """(doc, ranges) with the byte ranges (low, high) to remove from each document that has any, in no order.
 
-    doc is the id, or the least long where it is null: rows without id count as one document before
-    all others. Rows of one id with the same text are at the same place, so neither removes the other.
+def removals(docs: DataFrame, key: list[Column]) -> DataFrame:
+    """(doc, tie, ranges) with the byte ranges (low, high) to remove from each document that has any, in no order.
+
+    key: doc and tie, as `_key` gives them. Documents follow each other by both, those without id
+    first. Rows of one id (or none) with the same text are at the same place, so neither removes the other.
     """
     spark = shipped(docs.sparkSession)
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc"), "text").where("text IS NOT NULL")
+    rows = docs.select(*key, "text").where("text IS NOT NULL")
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     counters = summed(rows, lambda texts: _anchors(*flat(texts))[0])
     hot = counters > max(FEW, HOT_SHARE * counters.sum() / parts)
@@ -205,7 +223,7 @@ def removals(docs: DataFrame) -> DataFrame:
         held: list[np.ndarray] = []
         for batch in batches:
             for part in slices(batch):
-                held.append(_spans(part.column("text"), np.asarray(part.column("doc")), hot))
+                held.append(_spans(part.column("text"), np.asarray(part.column("doc")), np.asarray(part.column("tie")), hot))
                 if sum(map(len, held)) >= FLUSH:
                     yield messages(np.concatenate(held))
                     held = []
@@ -215,15 +233,14 @@ def removals(docs: DataFrame) -> DataFrame:
     def messages(spans: np.ndarray) -> pa.RecordBatch:
         firsts, later = _first_of_each(spans)
         to = (mixed(firsts["anchor"] + np.uint64(1)) % np.uint64(parts)).astype(np.int64)
-        order = np.lexsort((firsts["low"], firsts["doc"], to))
+        order = np.lexsort((firsts["low"], firsts["tie"], firsts["doc"], to))
         firsts, to = firsts[order], to[order]
         edges = np.searchsorted(to, np.arange(parts + 1))
         out = [(p, 0, _packed(firsts[a:b])) for p, a, b in zip(range(parts), edges[:-1], edges[1:]) if b > a]
-        doc, low, high = merged_intervals(later["doc"], later["low"], later["low"] + later["size"])
-        to = (mixed(doc.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        found = np.stack(merged_intervals(later["doc"], later["tie"], later["low"], later["low"] + later["size"]))
+        to = (mixed((found[0] ^ found[1]).astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
         for p in np.unique(to).tolist():
-            own = to == p
-            out.append((p, 1, np.stack([doc[own], low[own], high[own]]).tobytes()))
+            out.append((p, 1, found[:, to == p].tobytes()))
         return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.binary())], names=["part", "kind", "data"])
 
     def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,7 +248,7 @@ def removals(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for p, kind, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 if kind == 1:
-                    yield _found(*np.frombuffer(data, np.int64).reshape(3, -1))
+                    yield _found(*np.frombuffer(data, np.int64).reshape(4, -1))
                     continue
                 if p != part and spans:
                     yield from decided(np.concatenate(spans))
@@ -243,15 +260,15 @@ def removals(docs: DataFrame) -> DataFrame:
 
     def decided(spans: np.ndarray) -> Iterator[pa.RecordBatch]:
         firsts, later = _first_of_each(spans)
-        yield _found(*merged_intervals(later["doc"], later["low"], later["low"] + later["size"]))
+        yield _found(*merged_intervals(later["doc"], later["tie"], later["low"], later["low"] + later["size"]))
         _, at, n = np.unique(firsts["anchor"], return_inverse=True, return_counts=True)
         asked = firsts[n[at] > 1]
-        yield _found(asked["doc"], asked["low"], asked["low"] + asked["size"], asked["anchor"], asked["hash"])
+        yield _found(asked["doc"], asked["tie"], asked["low"], asked["low"] + asked["size"], asked["anchor"], asked["hash"])
 
     sent = rows.mapInArrow(send, _MESSAGE).repartition(parts // 4, "part").sortWithinPartitions("part", "kind")
     found = stored(sent.mapInArrow(receive, _FOUND), "repeats")
-    ranges_found = found.where("anchor IS NULL").select("doc", "low", "high")
-    asked = found.where("anchor IS NOT NULL").groupBy("doc").agg(F.collect_list(F.struct("anchor", "hash", "low", "high")).alias("spans"))
+    ranges_found = found.where("anchor IS NULL").select("doc", "tie", "low", "high")
+    asked = found.where("anchor IS NOT NULL").groupBy("doc", "tie").agg(F.collect_list(F.struct("anchor", "hash", "low", "high")).alias("spans"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -262,38 +279,40 @@ def removals(docs: DataFrame) -> DataFrame:
                 span = lists.flatten()
                 text = np.repeat(np.arange(part.num_rows), np.asarray(pc.list_value_length(lists)))
                 anchor, hashed, low, high = (np.asarray(span.field(i)) for i in range(4))
-                # A row of the same id with another text is none of the span's.
+                # A row whose text only hashes alike is none of the span's.
                 fits = begins[:-1][text] + high <= begins[1:][text]
                 a, b = (begins[:-1][text] + low)[fits], (begins[:-1][text] + high)[fits]
                 same = span_hashes(data, a, b) == hashed[fits].astype(np.uint64)
                 fits[fits] = same
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor[fits]), part.column("doc").take(pa.array(text[fits])), pa.array(low[fits]), pa.array([whole[x:y] for x, y in zip(a[same].tolist(), b[same].tolist())], pa.binary())],
-                    names=["anchor", "doc", "low", "bytes"],
+                    [pa.array(anchor[fits]), *(part.column(c).take(pa.array(text[fits])) for c in ("doc", "tie")), pa.array(low[fits]), pa.array([whole[x:y] for x, y in zip(a[same].tolist(), b[same].tolist())], pa.binary())],
+                    names=["anchor", "doc", "tie", "low", "bytes"],
                 )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, int, int, bytes]] = []
+        held: list[tuple[int, int, int, int, bytes]] = []
         size = 0
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if held and row == held[-1]:  # the same row again
+                    continue
                 if size >= ARRAY_BYTES and row[0] != held[-1][0]:
-                    yield _found(*_repeated(held)).select(["doc", "low", "high"])
+                    yield _found(*_repeated(held)).select(["doc", "tie", "low", "high"])
                     held, size = [], 0
                 held.append(row)
-                size += len(row[3])
+                size += len(row[4])
         if held:
-            yield _found(*_repeated(held)).select(["doc", "low", "high"])
+            yield _found(*_repeated(held)).select(["doc", "tie", "low", "high"])
 
-    edges = rows.join(asked, "doc").select("doc", "text", "spans").mapInArrow(fetch, "anchor long, doc long, low long, bytes binary")
-    edges = edges.repartition("anchor").sortWithinPartitions("anchor", "doc", "low").mapInArrow(compare, "doc long, low long, high long")
-    return ranges_found.union(stored(edges, "edges")).groupBy("doc").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
+    edges = rows.join(asked, ["doc", "tie"]).select("doc", "tie", "text", "spans").mapInArrow(fetch, "anchor long, doc long, tie long, low long, bytes binary")
+    edges = edges.repartition("anchor").sortWithinPartitions("anchor", "doc", "tie", "low").mapInArrow(compare, "doc long, tie long, low long, high long")
+    return ranges_found.union(stored(edges, "edges")).groupBy("doc", "tie").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
 
 
 def _packed(spans: np.ndarray) -> bytes:
     """Column after column, ids and places as differences: they compress well in the shuffle."""
     doc = np.diff(spans["doc"], prepend=np.int64(0))
-    return b"".join([spans["anchor"].tobytes(), spans["hash"].tobytes(), doc.tobytes(), spans["low"].tobytes(), spans["size"].tobytes()])
+    return b"".join([spans["anchor"].tobytes(), spans["hash"].tobytes(), doc.tobytes(), spans["tie"].tobytes(), spans["low"].tobytes(), spans["size"].tobytes()])
 
 
 def _unpacked(data: bytes) -> np.ndarray:
@@ -307,16 +326,16 @@ def _unpacked(data: bytes) -> np.ndarray:
     return out
 
 
-def _found(doc: np.ndarray, low: np.ndarray, high: np.ndarray, anchor: np.ndarray | None = None, hashed: np.ndarray | None = None) -> pa.RecordBatch:
+def _found(doc: np.ndarray, tie: np.ndarray, low: np.ndarray, high: np.ndarray, anchor: np.ndarray | None = None, hashed: np.ndarray | None = None) -> pa.RecordBatch:
     extra = [pa.nulls(len(doc), pa.int64()) if x is None else pa.array(x.astype(np.int64)) for x in (anchor, hashed)]
-    return pa.RecordBatch.from_arrays([pa.array(np.asarray(x, np.int64)) for x in (doc, low, high)] + extra, names=["doc", "low", "high", "anchor", "hash"])
+    return pa.RecordBatch.from_arrays([pa.array(np.asarray(x, np.int64)) for x in (doc, tie, low, high)] + extra, names=["doc", "tie", "low", "high", "anchor", "hash"])
 
 
 def _with_ranges(docs: DataFrame) -> DataFrame:
     """`row` (all columns of `docs`) and `ranges`."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc"), row)
-    return keyed.join(removals(docs), "doc", "left").drop("doc")
+    key = _key(docs)
+    return docs.select(*key, row).join(removals(docs, key), ["doc", "tie"], "left").drop("doc", "tie")
 
 
 def _cut(text: bytes, found: list[dict] | None) -> tuple[list[tuple[int, int]], bytes]:
@@ -324,7 +343,8 @@ def _cut(text: bytes, found: list[dict] | None) -> tuple[list[tuple[int, int]],
     if not found:
         return [], text
     spans = np.array([(r["low"], r["high"]) for r in found], np.int64)
-    _, low, high = merged_intervals(np.zeros(len(spans), np.int64), spans[:, 0], spans[:, 1])
+    same = np.zeros(len(spans), np.int64)
+    _, _, low, high = merged_intervals(same, same, spans[:, 0], spans[:, 1])
     runs = list(zip(low.tolist(), np.minimum(high, len(text)).tolist()))
     edges = [0, *(x for run in runs for x in run), len(text)]
     return runs, b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
@@ -371,8 +391,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 def removed_bytes(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: what repeated strings of LEAST bytes take from each text.
 
-    A null or empty text has no bytes, and one shorter than LEAST loses none. A row without
-    id counts as of the least id. No rows give no rows.
+    A null or empty text has no bytes, and one shorter than LEAST loses none. Rows without
+    id come before all others. Rows of one id, or without, follow each other by a hash of their text. No rows give no rows.
     """
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -294,6 +294,28 @@ def test_repeated_strings(sample, odd, empty, monkeypatch, few):
         assert multiset(removed_bytes(df).collect()) == multiset(brute_removed(texts(df)))
 
 
+def brute_removed_of_all(spark, df):
+    """Rows without an id first, those of one id (or none) by the hash of their text; equal rows are one."""
+    hashed = {r.text: r.h for r in df.where("text IS NOT NULL").selectExpr("text", "xxhash64(text) AS h").distinct().collect()}
+    rows = texts(df)
+    order = sorted(set(rows), key=lambda x: (x[0] is not None, x[0] or 0, hashed.get(x[1], 0)))
+    numbers = {x: k for k, x in enumerate(order)}
+    by_number = {r[0]: r[1:] for r in brute_removed([(numbers[x], x[1]) for x in order])}
+    return [(x[0], *by_number[numbers[x]]) for x in rows]
+
+
+@pytest.mark.parametrize("listed", [1000, 0])
+def test_repeated_strings_of_rows_without_id_or_of_one_id(spark, odd, documents, monkeypatch, listed):
+    monkeypatch.setattr(suffix_dedup, "REPEATED", listed)
+    base = prose(11, 90)
+    rows = [(None, base, "en", "a"), (None, prose(12, 90), "en", "a"), (None, prose(13, 40) + base + prose(14, 40), "en", "a"), (None, base, "en", "a")]
+    rows += [(5, prose(k, 30) + base[: 40 * k] + prose(20 + k, 60), "en", "a") for k in range(1, 8)] + [(6, prose(21, 60) + "x", "en", "a"), (5, prose(22, 60), "en", "a")]
+    for df in (odd, documents(rows)):
+        assert multiset(removed_bytes(df).collect()) == multiset(brute_removed_of_all(spark, df))
+    texts_left = [r.text for r in without_repeats(documents(rows)).collect()]
+    assert prose(12, 90) in texts_left
+
+
 def test_repeated_rows_do_not_remove_each_other(documents):
     got = removed_bytes(documents([(1, prose(1, 100), "en", "a")] * 2)).collect()
     assert [r.n_removed for r in got] == [0, 0]
