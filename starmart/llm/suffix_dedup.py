@@ -11,8 +11,11 @@ have equal anchors. So:
    yields the maximal repeats, left-extension diversity telling which are maximal to the
    left; each group has all its occurrences, and all but the first are removed.
 3. An anchor whose counter holds more than a task's share of all spans (the middle of a
-   line that a third of the documents have) would make one suffix array too large. The
-   strings of its spans are sent one by one, by the hash of their LEAST bytes.
+   line that a third of the documents have) would bring too many spans to one task of
+   step 1. The strings of its spans are sent one by one, by the hash of their LEAST bytes.
+4. A suffix array never has more than ARRAY_BYTES of spans. Where the distinct spans of one
+   anchor have more, their strings are sent by hash as well: each string's places are
+   a sorted stream, of which all but the first are removed.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from starmart.llm.counters import places, summed
 
 LEAST = 100
 KGRAM = 32
-#: Spans that a task sorts at once, and bytes of spans of one suffix array.
+#: Spans that a task sorts at once, and the most bytes of spans of one suffix array: its rows take about 45 times as much.
 FLUSH, ARRAY_BYTES = 1 << 20, 1 << 18
 #: A counter with more than this share of a part's spans is hot; no fewer spans than FEW are.
 HOT_SHARE, FEW = 1 / 16, 2000
@@ -154,9 +157,9 @@ def maximal_repeats(pieces: list[bytes], groups: np.ndarray, least: int = LEAST)
     width = int(remaining.max())
     rows = np.zeros((len(piece), width + 4), np.uint8)
     rows[:, :4] = groups[piece].astype(">u4").view(np.uint8).reshape(-1, 4)
-    at = (base[piece] + begin)[:, None] + np.arange(width)
-    inside = np.arange(width) < remaining[:, None]
-    rows[:, 4:] = np.where(inside, data[np.minimum(at, len(data) - 1)], 0)
+    # A suffix is a row of its bytes: windows over the data, without an index for each byte.
+    rows[:, 4:] = np.lib.stride_tricks.sliding_window_view(np.pad(data, (0, width)), width)[base[piece] + begin]
+    rows[:, 4:][np.arange(width) >= remaining[:, None]] = 0
     order = np.argsort(rows.view(f"S{width + 4}").reshape(-1), kind="stable")
     rows, piece, begin, remaining = rows[order], piece[order], begin[order], remaining[order]
     prefix = np.zeros(len(piece), np.int64)
@@ -194,8 +197,54 @@ def _repeated(rows: list[tuple[int, int, int, int, bytes]]) -> Places:
     return merged_intervals(doc[at], tie[at], low[at], low[at] + covered[at])
 
 
+def _removed(held: list[tuple[int, int, int, int, bytes]]) -> pa.RecordBatch:
+    return _found(*_repeated(held)).select(["doc", "tie", "low", "high"])
+
+
+def _too_large(firsts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the distinct spans share their anchor with others, and which of all have an anchor whose spans exceed `most` bytes."""
+    _, at, n = np.unique(firsts["anchor"], return_inverse=True, return_counts=True)
+    return n[at] > 1, np.bincount(at, firsts["size"], len(n))[at] > most
+
+
+def compared(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """What to remove of sorted rows (anchor, doc, tie, low, bytes), in suffix arrays of at most `most` bytes of spans.
+
+    Where bytes is null, the row is one string of LEAST bytes whose hash is the anchor.
+    """
+    held: list[tuple[int, int, int, int, bytes]] = []
+    size, last, first = 0, None, None
+    begin = 0  # of the last anchor's rows
+    for batch in batches:
+        columns = [batch.column(i).to_pylist() for i in range(5)]
+        later = []
+        for row in zip(*columns):
+            if row[4] is None:
+                if first is None or row[0] != first[0]:
+                    first = row
+                elif row[1:4] != first[1:4]:
+                    later.append(row[1:4])
+                continue
+            if row == last:  # the same row again
+                continue
+            if last is not None and row[0] != last[0]:
+                begin = len(held)
+            if begin and size + len(row[4]) > most:  # the whole anchors before this one
+                yield _removed(held[:begin])
+                held, begin = held[begin:], 0
+                size = sum(len(r[4]) for r in held)
+            held.append(row)
+            last = row
+            size += len(row[4])
+        if later:
+            doc, tie, low = np.array(later, np.int64).T
+            yield _found(*merged_intervals(doc, tie, low, low + LEAST)).select(["doc", "tie", "low", "high"])
+    if held:
+        yield _removed(held)
+
+
 _MESSAGE = "part int, kind int, data binary"
-_FOUND = "doc long, tie long, low long, high long, anchor long, hash long"
+_FOUND = "doc long, tie long, low long, high long, anchor long, hash long, single boolean"
 
 
 def _key(docs: DataFrame) -> list[Column]:
@@ -217,6 +266,7 @@ def removals(docs: DataFrame, key: list[Column]) -> DataFrame:
     rows = docs.select(*key, "text").where("text IS NOT NULL")
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     counters = summed(rows, lambda texts: _anchors(*flat(texts))[0])
+    most = ARRAY_BYTES
     hot = counters > max(FEW, HOT_SHARE * counters.sum() / parts)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,14 +311,14 @@ def removals(docs: DataFrame, key: list[Column]) -> DataFrame:
     def decided(spans: np.ndarray) -> Iterator[pa.RecordBatch]:
         firsts, later = _first_of_each(spans)
         yield _found(*merged_intervals(later["doc"], later["tie"], later["low"], later["low"] + later["size"]))
-        _, at, n = np.unique(firsts["anchor"], return_inverse=True, return_counts=True)
-        asked = firsts[n[at] > 1]
-        yield _found(asked["doc"], asked["tie"], asked["low"], asked["low"] + asked["size"], asked["anchor"], asked["hash"])
+        shared, single = _too_large(firsts, most)
+        asked = firsts[shared]
+        yield _found(asked["doc"], asked["tie"], asked["low"], asked["low"] + asked["size"], asked["anchor"], asked["hash"], single[shared])
 
     sent = rows.mapInArrow(send, _MESSAGE).repartition(parts // 4, "part").sortWithinPartitions("part", "kind")
     found = stored(sent.mapInArrow(receive, _FOUND), "repeats")
     ranges_found = found.where("anchor IS NULL").select("doc", "tie", "low", "high")
-    asked = found.where("anchor IS NOT NULL").groupBy("doc", "tie").agg(F.collect_list(F.struct("anchor", "hash", "low", "high")).alias("spans"))
+    asked = found.where("anchor IS NOT NULL").groupBy("doc", "tie").agg(F.collect_list(F.struct("anchor", "hash", "low", "high", "single")).alias("spans"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -278,31 +328,29 @@ def removals(docs: DataFrame, key: list[Column]) -> DataFrame:
                 lists = part.column("spans")
                 span = lists.flatten()
                 text = np.repeat(np.arange(part.num_rows), np.asarray(pc.list_value_length(lists)))
-                anchor, hashed, low, high = (np.asarray(span.field(i)) for i in range(4))
+                anchor, hashed, low, high, single = (np.asarray(span.field(i).to_numpy(zero_copy_only=False)) for i in range(5))
                 # A row whose text only hashes alike is none of the span's.
                 fits = begins[:-1][text] + high <= begins[1:][text]
                 a, b = (begins[:-1][text] + low)[fits], (begins[:-1][text] + high)[fits]
-                same = span_hashes(data, a, b) == hashed[fits].astype(np.uint64)
-                fits[fits] = same
+                fits[fits] = span_hashes(data, a, b) == hashed[fits].astype(np.uint64)
+                spanned, alone = np.flatnonzero(fits & ~single), np.flatnonzero(fits & single)
+                count = (high - low)[alone] - LEAST + 1
+                at, begin = np.repeat(alone, count), ranges(low[alone], count)
+                string = begins[:-1][text[at]] + begin
+                sent = np.append(spanned, at)
+                a = begins[:-1][text[spanned]]
+                cut = [whole[x:y] for x, y in zip((a + low[spanned]).tolist(), (a + high[spanned]).tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor[fits]), *(part.column(c).take(pa.array(text[fits])) for c in ("doc", "tie")), pa.array(low[fits]), pa.array([whole[x:y] for x, y in zip(a[same].tolist(), b[same].tolist())], pa.binary())],
+                    [
+                        pa.array(np.append(anchor[spanned], mixed(span_hashes(data, string, string + LEAST)).astype(np.int64))),
+                        *(part.column(c).take(pa.array(text[sent])) for c in ("doc", "tie")),
+                        pa.array(np.append(low[spanned], begin)), pa.array(cut + [None] * len(at), pa.binary()),
+                    ],
                     names=["anchor", "doc", "tie", "low", "bytes"],
-                )
+                )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, int, int, int, bytes]] = []
-        size = 0
-        for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                if held and row == held[-1]:  # the same row again
-                    continue
-                if size >= ARRAY_BYTES and row[0] != held[-1][0]:
-                    yield _found(*_repeated(held)).select(["doc", "tie", "low", "high"])
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[4])
-        if held:
-            yield _found(*_repeated(held)).select(["doc", "tie", "low", "high"])
+        yield from compared(batches, most)
 
     edges = rows.join(asked, ["doc", "tie"]).select("doc", "tie", "text", "spans").mapInArrow(fetch, "anchor long, doc long, tie long, low long, bytes binary")
     edges = edges.repartition("anchor").sortWithinPartitions("anchor", "doc", "tie", "low").mapInArrow(compare, "doc long, tie long, low long, high long")
@@ -326,9 +374,10 @@ def _unpacked(data: bytes) -> np.ndarray:
     return out
 
 
-def _found(doc: np.ndarray, tie: np.ndarray, low: np.ndarray, high: np.ndarray, anchor: np.ndarray | None = None, hashed: np.ndarray | None = None) -> pa.RecordBatch:
+def _found(doc: np.ndarray, tie: np.ndarray, low: np.ndarray, high: np.ndarray, anchor: np.ndarray | None = None, hashed: np.ndarray | None = None, single: np.ndarray | None = None) -> pa.RecordBatch:
     extra = [pa.nulls(len(doc), pa.int64()) if x is None else pa.array(x.astype(np.int64)) for x in (anchor, hashed)]
-    return pa.RecordBatch.from_arrays([pa.array(np.asarray(x, np.int64)) for x in (doc, tie, low, high)] + extra, names=["doc", "tie", "low", "high", "anchor", "hash"])
+    extra.append(pa.nulls(len(doc), pa.bool_()) if single is None else pa.array(single))
+    return pa.RecordBatch.from_arrays([pa.array(np.asarray(x, np.int64)) for x in (doc, tie, low, high)] + extra, names=["doc", "tie", "low", "high", "anchor", "hash", "single"])
 
 
 def _with_ranges(docs: DataFrame) -> DataFrame:
@@ -350,7 +399,7 @@ def _cut(text: bytes, found: list[dict] | None) -> tuple[list[tuple[int, int]],
     return runs, b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
 
 
-def _whole_points(text: bytes, runs: list[tuple[int, int]]) -> bytes:
+def _spannedpoints(text: bytes, runs: list[tuple[int, int]]) -> bytes:
     """What stays of the text if runs are cut, but no code point is cut in two."""
     out, at = [], 0
     for low, high in runs:
@@ -377,7 +426,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             texts, stays = [], []
             for text, found in zip(columns["text"].to_pylist(), batch.column("ranges").to_pylist()):
                 data = (text or "").encode()
-                kept = _whole_points(data, _cut(data, found)[0])
+                kept = _spannedpoints(data, _cut(data, found)[0])
                 texts.append(None if text is None else kept.decode())
                 stays.append(len(kept) == len(data) or bool(kept.strip()))
             columns["text"] = pa.array(texts, columns["text"].type)

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -316,6 +317,22 @@ def test_repeated_strings_of_rows_without_id_or_of_one_id(spark, odd, documents,
     assert prose(12, 90) in texts_left
 
 
+def test_suffix_arrays_have_a_bound(sample, odd, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "ARRAY_BYTES", 250)
+    for df in (sample, odd.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])):
+        assert multiset(removed_bytes(df).collect()) == multiset(brute_removed(texts(df)))
+
+
+def test_memory_of_a_suffix_array():
+    rng = np.random.default_rng(5)
+    pieces = [rng.integers(97, 123, 135, np.uint8).tobytes() for _ in range(1900)]
+    tracemalloc.start()
+    maximal_repeats(pieces, np.zeros(len(pieces), np.int64))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * len(pieces) * 36 * 139  # bytes for each byte of each suffix
+
+
 def test_repeated_rows_do_not_remove_each_other(documents):
     got = removed_bytes(documents([(1, prose(1, 100), "en", "a")] * 2)).collect()
     assert [r.n_removed for r in got] == [0, 0]
