@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from starmart.llm.common import by_batch, distinct_words, flat, mixed, shipped, slices, words
 from starmart.llm.token_counts import kinds
 
-#: The bound of the sample that the model is fitted on.
+#: About so many rows of each language are in the sample that the model is fitted on; all of a language that has no more.
 SAMPLE_DOCUMENTS = 20_000
 BUCKETS = 1 << 16
 #: Cost of a change of language, in natural log units.
@@ -118,14 +118,17 @@ class Model:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> Model:
-    """Learns from text and lang of about `sample` rows at most, chosen by a hash of their id; their whole texts are counted.
+    """Learns from text and lang of about `sample` rows of each language at most, chosen by a hash of their id (of their
+    text where it is null); all rows of a language that has no more. Their whole texts are counted.
 
     Rows whose text or lang is null are not used. The counts that come back have at
     most languages * (BUCKETS + scripts) rows.
     """
     docs = docs.where("text IS NOT NULL AND lang IS NOT NULL")
-    share = min(1.0, sample / max(1, docs.count()))
-    chosen = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
+    large = {r["lang"]: int(1_000_000 * sample / r["n"]) for r in docs.groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") > sample).collect()}
+    draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")), F.lit(11)), F.lit(1_000_000))
+    rate = F.create_map(*[F.lit(x) for pair in large.items() for x in pair])[F.col("lang")] if large else F.lit(None).cast("int")
+    chosen = docs.where(draw < F.coalesce(rate, F.lit(1_000_000)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
@@ -207,8 +210,8 @@ def _weights(labels: np.ndarray, letters: np.ndarray, first: np.ndarray, k: int)
 def predicted(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
     """doc_id, lang_pred, score, and `spans`: an array of (lang, first word, end word, exclusive).
 
-    score is the share of the text's letters that lie in spans of lang_pred; ties go to
-    the language that sorts first. `und`, with score 0 and no spans, where the text is
+    score is the share of the text's letters that lie in spans of lang_pred, in words of a script
+    that some language uses: 0 where there are none; ties go to the language that sorts first. `und`, with score 0 and no spans, where the text is
     null or has no letter, or where nothing was learned. Each row by itself: null ids and
     repeated rows stay, other columns are not read; no rows give no rows.
     """
@@ -224,7 +227,8 @@ def predicted(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFram
                 labels = best_path(model.word_scores(w)[w.place], w.first, switch)
                 weights = _weights(labels, w.letters[w.place], w.first, k)
                 total = weights.sum(axis=1)
-                score = weights.max(axis=1) / np.maximum(total, 1)
+                known = np.where(model.scripts[w.script].any(axis=1), w.letters, 0)
+                score = _weights(labels, known[w.place], w.first, k)[np.arange(n), weights.argmax(axis=1)] / np.maximum(total, 1)
                 best = [names[j] if t else UNKNOWN for j, t in zip(weights.argmax(axis=1), total)]
                 change = np.ones(len(labels), bool)
                 change[1:] = labels[1:] != labels[:-1]

@@ -271,6 +271,14 @@ def test_language_spans(sample, documents):
     assert [s.lang for s in mixed.spans] == ["en", "de"] and abs(mixed.spans[0].end - 60) <= 2
 
 
+def test_rare_languages_are_learned_and_unknown_scripts_score_low(documents):
+    rows = [(i, prose(i, 20), "en", "a") for i in range(300)] + [(1000 + i, f"été naïve ça où {i}", x, "a") for i, x in enumerate(("fr", "oc", "ca"))]
+    model = fit(documents(rows), sample=10)
+    assert model.languages == ["ca", "en", "fr", "oc"]
+    got = {r.doc_id: r for r in predicted(documents([(1, "Привет мир", None, None), (2, prose(3, 50), None, None)]), model).collect()}
+    assert got[1].score == 0 and got[2].lang_pred == "en" and got[2].score == 1
+
+
 def brute_removed(rows):
     seen, out = set(), []
     for i, t in sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0)):
