@@ -11,6 +11,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -21,13 +22,28 @@ _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _POWERS: list[np.ndarray] = []
 
+#: Span hashes are polynomials modulo this prime, in bases that no byte pattern is special to.
+_PRIME = (1 << 61) - 1
+_BASES = (0x0B7E151628AED2A5, 0x1243F6A8885A308D)
+_PRIME_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: A span of so many bytes is hashed by itself: sums of longer ones would not fit 64 bits.
+_WIDE = 1 << 23
+
+_TEMPORARY: dict[str, str] = {}
+
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder of `spark.checkpoint.dir`, or in a temporary one where that is unset (tests)."""
+    """A new path in the shared folder of `spark.checkpoint.dir`.
+
+    Where that is unset, a local session takes a temporary folder, one for each application; any other session fails.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="starmart-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context = spark.sparkContext
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = _TEMPORARY.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="starmart-")
+        _TEMPORARY[context.applicationId] = root
     return f"{root.rstrip('/')}/starmart/{name}-{uuid.uuid4().hex}"
 
 
@@ -150,12 +166,63 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of bytes: its polynomial modulo 2^64 by prefix sums, then mixed."""
-    up, down = _powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """Unsigned 64-bit values modulo the prime."""
+    p = np.uint64(_PRIME)
+    x = (x & p) + (x >> np.uint64(61))
+    return np.where(x >= p, x - p, x)
+
+
+def _shifted(x: np.ndarray, bits: int) -> np.ndarray:
+    """x * 2^bits modulo the prime, for x below it: a rotation of 61 bits."""
+    return ((x << np.uint64(bits)) & np.uint64(_PRIME)) | (x >> np.uint64(61 - bits))
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo the prime, for values below it, in halves of 32 and 29 bits."""
+    low, half = np.uint64(0xFFFFFFFF), np.uint64(32)
+    a0, a1, b0, b1 = a & low, a >> half, b & low, b >> half
+    across = _reduced(_reduced(a0 * b1) + _reduced(a1 * b0))
+    out = _reduced(_reduced(a0 * b0) + _shifted(across, 32))
+    return _reduced(out + _shifted(_reduced(a1 * b1), 3))  # 2^64 is 2^3 there
+
+
+def _prime_powers(n: int, key: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of a base and of its inverse modulo the prime."""
+    known = _PRIME_POWERS.get(key)
+    if known is not None and len(known[0]) >= n:
+        return known
+    size, tables = max(n, 2 * SLICE_BYTES), []
+    for base in (_BASES[key], pow(_BASES[key], -1, _PRIME)):
+        table = np.ones(size, np.uint64)
+        done = 1
+        while done < size:
+            more = min(done, size - done)
+            table[done : done + more] = _times(table[:more], np.uint64(pow(base, done, _PRIME)))
+            done += more
+        tables.append(table)
+    if n <= 8 * SLICE_BYTES:  # those of a very long text are not kept
+        _PRIME_POWERS[key] = (tables[0], tables[1])
+    return tables[0], tables[1]
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: int = 0) -> np.ndarray:
+    """A 64-bit hash of each span of bytes: its polynomial modulo 2^61 - 1 by prefix sums, then mixed.
+
+    `key` 0 or 1 picks one of two bases: together they tell apart what one of them does not.
+    """
+    up, down = _prime_powers(len(data) + 1, key)
+    values = data.astype(np.uint64) + np.uint64(1)
+    sizes = (ends - starts).astype(np.uint64)
+    halves = []
+    for part in (up[: len(data)] & np.uint64(0xFFFFFFFF), up[: len(data)] >> np.uint64(32)):
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(values * part, out=sums[1:])
+        halves.append(_reduced(sums[ends] - sums[starts]))  # exact: below 2^64 for a span of less than _WIDE bytes
+    out = _times(_reduced(halves[0] + _shifted(halves[1], 32)), down[starts])
+    for i in np.flatnonzero(sizes >= _WIDE).tolist():
+        out[i] = _reduced(np.uint64([xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes(), key)]))[0]
+    return mixed(out + sizes * np.uint64(0xD6E8FEB86659FD93))
 
 
 def lowered(data: np.ndarray) -> np.ndarray:

@@ -28,6 +28,8 @@ SPACE = "\u2581"
 BATCH_BYTES = 4 << 20
 #: Distinct words that a process remembers; beyond that it forgets all and goes on.
 REMEMBERED = 2_000_000
+#: Characters of a word that is relaxed by itself; shorter ones go place by place, all at once.
+LONG = 512
 _READY: dict[str, "Pieces"] = {}
 
 
@@ -87,6 +89,7 @@ class Pieces:
     def _forget(self) -> None:
         self.hashes = np.zeros(0, np.uint64)
         self.places = np.zeros(0, np.int64)
+        self.checks = np.zeros(0, np.uint64)
         self.begins = np.zeros(0, np.int64)
         self.counts = np.zeros(0, np.int64)
         self.known = np.zeros(0, np.int32)
@@ -133,7 +136,7 @@ class Pieces:
         count = high - low
         return suffixes[ranges(low, count)], np.repeat(np.arange(len(count)), count)
 
-    def _learn(self, hashes: np.ndarray, words: list[np.ndarray]) -> None:
+    def _learn(self, hashes: np.ndarray, checks: np.ndarray, words: list[np.ndarray]) -> None:
         """Encodes words (code points) not seen so far."""
         sizes = np.array([len(w) for w in words], np.int64)
         starts = np.cumsum(sizes + 1) - sizes - 1
@@ -157,7 +160,11 @@ class Pieces:
         begin, end, piece, offset = begin[order], end[order], piece[order], offset[order]
         last = np.full(len(points) + 1, -2, np.int64)  # the piece that reaches each place
         last[starts] = -1
-        edges = np.searchsorted(offset, np.arange(1, int(offset[-1]) + 2))
+        wide = sizes[np.searchsorted(starts, begin, "right") - 1] > LONG
+        if wide.any():
+            self._relax(last, begin[wide], end[wide], piece[wide])
+            begin, end, piece, offset = begin[~wide], end[~wide], piece[~wide], offset[~wide]
+        edges = np.searchsorted(offset, np.arange(1, int(offset[-1]) + 2 if len(offset) else 1))
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
             before = last[begin[a:b]]
             open_ = np.flatnonzero(before >= -1)
@@ -165,7 +172,10 @@ class Pieces:
             last[end[a:b][good]] = piece[a:b][good]
         # Back from the words' ends.
         at, ends = starts + sizes, np.zeros(len(points) + 1, bool)
-        live = np.arange(len(words))
+        for w in np.flatnonzero(sizes > LONG).tolist():
+            back = _walked(last, self.length, int(starts[w]), int(at[w]))
+            ends[back] = True
+        live = np.flatnonzero(sizes <= LONG)
         while len(live):
             here = at[live]
             ends[here] = True
@@ -185,10 +195,43 @@ class Pieces:
         where = np.searchsorted(self.hashes, hashes[order])
         self.hashes = np.insert(self.hashes, where, hashes[order])
         self.places = np.insert(self.places, where, len(self.begins) + order)
+        self.checks = np.concatenate([self.checks, checks])
         self.begins = np.concatenate([self.begins, len(self.known) + np.cumsum(counts) - counts])
         self.counts = np.concatenate([self.counts, counts])
         self.known = np.concatenate([self.known, ids.astype(np.int32)])
 
+    def _relax(self, last: np.ndarray, begin: np.ndarray, end: np.ndarray, piece: np.ndarray) -> None:
+        """Relaxes the edges of long words one by one, by their ends, in runs of a bounded number."""
+        order = np.argsort(end, kind="stable")
+        fit: dict[tuple[int, int], bool] = {}
+        least = int(begin.min()) if len(begin) else 0
+        reach = last[least:].tolist()
+        for low in range(0, len(order), 1 << 16):
+            part = order[low : low + (1 << 16)]
+            for a, b, p in zip((begin[part] - least).tolist(), (end[part] - least).tolist(), piece[part].tolist()):
+                before = reach[a]
+                if before < -1:
+                    continue
+                if (before, p) not in fit:
+                    fit[before, p] = bool(self._may_follow(np.array([before]), np.array([p]))[0])
+                if fit[before, p]:
+                    reach[b] = p
+        last[least:] = reach
+
+    def _places_of(self, spelled: np.ndarray, edges: np.ndarray) -> np.ndarray | None:
+        """The place of each distinct word, after learning the new ones; None if a hash stands for two words."""
+        hashes, checks = (span_hashes(spelled, edges[:-1], edges[1:], key) for key in (0, 1))
+        where = np.searchsorted(self.hashes, hashes)
+        new = where == len(self.hashes)
+        new[~new] = self.hashes[where[~new]] != hashes[~new]
+        if (self.checks[self.places[where[~new]]] != checks[~new]).any() or len(np.unique(hashes[new])) < new.sum():
+            return None
+        if new.any():
+            found = _as_points(spelled, edges)
+            self._learn(hashes[new], checks[new], [found[i] for i in np.flatnonzero(new).tolist()])
+            where = np.searchsorted(self.hashes, hashes)
+        return self.places[where]
+
     def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (no nulls), and where each text's ids begin (with one more entry for the end)."""
         data, begins = flat(texts)
@@ -209,20 +252,21 @@ class Pieces:
         ends = np.append(starts[1:], len(points))
         distinct, at = distinct_words(points.view(np.uint8), 4 * starts, 4 * ends)
         spelled, edges = flat(distinct)
-        hashes = span_hashes(spelled, edges[:-1], edges[1:])
         if len(self.hashes) > REMEMBERED:
             self._forget()
-        where = np.searchsorted(self.hashes, hashes)
-        new = where == len(self.hashes)
-        new[~new] = self.hashes[where[~new]] != hashes[~new]
-        if new.any():
-            whole = np.frombuffer(spelled.tobytes(), np.uint32)
-            self._learn(hashes[new], [whole[a:b] for a, b in zip((edges[:-1][new] // 4).tolist(), (edges[1:][new] // 4).tolist())])
-            where = np.searchsorted(self.hashes, hashes)
-        places = self.places[where][at]
+        where = self._places_of(spelled, edges)
+        clash = where is None
+        if clash:  # two words of one hash: this batch's words go by their number
+            self._forget()
+            numbers = np.arange(len(distinct), dtype=np.uint64)
+            self._learn(numbers, numbers, _as_points(spelled, edges))
+            where = numbers.astype(np.int64)
+        places = where[at]
         counts = self.counts[places]
         ids = self.known[ranges(self.begins[places], counts)].astype(np.int64)
         total = np.concatenate([[0], np.cumsum(counts)])
+        if clash:
+            self._forget()
         return ids, total[np.searchsorted(starts, text_starts, "left")]
 
     def decode_batch(self, ids: np.ndarray, begins: np.ndarray) -> list[str]:
@@ -233,6 +277,21 @@ class Pieces:
         return [data[a + (data[a : a + 1] == b" ") : b].decode("utf-8", "replace") for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
 
+def _as_points(spelled: np.ndarray, edges: np.ndarray) -> list[np.ndarray]:
+    """Words of four bytes a character as code points."""
+    whole = np.frombuffer(spelled.tobytes(), np.uint32)
+    return [whole[a:b] for a, b in zip((edges[:-1] // 4).tolist(), (edges[1:] // 4).tolist())]
+
+
+def _walked(last: np.ndarray, length: np.ndarray, start: int, at: int) -> list[int]:
+    """The ends of a word's pieces, from its last one back."""
+    steps, out = length[last[start : at + 1]].tolist(), []
+    while at > start:
+        out.append(at)
+        at -= steps[at - start]
+    return out
+
+
 def _path(model: str | None) -> str:
     return model or public_tokenizers.path("piece_bpe_32k.model")
 

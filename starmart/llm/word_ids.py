@@ -44,8 +44,9 @@ class WordIds:
         return self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _forget(self) -> None:
-        self.hashes = np.zeros(0, np.uint64)  # ascending, and for each the word's place in `begins` and `sizes`
+        self.hashes = np.zeros(0, np.uint64)  # ascending, and for each the word's place in `checks`, `begins` and `sizes`
         self.places = np.zeros(0, np.int32)
+        self.checks = np.zeros(0, np.uint64)
         self.begins = np.zeros(0, np.int64)
         self.sizes = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
@@ -67,16 +68,30 @@ class WordIds:
             ids.append(np.delete(found, at))
         return np.concatenate(ids), np.concatenate(sizes)
 
-    def _learn(self, hashes: np.ndarray, new: list[bytes]) -> None:
+    def _learn(self, hashes: np.ndarray, checks: np.ndarray, new: list[bytes]) -> None:
         ids, sizes = self._tokenize(new)
         order = np.argsort(hashes)
         at = np.searchsorted(self.hashes, hashes[order])
         self.hashes = np.insert(self.hashes, at, hashes[order])
         self.places = np.insert(self.places, at, (len(self.begins) + order).astype(np.int32))
+        self.checks = np.concatenate([self.checks, checks])
         self.begins = np.concatenate([self.begins, len(self.ids) + np.cumsum(sizes, dtype=np.int64) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
         self.ids = np.concatenate([self.ids, ids])
 
+    def _places_of(self, spelled: np.ndarray, edges: np.ndarray, distinct: pa.Array) -> np.ndarray | None:
+        """The place of each distinct word, after learning the new ones; None if a hash stands for two words."""
+        hashes, checks = (span_hashes(spelled, edges[:-1], edges[1:], key) for key in (0, 1))
+        where = np.searchsorted(self.hashes, hashes)
+        new = where == len(self.hashes)
+        new[~new] = self.hashes[where[~new]] != hashes[~new]
+        if (self.checks[self.places[where[~new]]] != checks[~new]).any() or len(np.unique(hashes[new])) < new.sum():
+            return None
+        if new.any():
+            self._learn(hashes[new], checks[new], distinct.filter(pa.array(new)).to_pylist())
+            where = np.searchsorted(self.hashes, hashes)
+        return self.places[where].astype(np.int64)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (no nulls), and where each text's ids begin (with one more entry for the end)."""
         data, begins = flat(texts)
@@ -90,18 +105,20 @@ class WordIds:
             starts, ends, first = words(data, begins, cuts)
         distinct, at = distinct_words(data, starts, ends)
         spelled, edges = flat(distinct)
-        hashes = span_hashes(spelled, edges[:-1], edges[1:])
         if len(self.hashes) > REMEMBERED:
             self._forget()
-        where = np.searchsorted(self.hashes, hashes)
-        new = where == len(self.hashes)
-        new[~new] = self.hashes[where[~new]] != hashes[~new]
-        if new.any():
-            self._learn(hashes[new], distinct.filter(pa.array(new)).to_pylist())
-            where = np.searchsorted(self.hashes, hashes)
-        places = self.places[where][at]
+        where = self._places_of(spelled, edges, distinct)
+        clash = where is None
+        if clash:  # two words of one hash: this batch's words go by their number
+            self._forget()
+            numbers = np.arange(len(distinct), dtype=np.uint64)
+            self._learn(numbers, numbers, distinct.to_pylist())
+            where = numbers.astype(np.int64)
+        places = where[at]
         counts = self.sizes[places]
         ids = self.ids[ranges(self.begins[places], counts)]
         ends_at = np.zeros(len(counts) + 1, np.int64)
         np.cumsum(counts, out=ends_at[1:])
+        if clash:
+            self._forget()
         return ids, ends_at[first]
