@@ -119,13 +119,16 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[begins[0] : begins[-1]], begins - begins[0]
 
 
-def words(data: np.ndarray, begins: np.ndarray, cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(
+    data: np.ndarray, begins: np.ndarray, cuts: np.ndarray | None = None, inside: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Begin and end of each word `[^\\x20\\x09-\\x0D]+` in the bytes, and for each text its first word (one more for the end).
 
     White space is ASCII here, so byte positions never fall inside a code point; no word crosses a text.
-    `cuts` marks bytes at which another word begins, if any.
+    `cuts` marks bytes at which another word begins, if any; `inside` the bytes of words, where these are others.
     """
-    inside = (data != 32) & ((data < 9) | (data > 13))
+    if inside is None:
+        inside = (data != 32) & ((data < 9) | (data > 13))
     first = np.zeros(len(data) + 1, bool)
     if cuts is not None:
         first[:-1] = cuts
@@ -270,6 +273,20 @@ def text_shingles(texts: pa.Array, size: int, with_lengths: bool = False) -> lis
     return shingles(span_hashes(data, starts, ends), first, size, ends - starts if with_lengths else None)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """The batches joined to larger ones of about `most` bytes in the text `column`; a larger one is cut by `slices`."""
+    waiting: list[pa.RecordBatch] = []
+    held = 0
+    for batch in batches:
+        waiting.append(batch)
+        held += pc.sum(pc.binary_length(batch.column(column))).as_py() or 0
+        if held >= most:
+            yield from slices(pa.concat_batches(waiting), column, most)
+            waiting, held = [], 0
+    if waiting:
+        yield from slices(pa.concat_batches(waiting), column, most)
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The integers of all ranges [start, start + length), one after the other."""
     ends = np.cumsum(lengths, dtype=np.int64)

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starmart.llm.collocations import collocations
 from starmart.llm.fingerprints import compared
 from starmart.llm.html_text import page_texts
 from starmart.llm.jaccard_join import Join, similar_documents
 from starmart.llm.language_id import held_out_predictions
 from starmart.llm.packing import packed_documents
+from starmart.llm.quality_model import quality_scores
 from starmart.llm.quality_rules import judged
+from starmart.llm.ranked_search import ranked
 from starmart.llm.secrets import digest, secret_spans
 from starmart.llm.sentencepieces import round_trips
 from starmart.llm.suffix_dedup import removed_bytes
@@ -67,6 +70,21 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed_bytes(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's firmest phrases of 2 to 5 words that occur 100 times or more."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learned from the labels of four of five folds."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of each benchmark item."""
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -80,5 +98,8 @@ QUERIES = {
         op8_language_id,
         op9_html_extraction,
         op10_suffix_array_dedup,
+        op11_phrase_collocations,
+        op12_quality_classifier,
+        op13_ranked_search,
     )
 }

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from starmart.llm.collocations import Phrases
 from starmart.llm.quality_rules import BASE_RULES, RULES, HostPolicy
+from starmart.llm.ranked_search import Ranking
 
 _FAILS = ", ".join(f"({rule}) AS fails_{name}" for name, rule in RULES.items())
 
@@ -46,4 +48,57 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged JOIN verdicts USING (host)"""
 
 
-SQL = {"op5_quality_rules": quality_rules()}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def collocations(policy: Phrases = Phrases()) -> str:
+    return rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+runs AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM runs GROUP BY lang),
+begun AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM runs),
+counts AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f
+  FROM begun, range(1, {policy.longest + 1}) t(size) WHERE i + size - 1 <= len(w)
+  GROUP BY ALL HAVING count(*) >= {policy.least}),
+candidates AS (SELECT *, string_split(phrase, ' ') AS p FROM counts WHERE size > 1),
+inside AS (
+  SELECT lang, array_to_string(p[i:i + s - 1], ' ') AS phrase, max(f) AS f
+  FROM candidates, range(2, {policy.longest}) t(s), range(1, {policy.longest + 1}) u(i)
+  WHERE s < size AND i + s - 1 <= size GROUP BY ALL),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, k, x.f AS l, y.f AS r, n, (1000::HUGEINT * c.f * n) // (x.f::HUGEINT * y.f) AS score
+  FROM candidates c JOIN range(1, {policy.longest}) t(k) ON k < c.size
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.p[1:k], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.p[k + 1:], ' ')
+  JOIN totals t ON t.lang = c.lang),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+placed AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+  FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase WHERE i.f IS NULL OR 100 * i.f < 100 * a)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM placed WHERE rank <= {policy.most}"""
+
+
+def ranked(ranking: Ranking = Ranking()) -> str:
+    term = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, unnest(regexp_extract_all({_LOWER}, {term})) AS term FROM documents),
+q AS (SELECT row_number() OVER () AS item, item_id, unnest(regexp_extract_all({_LOWER}, {term})) AS term FROM benchmark),
+tf AS (SELECT row, doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+sizes AS (SELECT row, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY row),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, totals GROUP BY term, docs),
+asked AS (SELECT item, item_id, term, count(*) AS times FROM q GROUP BY ALL),
+scores AS (
+  SELECT item, item_id, tf.row, doc_id,
+         CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM asked JOIN tf USING (term) JOIN weights USING (term) JOIN sizes ON sizes.row = tf.row, totals GROUP BY ALL),
+placed AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= {ranking.most}"""
+
+
+SQL = {"op5_quality_rules": quality_rules(), "op11_phrase_collocations": collocations(), "op13_ranked_search": ranked()}
