@@ -31,6 +31,8 @@ CAPACITY = 1 << 18
 FILTER_BITS = 1 << 28
 #: Bytes of text worked on at once, and hashes held before they are counted.
 _TEXT_BYTES, _HELD = 1 << 23, 1 << 22
+#: Rows of exact counts that a task adds up before it sends them.
+_COUNTED = 1 << 20
 #: Hashes of one row that goes to a summary, and bytes of each there: the rest tells the partition.
 _ROW_KEYS, _KEY_BYTES = 1 << 13, 5
 # Bytes of words 0, blanks between words 1, bytes that end a piece 2: `.,;:!?` and line breaks.
@@ -257,6 +259,24 @@ def _counted(langs: pa.Array, size: int, phrases: pa.Array, counts: np.ndarray)
     )
 
 
+def _added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The counts with equal phrases added up, in runs of a bounded number of rows."""
+    waiting: list[pa.Table] = []
+    for batch in batches:
+        waiting.append(pa.Table.from_batches([batch]))
+        if sum(map(len, waiting)) >= _COUNTED:
+            waiting = [_sums(waiting)]
+            if len(waiting[0]) > _COUNTED // 2:
+                yield from waiting.pop().to_batches(max_chunksize=10_000)
+    if waiting:
+        yield from _sums(waiting).to_batches(max_chunksize=10_000)
+
+
+def _sums(tables: list[pa.Table]) -> pa.Table:
+    names = ["lang", "n_words", "phrase"]
+    return pa.concat_tables(tables).combine_chunks().group_by(names).aggregate([("f", "sum")]).rename_columns([*names, "f"])
+
+
 def frequent_phrases(docs: DataFrame, policy: Phrases = Phrases()) -> DataFrame:
     """(lang, n_words, phrase, f): every phrase of 1 to `longest` words with `least` occurrences, and each language's words (n_words 0)."""
     docs = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
@@ -268,8 +288,8 @@ def frequent_phrases(docs: DataFrame, policy: Phrases = Phrases()) -> DataFrame:
     longer = spark.sparkContext.broadcast(_survivors(docs, policy, parts, pairs) if policy.longest > 2 else pairs.value)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in gathered(batches, "text", _TEXT_BYTES):
-            yield from _exact(batch, policy, pairs.value, longer.value)
+        found = (part for batch in gathered(batches, "text", _TEXT_BYTES) for part in _exact(batch, policy, pairs.value, longer.value))
+        return _added_up(found)
 
     counts = docs.mapInArrow(count, "lang string, n_words int, phrase string, f long")
     counts = counts.groupBy("lang", "n_words", "phrase").agg(F.sum("f").alias("f"))

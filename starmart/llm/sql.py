@@ -52,16 +52,23 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 
 
 def collocations(policy: Phrases = Phrases()) -> str:
+    sizes = range(1, policy.longest + 1)
+    ahead = ", ".join(f"lead(w, {k - 1}) OVER o AS w{k}" for k in sizes)
+    counted = " UNION ALL ".join(
+        f"SELECT lang, {k} AS size, {" || ' ' || ".join(f'w{j}' for j in range(1, k + 1))} AS phrase, count(*) AS f "
+        f"FROM windows WHERE w{k} IS NOT NULL GROUP BY ALL HAVING count(*) >= {policy.least}"
+        for k in sizes
+    )
     return rf"""
 WITH pieces AS (
-  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
-runs AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
-totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM runs GROUP BY lang),
-begun AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM runs),
-counts AS (
-  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f
-  FROM begun, range(1, {policy.longest + 1}) t(size) WHERE i + size - 1 <= len(w)
-  GROUP BY ALL HAVING count(*) >= {policy.least}),
+  SELECT row_number() OVER () AS piece, lang, t FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS t FROM documents) x),
+placed AS (
+  SELECT piece, lang, unnest(w) AS w, generate_subscripts(w, 1) AS i
+  FROM (SELECT piece, lang, regexp_extract_all(t, '[^\x20\x09]+') AS w FROM pieces) x),
+totals AS (SELECT lang, count(*) AS n FROM placed GROUP BY lang),
+windows AS (SELECT lang, {ahead} FROM placed WINDOW o AS (PARTITION BY piece ORDER BY i)),
+counts AS ({counted}),
 candidates AS (SELECT *, string_split(phrase, ' ') AS p FROM counts WHERE size > 1),
 inside AS (
   SELECT lang, array_to_string(p[i:i + s - 1], ' ') AS phrase, max(f) AS f
@@ -74,10 +81,10 @@ cuts AS (
   JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.p[k + 1:], ' ')
   JOIN totals t ON t.lang = c.lang),
 best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
-placed AS (
+ranks AS (
   SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
   FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase WHERE i.f IS NULL OR 100 * i.f < 100 * a)
-SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM placed WHERE rank <= {policy.most}"""
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranks WHERE rank <= {policy.most}"""
 
 
 def ranked(ranking: Ranking = Ranking()) -> str:
