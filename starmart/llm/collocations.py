@@ -267,9 +267,9 @@ def _added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if sum(map(len, waiting)) >= _COUNTED:
             waiting = [_sums(waiting)]
             if len(waiting[0]) > _COUNTED // 2:
-                yield from waiting.pop().to_batches(max_chunksize=10_000)
+                yield from waiting.pop().to_batches(max_chunksize=_COUNTED // 8)
     if waiting:
-        yield from _sums(waiting).to_batches(max_chunksize=10_000)
+        yield from _sums(waiting).to_batches(max_chunksize=_COUNTED // 8)
 
 
 def _sums(tables: list[pa.Table]) -> pa.Table:
@@ -277,6 +277,26 @@ def _sums(tables: list[pa.Table]) -> pa.Table:
     return pa.concat_tables(tables).combine_chunks().group_by(names).aggregate([("f", "sum")]).rename_columns([*names, "f"])
 
 
+_NAMES = ["lang", "n_words", "phrase", "f"]
+
+
+def _packed(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """The counts as one row of lists for each hash partition."""
+    for batch in batches:
+        part = ((_hashed(batch.column("phrase")) ^ _hashed(batch.column("lang"))) % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        held, begins = np.unique(part[order], return_index=True)
+        offsets = pa.array(np.append(begins, len(part)), pa.int32())
+        batch = batch.take(pa.array(order))
+        lists = [pa.ListArray.from_arrays(offsets, batch.column(name)) for name in _NAMES]
+        yield pa.RecordBatch.from_arrays([pa.array(held), *lists], names=["part", *_NAMES])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(name).flatten() for name in _NAMES], names=_NAMES)
+
+
 def frequent_phrases(docs: DataFrame, policy: Phrases = Phrases()) -> DataFrame:
     """(lang, n_words, phrase, f): every phrase of 1 to `longest` words with `least` occurrences, and each language's words (n_words 0)."""
     docs = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
@@ -289,9 +309,12 @@ def frequent_phrases(docs: DataFrame, policy: Phrases = Phrases()) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = (part for batch in gathered(batches, "text", _TEXT_BYTES) for part in _exact(batch, policy, pairs.value, longer.value))
-        return _added_up(found)
+        return _packed(_added_up(found), parts)
 
-    counts = docs.mapInArrow(count, "lang string, n_words int, phrase string, f long")
+    counts = docs.mapInArrow(count, "part int, lang array<string>, n_words array<int>, phrase array<string>, f array<long>")
+    # Tables of counts merge by hash partition; what a task had to send in several runs is added up at last.
+    merged = counts.repartitionById(parts, "part")
+    counts = merged.mapInArrow(lambda batches: _added_up(_unpacked(batches)), "lang string, n_words int, phrase string, f long")
     counts = counts.groupBy("lang", "n_words", "phrase").agg(F.sum("f").alias("f"))
     return counts.where(f"n_words = 0 AND f > 0 OR f >= {policy.least}")
 
