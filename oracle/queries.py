@@ -51,6 +51,34 @@ def _segment_group(op: str) -> str:
     )
 
 
+def _adding_up(group: str, source: str, *tables: str) -> str:
+    """Shares in hundredths of cents, cut to cents; the cents missing to the rounded total go to the largest remainders."""
+    by = f"PARTITION BY {group}" if group else ""
+    lead = f"{group}, " if group else ""
+    return q(
+        f"""WITH parts AS ({source}),
+            cut AS (SELECT *, part // 100 AS whole, part % 100 AS rest, (sum(part) OVER ({by}) + 50) // 100 AS total FROM parts),
+            short AS (SELECT *, total - sum(whole) OVER ({by}) AS missing, row_number() OVER ({by} ORDER BY rest DESC, Segment) AS place FROM cut)
+            SELECT {lead}Segment, {money("whole + CASE WHEN place <= missing THEN 1 ELSE 0 END", "weighted_revenue")} FROM short""",
+        *tables,
+    )
+
+
+_SHARES = "SELECT {columns}g.Segment, sum(gross_c * weight_c) AS part FROM fact_sale s {dates} " + _SEGMENT + " {where} GROUP BY ALL"
+_SHARED = ("fact_sale", "bridge_customersegment", "dimension_customersegment")
+_AFTER_ORDERS = q(
+    f"""WITH daily AS (
+          SELECT Buying_Group, Order_Date_Key AS day, sum(total_c) AS ordered
+          FROM fact_order JOIN dimension_customer USING (Customer_Key) GROUP BY ALL),
+        sold AS (SELECT Buying_Group, Invoice_Date_Key, gross_c FROM fact_sale JOIN dimension_customer USING (Customer_Key))
+        SELECT s.Buying_Group, count(*) AS n_sales, count(day) AS n_after_orders, {money('sum(gross_c)', 'revenue')},
+               {money('sum(ordered)', 'ordered_before')}, CAST(sum(Invoice_Date_Key - day) AS BIGINT) AS days_since
+        FROM sold s ASOF LEFT JOIN daily d ON s.Buying_Group = d.Buying_Group AND s.Invoice_Date_Key >= d.day
+        GROUP BY ALL""",
+    "fact_sale", "fact_order", "dimension_customer",
+)
+
+
 def _at_each_sale(op: str) -> str:
     return q(
         f"""SELECT s.Sale_Key, {day('s.Invoice_Date_Key')}, c.Customer, c.Buying_Group, {day('c.Valid_From')},
@@ -268,6 +296,25 @@ QUERIES: dict[str, str] = {
     "q06_revenue_by_historical_group_half_open": _group_by_year("<"),
     "q06_revenue_by_historical_group_left": _group_by_year("<", "LEFT JOIN"),
     "q06_revenue_by_historical_group_salted": _group_by_year("<="),
+    "q06_revenue_by_historical_group_in_order": _group_by_year("<="),
+    "q06_revenue_by_historical_group_in_order_left": _group_by_year("<", "LEFT JOIN"),
+    "j03_sales_after_orders": _AFTER_ORDERS,
+    "j03_sales_after_orders_copied": _AFTER_ORDERS,
+    "q08_segment_revenue_adding_up": _adding_up("", _SHARES.format(columns="", dates="", where=""), *_SHARED),
+    "q10_segment_revenue_by_year_adding_up": _adding_up(
+        "Calendar_Year", _SHARES.format(columns="d.Calendar_Year, ", dates=_DATE, where=""), *_SHARED, "dimension_date"
+    ),
+    "r04_segment_revenue_of_year_adding_up": _adding_up(
+        "", _SHARES.format(columns="", dates=_DATE, where="WHERE d.Calendar_Year = 1998"), *_SHARED, "dimension_date"
+    ),
+    "v03_apportioned_totals": q(
+        f"""SELECT CAST(0 AS INTEGER) AS Calendar_Year, {money('sum(gross_c)', 'allocated')}, {money('sum(gross_c)', 'total_revenue')},
+                   CAST(0 AS DOUBLE) AS missing FROM fact_sale
+            UNION ALL
+            SELECT CAST(year(Invoice_Date_Key) AS INTEGER), {money('sum(gross_c)', 'allocated')}, {money('sum(gross_c)', 'total_revenue')},
+                   CAST(0 AS DOUBLE) FROM fact_sale GROUP BY 1""",
+        "fact_sale",
+    ),
     "q07_customers_with_changes": q(
         f"""SELECT Customer_Key, Customer, Buying_Group, {day('Valid_From')}, {day('Valid_To')}, Is_Current
             FROM dimension_customer_scd2 QUALIFY count(*) OVER (PARTITION BY Customer_Key) >= 2""",

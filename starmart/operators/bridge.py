@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from decimal import Decimal
+
+from pyspark.sql import DataFrame, Window, functions as F
 
 from starmart.operators.star import reduce_fact, star_join
 
@@ -17,6 +19,24 @@ def bridge_join(
     return fact.join(bridge.select(key, *columns), key, how)
 
 
+def apportioned(parts: DataFrame, name: str, measures: list[str], by: list[str] | None = None) -> DataFrame:
+    """Exact decimal parts as whole cents that add up to their rounded total, by largest remainder.
+
+    Every part is cut to cents, and the cents that the total is short of go to the largest remainders, one each;
+    equal ones by member name. ``parts`` has one row per member and ``by`` combination, so a window holds no
+    more rows than there are members.
+    """
+    group = Window.partitionBy(*(by or [F.lit(0)]))
+    for m in measures:
+        cents = F.col(m) * 100
+        parts = parts.withColumns({"__whole": F.floor(cents), "__rest": cents - F.floor(cents), "__total": F.round(F.sum(m).over(group), 2) * 100})
+        short = F.col("__total") - F.sum("__whole").over(group)
+        place = F.row_number().over(group.orderBy(F.desc("__rest"), name))
+        whole = F.col("__whole") + F.when(place <= short, 1).otherwise(0)
+        parts = parts.withColumn(m, F.when(F.col(m).isNotNull(), (whole * F.lit(Decimal("0.01"))).cast("decimal(38,2)")))
+    return parts.drop("__whole", "__rest", "__total")
+
+
 def weighted_sum(
     reduced: DataFrame,
     bridge: DataFrame,
@@ -28,6 +48,7 @@ def weighted_sum(
     by: list[str] | None = None,
     weight: str = WEIGHT,
     unallocated: bool = False,
+    adding_up: bool = False,
 ) -> DataFrame:
     """Allocate already reduced measures to bridge members and add them up by member name.
 
@@ -38,7 +59,8 @@ def weighted_sum(
 
     A NULL weight allocates nothing. With ``unallocated``, what a key's weights leave of
     its measures, and what goes to members without a name, is kept under that name
-    instead of dropping out, so the totals still add up.
+    instead of dropping out, so the totals still add up. Each member is rounded by itself, or with
+    ``adding_up`` so that the members of each ``by`` combination sum to their rounded total (see `apportioned`).
     """
     by = by or []
     joined = bridge_join(reduced, bridge, key, [member_key, weight])
@@ -54,6 +76,8 @@ def weighted_sum(
         # Without groups the sum of no rows is a row of NULLs.
         rest = rest.filter(F.coalesce(*measures).isNotNull()).withColumn(name, F.lit(UNALLOCATED))
         named = allocated.unionByName(rest)
+    if adding_up:
+        return apportioned(named.groupBy(*by, name).agg(*[F.sum(m).alias(m) for m in measures]), name, measures, by)
     return named.groupBy(*by, name).agg(*[F.round(F.sum(m), 2).alias(m) for m in measures])
 
 
@@ -68,10 +92,11 @@ def weighted_agg(
     by: list[str] | None = None,
     weight: str = WEIGHT,
     unallocated: bool = False,
+    adding_up: bool = False,
 ) -> DataFrame:
     """Weighted totals of additive measures (output -> measure) per bridge member."""
     reduced = reduce_fact(fact, [key, *(by or [])], measures)
-    return weighted_sum(reduced, bridge, members, key, member_key, name, list(measures), by, weight, unallocated)
+    return weighted_sum(reduced, bridge, members, key, member_key, name, list(measures), by, weight, unallocated, adding_up)
 
 
 def fan_out_totals(fact: DataFrame, bridge: DataFrame, key: str, measure: str, weight: str = WEIGHT) -> DataFrame:

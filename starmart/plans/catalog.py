@@ -43,6 +43,7 @@ QUESTIONS: dict[str, Callable[..., DataFrame]] = {
     "r11_purchases_by_supplier": supply.purchases_by_supplier,
     "r12_double_count": segments.double_count,
     "r13_segment_profit_and_units": segments.segment_profit_and_units,
+    "j03_sales_after_orders": history.sales_after_orders,
     "j01_revenue_by_city": sales.revenue_by_city,
     "j11_top_bill_to_customers": sales.top_bill_to_customers,
     "j11_revenue_by_salesperson": sales.revenue_by_salesperson,

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from starmart.functions.columns import overlaps, percent_change, percent_of
+from starmart.functions.columns import OPEN_END, overlaps, percent_change, percent_of
 from starmart.operators.scd2 import changed_versions, changes
-from starmart.operators.star import reduce_fact, star_join
-from starmart.operators.temporal import temporal_join, valid_during
+from starmart.operators.star import reduce_fact, star_join, sum_by_attribute
+from starmart.operators.temporal import as_of_join, temporal_join, valid_during
 from starmart.plans.mart import Mart
 
 _SPAN = ("Valid_From", "Valid_To")
@@ -36,12 +36,17 @@ def item_price_during(mart: Mart, item: int = 50, year: int = 2015) -> DataFrame
     return valid_during(of_item, dt.date(year, 1, 1), dt.date(year, 12, 31)).drop("Stock_Item_Key")
 
 
-def revenue_by_historical_group(mart: Mart, closed: str = "both", how: str = "inner", salt: int = 1) -> DataFrame:
-    """Revenue per buying group at the time of sale, and year."""
+def revenue_by_historical_group(
+    mart: Mart, closed: str = "both", how: str = "inner", salt: int = 1, in_order: bool = False
+) -> DataFrame:
+    """Revenue per buying group at the time of sale, and year; ``in_order`` takes the join for long histories."""
     sale = mart.table("Fact_Sale", "Customer_Key", "Invoice_Date_Key", "Total_Including_Tax")
     versions = mart.table("Dimension_Customer_SCD2", "Customer_Key", "Buying_Group", *_SPAN)
     # Few sales share a customer and a day: they are joined as they are, and added up per group and day.
-    joined = temporal_join(sale, versions, "Customer_Key", "Invoice_Date_Key", ["Buying_Group"], how, closed, salt)
+    if in_order:
+        joined = as_of_join(sale, versions, "Customer_Key", "Invoice_Date_Key", ["Buying_Group"], how, closed)
+    else:
+        joined = temporal_join(sale, versions, "Customer_Key", "Invoice_Date_Key", ["Buying_Group"], how, closed, salt)
     grouped = reduce_fact(joined, ["Buying_Group", "Invoice_Date_Key"], {"revenue": "Total_Including_Tax"})
     calendar = mart.table("Dimension_Date", "Date", "Calendar_Year")
     dated = star_join(grouped, calendar, "Invoice_Date_Key", "Date", ["Calendar_Year"])
@@ -52,6 +57,41 @@ def revenue_by_historical_group(mart: Mart, closed: str = "both", how: str = "in
     )
 
 
+def daily_orders(mart: Mart) -> DataFrame:
+    """What each buying group ordered on its last day with orders, as versions: one for each such day, so long histories."""
+    order = mart.table("Fact_Order", "Customer_Key", "Order_Date_Key", "Total_Including_Tax")
+    customers = mart.table("Dimension_Customer", "Customer_Key", "Buying_Group")
+    sums = {"Ordered": "Total_Including_Tax"}
+    daily = sum_by_attribute(order, customers, "Customer_Key", "Customer_Key", ["Buying_Group"], sums, ["Order_Date_Key"])
+    following = F.lead("Order_Date_Key").over(Window.partitionBy("Buying_Group").orderBy("Order_Date_Key"))
+    until = F.coalesce(F.date_sub(following, 1), F.lit(OPEN_END))
+    return daily.select("Buying_Group", "Ordered", F.col("Order_Date_Key").alias("Valid_From"), until.alias("Valid_To"))
+
+
+def sales_after_orders(mart: Mart, copies: int = 1) -> DataFrame:
+    """Sales of each buying group beside its orders of the last day before them that had any.
+
+    Few groups hold all sales and have a version for nearly every day: facts times versions would be paired
+    by a join on the key.
+    """
+    sale = mart.table("Fact_Sale", "Customer_Key", "Invoice_Date_Key", "Total_Including_Tax")
+    customers = mart.table("Dimension_Customer", "Customer_Key", "Buying_Group")
+    grouped = star_join(sale, customers, "Customer_Key", "Customer_Key", ["Buying_Group"])
+    versions = daily_orders(mart)
+    found = as_of_join(grouped, versions, "Buying_Group", "Invoice_Date_Key", ["Ordered", "Valid_From"], "left", copies=copies)
+    return (
+        found.groupBy("Buying_Group")
+        .agg(
+            F.count(F.lit(1)).alias("n_sales"),
+            F.count("Ordered").alias("n_after_orders"),
+            F.sum("Total_Including_Tax").alias("revenue"),
+            F.sum("Ordered").cast("decimal(38,2)").alias("ordered_before"),
+            F.sum(F.datediff("Invoice_Date_Key", "Valid_From")).alias("days_since"),
+        )
+        .orderBy("Buying_Group")
+    )
+
+
 def customers_with_changes(mart: Mart) -> DataFrame:
     """All versions of the customers that have more than one."""
     versions = mart.table(

@@ -12,6 +12,7 @@ from starmart.functions.columns import OPEN_END
 from starmart.operators import quality, scd2
 from starmart.operators.bridge import weighted_agg
 from starmart.operators.scd2 import Era
+from starmart.plans import sales, segments
 from starmart.session import scratch_path
 from starmart.sources import typed_csv
 from starmart.sources.tables import row_counts, write_table
@@ -92,6 +93,15 @@ def _unallocated(mart: SampleMart) -> DataFrame:
     )
 
 
+def _apportioned_totals(mart: SampleMart) -> DataFrame:
+    """Sums of the segments' rounded shares against the revenue they share, in all and by year: no cent is missing."""
+    whole = segments.segment_revenue(mart, unallocated=True, adding_up=True).agg(F.sum("weighted_revenue").alias("allocated"))
+    whole = whole.join(sales.total_revenue(mart)).select(F.lit(0).alias("Calendar_Year"), "allocated", "total_revenue")
+    yearly = segments.segment_revenue_by_year(mart, adding_up=True).groupBy("Calendar_Year").agg(F.sum("weighted_revenue").alias("allocated"))
+    yearly = yearly.join(sales.revenue_by_year(mart).withColumnRenamed("revenue", "total_revenue"), "Calendar_Year")
+    return whole.unionByName(yearly.select("Calendar_Year", "allocated", "total_revenue")).withColumn("missing", F.col("total_revenue") - F.col("allocated"))
+
+
 def _key_ranges(mart: SampleMart) -> DataFrame:
     """Smallest and largest key per dimension."""
     keys = {
@@ -198,6 +208,7 @@ def _export_summary(mart: SampleMart) -> DataFrame:
 
 CHECKS: dict[str, Callable[[SampleMart], DataFrame]] = {
     "q08_segment_revenue_unallocated": _unallocated,
+    "v03_apportioned_totals": _apportioned_totals,
     "a11_key_ranges": _key_ranges,
     "e01_current_versions": lambda m: scd2.scd2_current(_customers(m)),
     "e02_history_unknown_null": lambda m: _history(m, "null"),

@@ -20,23 +20,28 @@ def _bridge(mart: Mart) -> tuple[DataFrame, DataFrame]:
 
 
 def segment_metrics(
-    mart: Mart, measures: dict[str, str], during: During | None = None, unallocated: bool = False
+    mart: Mart,
+    measures: dict[str, str],
+    during: During | None = None,
+    unallocated: bool = False,
+    adding_up: bool = False,
 ) -> DataFrame:
     """Weighted totals of any additive measures (output -> measure) per segment."""
     dates = [during[0]] if during else []
     sale = mart.table("Fact_Sale", "Customer_Key", *dates, *dict.fromkeys(measures.values()), during=during)
-    return weighted_agg(sale, *_bridge(mart), *_SEGMENT, measures, unallocated=unallocated)
+    return weighted_agg(sale, *_bridge(mart), *_SEGMENT, measures, unallocated=unallocated, adding_up=adding_up)
 
 
-def segment_revenue(mart: Mart, unallocated: bool = False) -> DataFrame:
-    revenue = segment_metrics(mart, {"weighted_revenue": "Total_Including_Tax"}, unallocated=unallocated)
+def segment_revenue(mart: Mart, unallocated: bool = False, adding_up: bool = False) -> DataFrame:
+    """Weighted revenue per segment; with ``adding_up`` and ``unallocated`` the rows sum to the total revenue to the cent."""
+    measures = {"weighted_revenue": "Total_Including_Tax"}
+    revenue = segment_metrics(mart, measures, unallocated=unallocated, adding_up=adding_up)
     return revenue.orderBy(F.desc("weighted_revenue"), "Segment")
 
 
-def segment_revenue_of_year(mart: Mart, year: int = 2016) -> DataFrame:
-    revenue = segment_metrics(
-        mart, {"weighted_revenue": "Total_Including_Tax"}, whole_year("Invoice_Date_Key", year)
-    )
+def segment_revenue_of_year(mart: Mart, year: int = 2016, adding_up: bool = False) -> DataFrame:
+    measures = {"weighted_revenue": "Total_Including_Tax"}
+    revenue = segment_metrics(mart, measures, whole_year("Invoice_Date_Key", year), adding_up=adding_up)
     return revenue.orderBy(F.desc("weighted_revenue"), "Segment")
 
 
@@ -44,12 +49,12 @@ def segment_profit_and_units(mart: Mart) -> DataFrame:
     return segment_metrics(mart, {"weighted_profit": "Profit", "weighted_units": "Quantity"}).orderBy("Segment")
 
 
-def segment_revenue_by_year(mart: Mart) -> DataFrame:
+def segment_revenue_by_year(mart: Mart, adding_up: bool = False) -> DataFrame:
     sale = mart.table("Fact_Sale", "Customer_Key", "Invoice_Date_Key", "Total_Including_Tax")
     calendar = mart.table("Dimension_Date", "Date", "Calendar_Year")
     dated = star_join(sale, calendar, "Invoice_Date_Key", "Date", ["Calendar_Year"])
     measures = {"weighted_revenue": "Total_Including_Tax"}
-    revenue = weighted_agg(dated, *_bridge(mart), *_SEGMENT, measures, ["Calendar_Year"])
+    revenue = weighted_agg(dated, *_bridge(mart), *_SEGMENT, measures, ["Calendar_Year"], adding_up=adding_up)
     return revenue.orderBy("Calendar_Year", F.desc("weighted_revenue"), "Segment")
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmart.operators.bridge import (
-    dual_role_join, fan_out_totals, multi_member, only_of_kind, weighted_agg,
+    apportioned, dual_role_join, fan_out_totals, multi_member, only_of_kind, weighted_agg,
 )
 
 
@@ -94,3 +94,15 @@ def test_unallocated_keeps_the_total_of_short_and_null_weights(spark):
     names = spark.createDataFrame([(1, "a"), (2, "b")], "s int, name string")
     out = weighted_agg(facts, bridge, names, "c", "s", "name", {"m": "m"}, unallocated=True)
     assert {r.name: r.m for r in out.collect()} == {"a": Dec("60.00"), "b": Dec("0.00"), "Unallocated": Dec("240.00")}
+
+
+def test_apportioned_parts_add_up(spark):
+    rows = [("a", "x", Dec("10.3333")), ("a", "y", Dec("10.3333")), ("a", "z", Dec("10.3334")), ("b", "x", Dec("-1.0050")), ("b", "y", Dec("2.0050")), ("c", "x", None), ("c", "y", Dec("0.0050"))]
+    parts = spark.createDataFrame(rows, "g string, m string, v decimal(38,4)")
+    got = {(r.g, r.m): r.v for r in apportioned(parts, "m", ["v"], ["g"]).collect()}
+    assert got == {("a", "x"): Dec("10.33"), ("a", "y"): Dec("10.33"), ("a", "z"): Dec("10.34"), ("b", "x"): Dec("-1.00"), ("b", "y"): Dec("2.00"), ("c", "x"): None, ("c", "y"): Dec("0.01")}
+
+
+def test_apportioned_in_one_group(spark):
+    parts = spark.createDataFrame([(f"m{i}", Dec(1) / Dec(3)) for i in range(3)], "m string, v decimal(38,10)")
+    assert sorted(r.v for r in apportioned(parts, "m", ["v"]).collect()) == [Dec("0.33"), Dec("0.33"), Dec("0.34")]
