@@ -528,6 +528,52 @@ QUERIES: dict[str, str] = {
         "dimension_customer_scd2",
     ),
     "p13_current_stock_items": _item_versions("Is_Current"),
+    "s12_view_of_current_items": _item_versions("Is_Current"),
+    "s12_view_of_current_customers": q(
+        f"""SELECT Customer_Key, Customer, Buying_Group, {day('Valid_From')}, {day('Valid_To')}, Is_Current
+            FROM dimension_customer_scd2 WHERE Is_Current""",
+        "dimension_customer_scd2",
+    ),
+    "p10_versions_on_a_day": q(
+        f"""SELECT Customer_Key, Customer, Buying_Group, {day('Valid_From')}, {day('Valid_To')}, Is_Current
+            FROM dimension_customer_scd2 WHERE DATE '1998-12-31' BETWEEN Valid_From AND Valid_To""",
+        "dimension_customer_scd2",
+    ),
+    "e04_customer_versions_by_refresh": _CUSTOMER_VERSIONS,
+    # After the second snapshot, with the third: customers 3 of 5 leave, 2 of 7 lose their name.
+    "e03_refreshed_customers": q(
+        f"""WITH seen AS (
+              SELECT *, Customer_Key % 5 = 3 AS gone, Customer_Key % 5 <> 3 AND Customer_Key % 7 = 2 AND Customer IS NOT NULL AS renamed
+              FROM dimension_customer_scd2)
+            SELECT Customer_Key, Customer, Buying_Group, {day('Valid_From')},
+                   CASE WHEN Is_Current AND (gone OR renamed) THEN '2000-05-31' ELSE CAST(Valid_To AS VARCHAR) END AS Valid_To,
+                   Is_Current AND NOT gone AND NOT renamed AS Is_Current FROM seen
+            UNION ALL
+            SELECT Customer_Key, NULL, Buying_Group, '2000-06-01', '9999-12-31', true FROM seen WHERE Is_Current AND renamed""",
+        "dimension_customer_scd2",
+    ),
+    "e03_refresh_counts": """
+        WITH c AS (SELECT count(*) AS n, count(*) FILTER (c_custkey <= (SELECT max(c_custkey) // 10 FROM customer)) AS changed,
+                          count(*) FILTER (c_custkey % 5 = 3) AS gone,
+                          count(*) FILTER (c_custkey % 5 <> 3 AND c_custkey % 7 = 2) AS renamed FROM customer)
+        SELECT CAST(1 AS INTEGER) AS step, n AS opened, CAST(0 AS BIGINT) AS closed, CAST(0 AS BIGINT) AS dropped FROM c
+        UNION ALL SELECT 2, changed, changed, 0 FROM c UNION ALL SELECT 3, 0, 0, 0
+        UNION ALL SELECT 4, renamed, gone + renamed, 0 FROM c""",
+    "s09_schema_replacement": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS Order_Key, o_custkey AS Customer_Key, CAST(year(o_orderdate) AS INTEGER) AS Order_Year
+        FROM orders, range(2) t(copy) WHERE copy = 0 OR o_custkey % 2 = 0""",
+    "s06_export_tables": """
+        SELECT 'Customers_With_Photo' AS table_name, count(*) AS n_rows, 'Customer Key,Customer,Third Part' AS header FROM customer
+        UNION ALL SELECT 'Order_Totals', count(*), 'Order Key,Total Including Tax' FROM orders
+        UNION ALL SELECT 'Supplier_Names', count(*), 'Supplier Key,Supplier' FROM supplier
+        UNION ALL SELECT 'TOTAL', (SELECT count(*) FROM customer) + (SELECT count(*) FROM orders) + (SELECT count(*) FROM supplier), NULL""",
+    "s01_files_with_other_headers": """
+        SELECT p_partkey AS Stock_Item_Key, p_name AS Stock_Item, CASE WHEN p_partkey % 3 <> 2 THEN p_brand END AS Brand,
+               CAST(CAST(round(p_retailprice * 100) AS BIGINT) / 100 AS DOUBLE) AS Unit_Price FROM part""",
+    "p09_year_by_partition": q(
+        f"SELECT {money('sum(gross_c)', 'total_revenue')} FROM fact_sale WHERE year(Invoice_Date_Key) = 1998", "fact_sale"
+    ),
+    "f13_formatted_counts": f"SELECT table_name, format('{{:,}}', n_rows) AS n_rows FROM ({_row_counts()}) x",
     "a11_key_ranges": """SELECT 'Dimension_Customer' AS table_name, min(c_custkey) AS first_key, max(c_custkey) AS last_key FROM customer
            UNION ALL SELECT 'Dimension_Stock_Item', min(p_partkey), max(p_partkey) FROM part
            UNION ALL SELECT 'Dimension_Supplier', min(s_suppkey), max(s_suppkey) FROM supplier""",

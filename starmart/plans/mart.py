@@ -6,6 +6,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from starmart.sources.tables import MONTH
+
 During = tuple[str, dt.date | None, dt.date | None]
 
 
@@ -32,6 +34,14 @@ def within(df: DataFrame, during: During | None) -> DataFrame:
     return df
 
 
+def within_months(df: DataFrame, during: During | None) -> DataFrame:
+    """`within`, and for a table laid out by month the months too, so that no other partition is listed or read."""
+    if during is not None and during[0] + MONTH in df.columns:
+        column, lo, hi = during
+        df = within(df, (column + MONTH, lo and lo.replace(day=1), hi and hi.replace(day=1)))
+    return within(df, during)
+
+
 def whole_year(column: str, year: int) -> During:
     return column, dt.date(year, 1, 1), dt.date(year, 12, 31)
 
@@ -43,7 +53,7 @@ class CatalogMart(Mart):
         self.spark, self.schema = spark, schema
 
     def table(self, name: str, *columns: str, during: During | None = None) -> DataFrame:
-        df = within(self.spark.table(f"{self.schema}.{name}"), during)
+        df = within_months(self.spark.table(f"{self.schema}.{name}"), during)
         return df.select(*columns) if columns else df
 
 
@@ -54,5 +64,5 @@ class FrameMart(Mart):
         self.frames = frames
 
     def table(self, name: str, *columns: str, during: During | None = None) -> DataFrame:
-        df = within(self.frames[name], during)
+        df = within_months(self.frames[name], during)
         return df.select(*columns) if columns else df

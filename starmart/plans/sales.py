@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from starmart.operators.star import reduce_fact, star_join, sum_by_attribute, top_n
+from starmart.sources.tables import MONTH
 from starmart.plans.mart import Mart, whole_year
 
 _REVENUE = {"revenue": "Total_Including_Tax"}
@@ -30,6 +31,21 @@ def total_revenue_of_year(mart: Mart, year: int = 2016) -> DataFrame:
     return sale.agg(F.sum("Total_Including_Tax").alias("total_revenue"))
 
 
+def revenue_of_calendar_year(mart: Mart, year: int = 2016) -> DataFrame:
+    """A year's revenue, the year taken from the date dimension.
+
+    Where the fact is laid out by month, its days are joined by month as well: the months of the year's days
+    prune its partitions at run time.
+    """
+    calendar = mart.table("Dimension_Date", "Date", "Calendar_Year").filter(F.col("Calendar_Year") == year)
+    sale = mart.table("Fact_Sale")
+    condition = F.col("Invoice_Date_Key") == F.col("Date")
+    if "Invoice_Date_Key" + MONTH in sale.columns:
+        calendar = calendar.withColumn("__month", F.trunc("Date", "MM"))
+        condition &= F.col("Invoice_Date_Key" + MONTH) == F.col("__month")
+    return sale.join(calendar, condition).agg(F.sum("Total_Including_Tax").alias("total_revenue"))
+
+
 def revenue_by_year(mart: Mart) -> DataFrame:
     sale = mart.table("Fact_Sale", "Invoice_Date_Key", "Total_Including_Tax")
     return _by_calendar(mart, sale, "Invoice_Date_Key", ["Calendar_Year"], _REVENUE).orderBy("Calendar_Year")

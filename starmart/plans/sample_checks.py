@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from starmart.functions.columns import OPEN_END
-from starmart.operators import quality, scd2
+from starmart.functions.columns import OPEN_END, recode
+from starmart.operators import quality, scd2, scd2_refresh
 from starmart.operators.bridge import weighted_agg
 from starmart.operators.scd2 import Era
+from starmart.operators.temporal import as_of
 from starmart.plans import sales, segments
+from starmart.plans.mart import FrameMart
 from starmart.session import scratch_path
 from starmart.sources import typed_csv
-from starmart.sources.tables import row_counts, write_table
+from starmart.sources.tables import MONTH, broken_views, formatted, row_counts, with_month, write_table, write_view
 from starmart.sources.testdata import GROUP_ERA, GROUP_RECODE, OPENED, SampleMart
 
 _PARTIAL_RECODE = {"BUILDING": "MACHINERY", "MACHINERY": "BUILDING", "AUTOMOBILE": "BUILDING"}
@@ -186,15 +189,116 @@ def _csv_round_trip(mart: SampleMart) -> DataFrame:
     )
 
 
+@contextmanager
+def _database(mart: SampleMart, name: str) -> Iterator[tuple[str, str]]:
+    """A schema for a while, and the scratch folder its tables go to; what was read from them stays readable."""
+    path = scratch_path(mart.spark, name)
+    schema = path.rsplit("/", 1)[-1].replace("-", "_")
+    mart.spark.sql(f"CREATE DATABASE {schema} LOCATION '{path}/catalog'")
+    try:
+        yield schema, path
+    finally:
+        mart.spark.sql(f"DROP DATABASE {schema} CASCADE")
+
+
 def _table_round_trip(mart: SampleMart) -> DataFrame:
     """Orders through a catalog table: written, kept on the second write, read by name."""
-    path = scratch_path(mart.spark, "fact-order")
-    name = path.rsplit("/", 1)[-1].replace("-", "_")
     orders = mart.table("Fact_Order", "Order_Key", "Customer_Key", "Order_Date_Key", "Total_Including_Tax")
     spaced = orders.toDF(*[c.replace("_", " ") for c in orders.columns])
-    write_table(spaced, name, "default", path=path)
-    write_table(spaced.unionByName(spaced), name, "default", overwrite=False)
-    return mart.spark.table(f"default.{name}")
+    with _database(mart, "fact-order") as (schema, path):
+        write_table(spaced, "Orders", schema, path=f"{path}/Orders")
+        write_table(spaced.unionByName(spaced), "Orders", schema, path=f"{path}/Orders", overwrite=False)
+        return mart.spark.table(f"{schema}.Orders")
+
+
+def _schema_replacement(mart: SampleMart) -> DataFrame:
+    """A table replaced by a frame that reads it, with a column gone, one of another type and one more."""
+    with _database(mart, "replaced") as (schema, path):
+        write_table(mart.table("Fact_Order", "Order_Key", "Customer_Key", "Order_Date_Key"), "Orders", schema, path=f"{path}/Orders")
+        stored = mart.spark.table(f"{schema}.Orders")
+        doubled = stored.unionByName(stored.filter("Customer_Key % 2 = 0"))
+        changed = doubled.selectExpr("CAST(Order_Key AS STRING) AS Order_Key", "Customer_Key", "year(Order_Date_Key) AS Order_Year")
+        write_table(changed, "Orders", schema, path=f"{path}/Orders")
+        return mart.spark.table(f"{schema}.Orders")
+
+
+def _through_view(mart: SampleMart, table: str, view: str) -> DataFrame:
+    """Current versions by `SELECT` from a view, after the table below it was replaced."""
+    with _database(mart, "views") as (schema, path):
+        versions = mart.table(table)
+        write_table(versions.filter("NOT Is_Current"), table, schema, path=f"{path}/{table}")
+        write_view(mart.spark, view, f"SELECT * FROM {schema}.{table} WHERE Is_Current = true", schema)
+        write_table(versions, table, schema, path=f"{path}/{table}")
+        broken = broken_views(mart.spark, schema)
+        if broken:
+            raise ValueError(f"views do not resolve: {broken}")
+        return mart.spark.sql(f"SELECT * FROM {schema}.{view}")
+
+
+def _export_tables(mart: SampleMart) -> DataFrame:
+    """Catalog tables exported together, one of them with a binary column: rows, total and the headers that were written."""
+    frames = {
+        "Customers_With_Photo": mart.table("Dimension_Customer", "Customer_Key", "Customer").selectExpr("*", "CAST(Customer AS BINARY) AS Photo", "Customer_Key % 3 AS `Third Part`"),
+        "Order_Totals": mart.table("Fact_Order", "Order_Key", "Total_Including_Tax"),
+        "Supplier_Names": mart.table("Dimension_Supplier"),
+    }
+    with _database(mart, "exports") as (schema, path):
+        for name, df in frames.items():
+            write_table(df, name, schema, path=f"{path}/{name}")
+        summary = typed_csv.export_tables(mart.spark, schema, f"{path}/csv", list(frames))
+        written = [(n, ",".join(next(iter(typed_csv.headers(mart.spark, f"{path}/csv/{n}.csv").values())))) for n in frames]
+    found = mart.spark.createDataFrame(written, "table_name string, header string")
+    return summary.join(found, "table_name", "left")
+
+
+def _other_headers(mart: SampleMart) -> DataFrame:
+    """A folder of CSV files whose columns come in other orders, or not at all."""
+    path = scratch_path(mart.spark, "headers")
+    items = mart.table("Dimension_Stock_Item", "Stock_Item_Key", "Stock_Item", "Brand", "Unit_Price")
+    orders = [["Stock_Item_Key", "Stock_Item", "Brand", "Unit_Price"], ["Unit_Price", "Brand", "Stock_Item_Key", "Stock_Item"], ["Stock_Item", "Unit_Price", "Stock_Item_Key"]]
+    for i, columns in enumerate(orders):
+        typed_csv.export_csv(items.filter(f"Stock_Item_Key % 3 = {i}").select(*columns), f"{path}/part{i}")
+    return typed_csv.read_typed_csv(mart.spark, path, {"Stock_Item_Key": "long", "Unit_Price": "decimal(18,2)"})
+
+
+_ATTRIBUTES = ("Customer_Key", "Customer", "Buying_Group")
+
+
+def _snapshots(mart: SampleMart) -> list[tuple[dt.date, DataFrame]]:
+    """Three days' snapshots: groups before the change; today's; today's without some customers and with others renamed."""
+    customers = mart.table("Dimension_Customer", *_ATTRIBUTES)
+    recoded = F.when(mart.changed_customers(), recode("Buying_Group", GROUP_RECODE)).otherwise(F.col("Buying_Group"))
+    renamed = "IF(Customer_Key % 7 = 2, NULL, Customer)"
+    later = customers.filter("Customer_Key % 5 <> 3").selectExpr("Customer_Key", f"{renamed} AS Customer", "Buying_Group")
+    return [(OPENED, customers.withColumn("Buying_Group", recoded)), (_REOPENED, customers), (dt.date(2000, 6, 1), later)]
+
+
+def _refreshed(mart: SampleMart) -> DataFrame:
+    """Customer versions from two snapshots, one after the other: those of a rebuild."""
+    (first, before), (second, after) = _snapshots(mart)[:2]
+    return scd2_refresh.merged(scd2_refresh.opened_on(before, first), after, "Customer_Key", second)
+
+
+def _refreshed_table(mart: SampleMart, counts: bool) -> DataFrame:
+    """A stored dimension after all snapshots, the second one twice; or what each refresh opened and closed."""
+    snapshots = _snapshots(mart)
+    steps = []
+    with _database(mart, "refreshed") as (schema, path):
+        for day, snapshot in [*snapshots[:2], snapshots[1], snapshots[2]]:
+            found = scd2_refresh.refresh_dimension(mart.spark, "Customers", snapshot, "Customer_Key", day, schema, f"{path}/Customers")
+            steps.append((len(steps) + 1, found[scd2_refresh.OPENED], found[scd2_refresh.CLOSED], found[scd2_refresh.DROPPED]))
+        if counts:
+            return mart.spark.createDataFrame(steps, "step int, opened long, closed long, dropped long")
+        return mart.spark.table(f"{schema}.Customers")
+
+
+def _year_by_partition(mart: SampleMart, year: int = 1998) -> DataFrame:
+    """A year's revenue over a fact stored by month, the year taken from the calendar."""
+    path = scratch_path(mart.spark, "by-month")
+    sale = mart.table("Fact_Sale", "Invoice_Date_Key", "Total_Including_Tax")
+    with_month(sale, "Invoice_Date_Key").write.partitionBy("Invoice_Date_Key" + MONTH).parquet(path)
+    stored = FrameMart(Fact_Sale=mart.spark.read.parquet(path), Dimension_Date=mart.table("Dimension_Date"))
+    return sales.revenue_of_calendar_year(stored, year)
 
 
 def _export_summary(mart: SampleMart) -> DataFrame:
@@ -223,6 +327,17 @@ CHECKS: dict[str, Callable[[SampleMart], DataFrame]] = {
     "e09_segment_bridge": lambda m: m.table("Bridge_CustomerSegment"),
     "p12_current_customers": lambda m: m.table("vw_Customer_Current"),
     "p13_current_stock_items": lambda m: m.table("vw_StockItem_Current"),
+    "s12_view_of_current_customers": lambda m: _through_view(m, "Dimension_Customer_SCD2", "vw_Customer_Current"),
+    "s12_view_of_current_items": lambda m: _through_view(m, "Dimension_StockItem_SCD2", "vw_StockItem_Current"),
+    "e04_customer_versions_by_refresh": _refreshed,
+    "e03_refreshed_customers": lambda m: _refreshed_table(m, counts=False),
+    "e03_refresh_counts": lambda m: _refreshed_table(m, counts=True),
+    "s09_schema_replacement": _schema_replacement,
+    "s06_export_tables": _export_tables,
+    "s01_files_with_other_headers": _other_headers,
+    "f13_formatted_counts": lambda m: formatted(_row_counts(m)),
+    "p09_year_by_partition": _year_by_partition,
+    "p10_versions_on_a_day": lambda m: as_of(_versions(m), dt.date(1998, 12, 31)),
     "a15_version_counts": lambda m: scd2.version_counts(_versions(m), "Customer_Key"),
     "v01_weight_sum_violations": lambda m: quality.weight_sum_violations(
         m.table("Bridge_CustomerSegment"), "Customer_Key"

@@ -28,7 +28,7 @@ def local_session(
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder name under the session's shared checkpoint folder.
+    """A new folder name under the session's shared checkpoint folder; removed when the application ends.
 
     Only where the session names none (a local run) is a local temporary folder used.
     """
@@ -37,4 +37,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="starmart-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(folder)
+    return path

@@ -48,6 +48,10 @@ STORED = {
 }
 
 
+# First and last day of the facts, by state of the files.
+_SPANS: dict[tuple, tuple] = {}
+
+
 def _cents(column: str) -> str:
     """A two-digit double as whole cents (or hundredths)."""
     return f"CAST(rint({column} * 100) AS BIGINT)"
@@ -111,15 +115,15 @@ class SampleMart(Mart):
     # dimensions
 
     def _dimension_date(self) -> DataFrame:
-        """Every day from the facts' first date to their last, whatever these are."""
-        shipped = self.raw("lineitem").selectExpr(
-            "min(CAST(l_shipdate AS DATE)) AS lo", "max(date_add(CAST(l_shipdate AS DATE), l_linenumber)) AS hi"
-        )
-        ordered = self.raw("orders").selectExpr(
-            "min(CAST(o_orderdate AS DATE)) AS lo", "max(date_add(CAST(o_orderdate AS DATE), CAST(o_orderkey % 5 AS INT))) AS hi"
-        )
-        span = shipped.unionAll(ordered).selectExpr("min(lo) AS lo", "max(hi) AS hi")
-        days = span.filter("lo IS NOT NULL").selectExpr("explode(sequence(lo, hi)) AS Date")
+        """Every day from the facts' first date to their last, whatever these are.
+
+        The two days are looked up once for each state of the stored facts; the calendar itself reads no data.
+        """
+        lo, hi = self._span()
+        if lo is None:
+            days = self.spark.range(0).selectExpr("CAST(NULL AS DATE) AS Date")
+        else:
+            days = self.spark.range(0, (hi - lo).days + 1, 1, 1).selectExpr(f"date_add({day(lo)}, CAST(id AS INT)) AS Date")
         return days.selectExpr(
             "Date",
             "day(Date) AS Day",
@@ -131,6 +135,26 @@ class SampleMart(Mart):
             "weekofyear(Date) AS ISO_Week_Number",
         )
 
+    def _span(self) -> tuple[dt.date | None, dt.date | None]:
+        """First and last day of the facts' dates; both None without facts."""
+        state = (self.spark.sparkContext.applicationId, self.folder, *map(self._state, ("lineitem", "orders")))
+        if state not in _SPANS:
+            shipped = self.raw("lineitem").selectExpr(
+                "min(CAST(l_shipdate AS DATE)) AS lo", "max(date_add(CAST(l_shipdate AS DATE), l_linenumber)) AS hi"
+            )
+            ordered = self.raw("orders").selectExpr(
+                "min(CAST(o_orderdate AS DATE)) AS lo", "max(date_add(CAST(o_orderdate AS DATE), CAST(o_orderkey % 5 AS INT))) AS hi"
+            )
+            _SPANS[state] = tuple(shipped.unionAll(ordered).selectExpr("min(lo)", "max(hi)").first())
+        return _SPANS[state]
+
+    def _state(self, name: str) -> tuple[int, int, int]:
+        """Number, size and latest change of a stored table's files."""
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}.parquet")
+        fs = at.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        files = list(fs.listStatus(at))
+        return len(files), sum(f.getLen() for f in files), max((f.getModificationTime() for f in files), default=0)
+
     def _dimension_city(self) -> DataFrame:
         """The nations, of which every sample has 25."""
         nation, region = self.raw("nation"), self.raw("region")

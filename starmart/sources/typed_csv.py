@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from starmart.sources.registry import TABLES, TableSpec
@@ -44,17 +48,68 @@ def read_typed_csv(
 
     Under ``on_error="fail"`` a line with more or fewer fields than the header is an
     error; under ``"null"`` its text is kept in the column CORRUPT, and `corrupt_rows` counts such lines.
+    Files of a folder may have their columns in other orders, or lack some: those of one header are read
+    together, by their own columns, and united by name, with NULL for what a file lacks. A column to cast that
+    some header lacks is an error.
     ``multi_line`` allows line breaks inside quoted values; such files cannot be
     split, so leave it off where no value has any.
     """
-    raw = spark.read.options(**_FORMAT).option("multiLine", multi_line)
-    if on_error == "fail":
-        raw = raw.option("mode", "FAILFAST").csv(path)
-    else:
-        header = raw.csv(path).columns
-        fields = [T.StructField(c, T.StringType()) for c in [*header, CORRUPT]]
-        raw = raw.schema(T.StructType(fields)).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
-    return cast_columns(raw, casts.casts(raw.columns) if isinstance(casts, TableSpec) else casts, on_error)
+    spec = casts
+    reader = spark.read.options(**_FORMAT).option("multiLine", multi_line)
+    frames = []
+    for header, paths in _by_header(spark, path).items():
+        fields = [T.StructField(c, T.StringType()) for c in header]
+        if on_error != "fail":
+            fields.append(T.StructField(CORRUPT, T.StringType()))
+            reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+        else:
+            reader = reader.option("mode", "FAILFAST")
+        raw = reader.schema(T.StructType(fields)).csv(paths)
+        present = spec.casts(raw.columns) if isinstance(spec, TableSpec) else spec
+        frames.append(cast_columns(raw, present, on_error))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def headers(spark: SparkSession, path: str) -> dict[str, tuple[str, ...]]:
+    """The header of each CSV file at a path, a file or a folder: its first line only is read, by name order of the files."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found = [f.getPath() for f in fs.globStatus(at) or []]
+    files = []
+    while found:
+        status = fs.getFileStatus(found.pop())
+        if status.isDirectory():
+            found += [f.getPath() for f in fs.listStatus(status.getPath())]
+        elif status.getLen():
+            files.append(status.getPath())
+    files = sorted(f.toString() for f in files if not f.getName().startswith(("_", ".")))
+
+    def header(file: str) -> tuple[str, ...]:
+        stream = fs.open(jvm.org.apache.hadoop.fs.Path(file))
+        try:
+            codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(fs.getConf()).getCodec(jvm.org.apache.hadoop.fs.Path(file))
+            plain = codec.createInputStream(stream) if codec is not None else stream
+            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine() or ""
+        finally:
+            stream.close()
+        return tuple(next(csv.reader([line.removeprefix("\ufeff")]), []))
+
+    with ThreadPoolExecutor(16) as pool:
+        return dict(zip(files, pool.map(header, files)))
+
+
+def _by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files at a path by their header; where all share one, the path itself."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, header in headers(spark, path).items():
+        groups.setdefault(header, []).append(file)
+    if not groups:
+        raise FileNotFoundError(f"no CSV file with a header at {path}")
+    for header in groups:
+        if len({c.lower() for c in header}) < len(header):
+            raise ValueError(f"a column occurs twice in the header {header}")
+    return {header: [path] for header in groups} if len(groups) == 1 else groups
 
 
 def corrupt_rows(df: DataFrame) -> int:
@@ -90,14 +145,16 @@ def export_tables(spark: SparkSession, schema: str, out_dir: str, names: list[st
     """
     from starmart.sources.tables import summary_frame
 
-    counts = []
-    for name in names or list(TABLES):
+    def export(name: str) -> tuple[str, int]:
         stored = spark.table(f"{schema}.{name}")
         df = stored.toDF(*[c.replace("_", " ") for c in stored.columns])
         spec = TABLES.get(name)
         columns = list(_present(spec, df.columns)) if spec and spec.columns else None
-        counts.append((name, export_csv(df, f"{out_dir.rstrip('/')}/{name}.csv", columns)))
-    return summary_frame(spark, counts)
+        return name, export_csv(df, f"{out_dir.rstrip('/')}/{name}.csv", columns)
+
+    # One write job a table, several at a time; small tables need not wait for large ones.
+    with ThreadPoolExecutor(4) as pool:
+        return summary_frame(spark, list(pool.map(export, names or list(TABLES))))
 
 
 def _present(spec: TableSpec, header: list[str]):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starmart.plans.catalog import QUESTIONS
 from starmart.sources import typed_csv
 from starmart.sources.registry import TABLES
-from starmart.sources.tables import formatted, row_counts, summary_frame, underscored, write_table, write_view
+from starmart.sources.tables import broken_views, formatted, row_counts, summary_frame, underscored, write_table, write_view
 from starmart.sources.testdata import SampleMart
 from starmart.sources.typed_csv import cast_columns, export_csv, export_tables, exportable, read_typed_csv
 
@@ -175,3 +175,67 @@ def test_calendar_follows_the_facts(spark, tmp_path):
     by_year = QUESTIONS["q01_revenue_by_year"](mart).agg(F.sum("revenue")).first()[0]
     assert by_year == QUESTIONS["q16_total_revenue"](mart).first()[0]
     assert mart.table("Dimension_Date").filter("Calendar_Year < 1992 OR Calendar_Year > 2012").count() > 0
+
+
+def test_files_with_other_headers(spark, tmp_path):
+    """Columns go by their own file's header: swapped, missing and quoted ones."""
+    folder = tmp_path / "many"
+    folder.mkdir()
+    (folder / "a.csv").write_text("A,B,Note\n1,2,x\n")
+    (folder / "b.csv").write_text('B,A,"Note"\n20,10,"y, z"\n')
+    (folder / "c.csv").write_text("﻿A,B\n100,200\n", encoding="utf-8")
+    (folder / "_SUCCESS").write_text("")
+    for on_error in ("fail", "null"):
+        df = read_typed_csv(spark, str(folder), {"A": "int", "B": "int"}, on_error)
+        assert sorted((r.A, r.B, r.Note) for r in df.collect()) == [(1, 2, "x"), (10, 20, "y, z"), (100, 200, None)]
+    (folder / "d.csv").write_text("A,Note\n5,x\n")
+    with pytest.raises(ValueError, match="B"):
+        read_typed_csv(spark, str(folder), {"A": "int", "B": "int"})
+    (folder / "d.csv").write_text("A,a\n5,x\n")
+    with pytest.raises(ValueError, match="twice"):
+        read_typed_csv(spark, str(folder), {"A": "int"})
+    with pytest.raises(FileNotFoundError):
+        read_typed_csv(spark, str(tmp_path / "none*.csv"), {"A": "int"})
+
+
+def test_table_is_replaced_by_a_frame_that_reads_it(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS io_test")
+    for path in (None, str(tmp_path / "self")):
+        write_table(spark.range(10).withColumnRenamed("id", "k"), "own", "io_test", path=path)
+        grown = spark.table("io_test.own")
+        assert write_table(grown.unionByName(grown).selectExpr("k", "k * 2 AS twice"), "own", "io_test", path=path) == 20
+        assert write_table(spark.table("io_test.own").filter("k > 4"), "own", "io_test", path=path) == 10
+        assert spark.table("io_test.own").columns == ["k", "twice"] and spark.table("io_test.own").count() == 10
+        names = {t.name for t in spark.catalog.listTables("io_test")}
+        assert not {n for n in names if n.startswith("own__")}
+        spark.sql("DROP TABLE io_test.own")
+
+
+def test_failed_replacement_leaves_the_old_table(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS io_test")
+    write_table(spark.range(3), "safe", "io_test")
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        write_table(spark.range(0, 5, 1, 1).selectExpr("1 div (id - 2) AS x"), "safe", "io_test")
+    assert spark.table("io_test.safe").count() == 3
+    # Broken off between the two renamings: the next write brings the old table back first.
+    spark.sql("ALTER TABLE io_test.safe RENAME TO io_test.safe__retired")
+    assert write_table(spark.range(9), "safe", "io_test", overwrite=False) == 3
+    assert write_table(spark.range(9), "safe", "io_test") == 9
+    assert {t.name for t in spark.catalog.listTables("io_test") if t.name.startswith("safe")} == {"safe"}
+
+
+def test_views_after_their_table_was_replaced(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS io_views")
+    write_table(spark.range(4).selectExpr("id AS k", "id % 2 = 0 AS Is_Current"), "base", "io_views")
+    write_view(spark, "now", "SELECT * FROM io_views.base WHERE Is_Current", "io_views")
+    write_table(spark.range(6).selectExpr("id AS k", "id % 2 = 0 AS Is_Current", "1 AS more"), "base", "io_views")
+    assert broken_views(spark, "io_views") == {} and spark.table("io_views.now").count() == 3
+    write_table(spark.range(6).selectExpr("id AS k"), "base", "io_views")
+    assert list(broken_views(spark, "io_views")) == ["now"]
+
+
+def test_calendar_reads_no_data(spark):
+    mart = SampleMart(spark, "/root/testdata/sf0.001")
+    text = mart.table("Dimension_Date", "Date", "Calendar_Year")._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in text
+    assert "l_linenumber" not in QUESTIONS["q01_revenue_by_year"](mart)._jdf.queryExecution().executedPlan().toString()
