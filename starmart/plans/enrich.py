@@ -19,6 +19,14 @@ PRICE_ERAS = (
     scd2.Era(dt.date(2019, 1, 1), dt.date(2019, 12, 31), Decimal("0.92")),
 )
 PRICE_CURRENT_FROM = dt.date(2020, 1, 1)
+#: The tables that the enrichment writes.
+ENRICHED = (
+    "Dimension_Customer_SCD2",
+    "Dimension_StockItem_SCD2",
+    "Bridge_SupplierSubstitution",
+    "Dimension_CustomerSegment",
+    "Bridge_CustomerSegment",
+)
 PRICED = ("Unit_Price", "Recommended_Retail_Price")
 
 

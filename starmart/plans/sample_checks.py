@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -16,7 +15,7 @@ from starmart.operators.scd2 import Era
 from starmart.operators.temporal import as_of
 from starmart.plans import sales, segments
 from starmart.plans.mart import FrameMart
-from starmart.session import scratch_path
+from starmart.session import database, scratch_path
 from starmart.sources import typed_csv
 from starmart.sources.tables import MONTH, broken_views, formatted, row_counts, with_month, write_table, write_view
 from starmart.sources.testdata import GROUP_ERA, GROUP_RECODE, OPENED, SampleMart
@@ -189,23 +188,11 @@ def _csv_round_trip(mart: SampleMart) -> DataFrame:
     )
 
 
-@contextmanager
-def _database(mart: SampleMart, name: str) -> Iterator[tuple[str, str]]:
-    """A schema for a while, and the scratch folder its tables go to; what was read from them stays readable."""
-    path = scratch_path(mart.spark, name)
-    schema = path.rsplit("/", 1)[-1].replace("-", "_")
-    mart.spark.sql(f"CREATE DATABASE {schema} LOCATION '{path}/catalog'")
-    try:
-        yield schema, path
-    finally:
-        mart.spark.sql(f"DROP DATABASE {schema} CASCADE")
-
-
 def _table_round_trip(mart: SampleMart) -> DataFrame:
     """Orders through a catalog table: written, kept on the second write, read by name."""
     orders = mart.table("Fact_Order", "Order_Key", "Customer_Key", "Order_Date_Key", "Total_Including_Tax")
     spaced = orders.toDF(*[c.replace("_", " ") for c in orders.columns])
-    with _database(mart, "fact-order") as (schema, path):
+    with database(mart.spark, "fact-order") as (schema, path):
         write_table(spaced, "Orders", schema, path=f"{path}/Orders")
         write_table(spaced.unionByName(spaced), "Orders", schema, path=f"{path}/Orders", overwrite=False)
         return mart.spark.table(f"{schema}.Orders")
@@ -213,7 +200,7 @@ def _table_round_trip(mart: SampleMart) -> DataFrame:
 
 def _schema_replacement(mart: SampleMart) -> DataFrame:
     """A table replaced by a frame that reads it, with a column gone, one of another type and one more."""
-    with _database(mart, "replaced") as (schema, path):
+    with database(mart.spark, "replaced") as (schema, path):
         write_table(mart.table("Fact_Order", "Order_Key", "Customer_Key", "Order_Date_Key"), "Orders", schema, path=f"{path}/Orders")
         stored = mart.spark.table(f"{schema}.Orders")
         doubled = stored.unionByName(stored.filter("Customer_Key % 2 = 0"))
@@ -224,7 +211,7 @@ def _schema_replacement(mart: SampleMart) -> DataFrame:
 
 def _through_view(mart: SampleMart, table: str, view: str) -> DataFrame:
     """Current versions by `SELECT` from a view, after the table below it was replaced."""
-    with _database(mart, "views") as (schema, path):
+    with database(mart.spark, "views") as (schema, path):
         versions = mart.table(table)
         write_table(versions.filter("NOT Is_Current"), table, schema, path=f"{path}/{table}")
         write_view(mart.spark, view, f"SELECT * FROM {schema}.{table} WHERE Is_Current = true", schema)
@@ -242,7 +229,7 @@ def _export_tables(mart: SampleMart) -> DataFrame:
         "Order_Totals": mart.table("Fact_Order", "Order_Key", "Total_Including_Tax"),
         "Supplier_Names": mart.table("Dimension_Supplier"),
     }
-    with _database(mart, "exports") as (schema, path):
+    with database(mart.spark, "exports") as (schema, path):
         for name, df in frames.items():
             write_table(df, name, schema, path=f"{path}/{name}")
         summary = typed_csv.export_tables(mart.spark, schema, f"{path}/csv", list(frames))
@@ -283,7 +270,7 @@ def _refreshed_table(mart: SampleMart, counts: bool) -> DataFrame:
     """A stored dimension after all snapshots, the second one twice; or what each refresh opened and closed."""
     snapshots = _snapshots(mart)
     steps = []
-    with _database(mart, "refreshed") as (schema, path):
+    with database(mart.spark, "refreshed") as (schema, path):
         for day, snapshot in [*snapshots[:2], snapshots[1], snapshots[2]]:
             found = scd2_refresh.refresh_dimension(mart.spark, "Customers", snapshot, "Customer_Key", day, schema, f"{path}/Customers")
             steps.append((len(steps) + 1, found[scd2_refresh.OPENED], found[scd2_refresh.CLOSED], found[scd2_refresh.DROPPED]))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -41,3 +43,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(folder)
     return path
+
+
+@contextmanager
+def database(spark: SparkSession, name: str) -> Iterator[tuple[str, str]]:
+    """A schema for a while, and the scratch folder for its tables; what was read from these stays readable."""
+    path = scratch_path(spark, name)
+    schema = path.rsplit("/", 1)[-1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {schema} LOCATION '{path}/catalog'")
+    try:
+        yield schema, path
+    finally:
+        spark.sql(f"DROP DATABASE {schema} CASCADE")
