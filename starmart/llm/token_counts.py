@@ -10,9 +10,9 @@ place.) States and transitions are compiled when first met and kept by the proce
 
 Texts are read as chunks of equal size, in lockstep. A chunk's map from entry to exit
 state is constant if a pretoken begins in it; the other maps are evaluated for the
-states that a chunk's left context suggests and, where the composition from left to
-right asks for another, for that one too. The running sum of what was emitted gives
-the documents' counts.
+states that a chunk's left context leads to and for all that follow from these. A prefix
+scan composes the maps in pairs, at distances that double from round to round. The
+running sum of what was emitted gives the documents' counts.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -32,6 +32,8 @@ from starmart.llm.common import by_batch, flat, slices
 
 #: Bytes of a chunk.
 CHUNK = 64
+#: Rounds in which the states that can occur at a chunk's border spread to the next, before maps are composed.
+SPREAD = 64
 #: States kept at most; a process that has more forgets all and compiles anew.
 MOST_STATES = 120_000
 
@@ -119,8 +121,8 @@ class Transducer:
             a, b = map(as_bytes, pair if isinstance(pair, list) else pair.split(" "))
             self.merges[self.ids[a], self.ids[b]] = (rank, self.ids[a + b])
         self.fits: dict[tuple[int, int], bool] = {}
-        specials = [t["content"].encode() for t in spec["added_tokens"]]
-        self.special = re.compile(b"|".join(map(re.escape, sorted(specials, key=len, reverse=True)))) if specials else None
+        self.specials = sorted((t["content"].encode() for t in spec["added_tokens"]), key=len, reverse=True)
+        self.special = re.compile(b"|".join(map(re.escape, self.specials)))
         self.column = np.full(256, -1, np.int64)  # of each byte met so far
         self._forget()
 
@@ -202,6 +204,42 @@ class Transducer:
         exits[order] = state
         return exits
 
+    def _scan(self, exits: np.ndarray, open_chunks: np.ndarray, run: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> None:
+        """Exit states of the chunks without a cut, whose entry is what the chunk before left; `exits` of the others are known.
+
+        Every open chunk gets a map from the entry states that can occur there to its exit states: those that a known
+        exit, or a run of the chunk before from the initial state, leads to, and what follows from these. Maps, those of
+        the other chunks being constant, are then composed in pairs at doubled distances, log2(n) rounds. Where more
+        than SPREAD rounds of states can occur, the chunks that are left are mapped for the one state that does.
+        """
+        is_open = np.zeros(len(exits) + 1, bool)
+        is_open[open_chunks] = True
+        before = open_chunks - 1
+        entry = exits[before].copy()
+        guessed = np.flatnonzero(is_open[before])
+        entry[guessed] = run(before[guessed], np.zeros(len(guessed), np.int64))
+        known, into = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        fresh = np.unique(open_chunks << 32 | entry)
+        while True:
+            for _ in range(SPREAD):
+                left = run(fresh >> 32, fresh & 0xFFFFFFFF)
+                at = np.searchsorted(known, fresh)
+                known, into = np.insert(known, at, fresh), np.insert(into, at, left)
+                follow = (fresh >> 32) + 1
+                goes_on = is_open[follow]
+                fresh = np.setdiff1d(follow[goes_on] << 32 | left[goes_on], known)
+                if not len(fresh):
+                    break
+            exits[open_chunks] = -1
+            begun = np.flatnonzero(exits[before] >= 0)
+            met = _composed(known, into, open_chunks[begun] << 32 | exits[before[begun]], len(exits))
+            exits[known[met] >> 32] = into[met]
+            missing = open_chunks[exits[open_chunks] < 0]
+            missing = missing[exits[missing - 1] >= 0]
+            if not len(missing):
+                return
+            fresh = np.setdiff1d(missing << 32 | exits[missing - 1], known)
+
     def counts(self, texts: pa.Array) -> np.ndarray:
         """Tokens of each text (no nulls)."""
         data, begins = flat(texts)
@@ -213,7 +251,7 @@ class Transducer:
         first_byte = np.zeros(len(data) + 1, bool)
         first_byte[begins] = True
         marks: list[tuple[int, int]] = []
-        if self.special and b"<" in whole:
+        if any(special in whole for special in self.specials):
             for text_begin, text_end in zip(begins[:-1].tolist(), begins[1:].tolist()):
                 marks += [m.span() for m in self.special.finditer(whole, text_begin, text_end)]
         for low, high in marks:
@@ -234,26 +272,9 @@ class Transducer:
         exits = np.full(n, -1, np.int64)
         body = np.flatnonzero(constant)
         exits[body] = self._run(data, columns, cuts, head_end[body], (ends - head_end)[body], np.zeros(len(body), np.int64), emitted)
-        # Chunks without a cut: maps for the suggested entry states, composed from left to right.
         open_chunks = np.flatnonzero(~constant)
         if len(open_chunks):
-            left = chunk[open_chunks] - CHUNK
-            asked = self._run(data, columns, cuts, left, np.full(len(left), CHUNK), np.zeros(len(left), np.int64), None)
-            lanes, maps = open_chunks, {}
-            while len(lanes):
-                got = self._run(data, columns, cuts, chunk[lanes], (ends - chunk)[lanes], asked, None)
-                maps.update(zip(zip(lanes.tolist(), asked.tolist()), got.tolist()))
-                exits[open_chunks] = -1
-                need: list[tuple[int, int]] = []
-                for i in open_chunks.tolist():
-                    if exits[i - 1] >= 0:
-                        key = (i, int(exits[i - 1]))
-                        if key in maps:
-                            exits[i] = maps[key]
-                        else:
-                            need.append(key)
-                lanes = np.array([x[0] for x in need], np.int64)
-                asked = np.array([x[1] for x in need], np.int64)
+            self._scan(exits, open_chunks, lambda lanes, entry: self._run(data, columns, cuts, chunk[lanes], (ends - chunk)[lanes], entry, None))
         heads = np.flatnonzero(head_end > chunk)
         self._run(data, columns, cuts, chunk[heads], (head_end - chunk)[heads], exits[heads - 1], emitted)
         for low, high in marks:
@@ -264,6 +285,27 @@ class Transducer:
         return np.diff(sums[begins])
 
 
+def _composed(known: np.ndarray, into: np.ndarray, begun: np.ndarray, n: int) -> np.ndarray:
+    """The entries of the maps that are met on the way from the entries `begun`, by pairwise composition over at most n chunks.
+
+    `known` holds chunk << 32 | entry state, ascending, and `into` the exit states: an entry leads to one of the next
+    chunk's map, or to none. Each round doubles the distance that the composed maps span.
+    """
+    none = len(known)
+    following = ((known >> 32) + 1) << 32 | into
+    at = np.minimum(np.searchsorted(known, following), none - 1)
+    leads = np.append(np.where(known[at] == following, at, none), none)
+    at = np.minimum(np.searchsorted(known, begun), none - 1)
+    met = np.zeros(none + 1, bool)
+    met[at[known[at] == begun]] = True
+    reach = 1
+    while reach <= n:
+        met[leads[met]] = True
+        leads = leads[leads]
+        reach *= 2
+    return np.flatnonzero(met[:none])
+
+
 def token_counts(docs: DataFrame, limit: int = 512, vocabulary: str | None = None) -> DataFrame:
     """doc_id, n_bytes, n_tokens (long) and over_limit (n_tokens > limit) of each row of `docs`.
 

@@ -36,6 +36,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.specials = [t.content.encode().lower() for t in self.library.get_added_tokens_decoder().values()]
         self.mark = np.array(self._of(_SEPARATOR), np.uint32)
         assert len(self.mark) == 1, "the separator must be a token of its own"
         self._forget()
@@ -79,6 +80,10 @@ class WordIds:
         self.sizes = np.concatenate([self.sizes, sizes])
         self.ids = np.concatenate([self.ids, ids])
 
+    def _holds_special(self, data: np.ndarray) -> bool:
+        whole = data.tobytes().lower()
+        return any(special in whole for special in self.specials)
+
     def _places_of(self, spelled: np.ndarray, edges: np.ndarray, distinct: pa.Array) -> np.ndarray | None:
         """The place of each distinct word, after learning the new ones; None if a hash stands for two words."""
         hashes, checks = (span_hashes(spelled, edges[:-1], edges[1:], key) for key in (0, 1))
@@ -95,7 +100,7 @@ class WordIds:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (no nulls), and where each text's ids begin (with one more entry for the end)."""
         data, begins = flat(texts)
-        if b"<|" in data.tobytes():  # perhaps a special token, which is taken as it stands
+        if self._holds_special(data):  # perhaps a special token, which is taken as it stands
             starts, ends, first = words(data, begins)
         else:
             data = lowered(data)
