@@ -97,11 +97,14 @@ def _unallocated(mart: SampleMart) -> DataFrame:
 
 def _apportioned_totals(mart: SampleMart) -> DataFrame:
     """Sums of the segments' rounded shares against the revenue they share, in all and by year: no cent is missing."""
-    whole = segments.segment_revenue(mart, unallocated=True, adding_up=True).agg(F.sum("weighted_revenue").alias("allocated"))
-    whole = whole.join(sales.total_revenue(mart)).select(F.lit(0).alias("Calendar_Year"), "allocated", "total_revenue")
-    yearly = segments.segment_revenue_by_year(mart, adding_up=True).groupBy("Calendar_Year").agg(F.sum("weighted_revenue").alias("allocated"))
-    yearly = yearly.join(sales.revenue_by_year(mart).withColumnRenamed("revenue", "total_revenue"), "Calendar_Year")
-    return whole.unionByName(yearly.select("Calendar_Year", "allocated", "total_revenue")).withColumn("missing", F.col("total_revenue") - F.col("allocated"))
+    allocated, total = F.sum("weighted_revenue").alias("allocated"), F.col("revenue").alias("total_revenue")
+    whole = segments.segment_revenue(mart, unallocated=True, adding_up=True).agg(allocated).withColumn("Calendar_Year", F.lit(0))
+    yearly = segments.segment_revenue_by_year(mart, adding_up=True).groupBy("Calendar_Year").agg(allocated)
+    revenue = sales.total_revenue(mart).withColumn("Calendar_Year", F.lit(0))
+    revenue = revenue.unionByName(sales.revenue_by_year(mart).select(total, "Calendar_Year"))
+    sides = whole.unionByName(yearly).unionByName(revenue, allowMissingColumns=True).groupBy("Calendar_Year")
+    sums = sides.agg(F.sum("allocated").alias("allocated"), F.sum("total_revenue").alias("total_revenue"))
+    return sums.withColumn("missing", F.col("total_revenue") - F.col("allocated"))
 
 
 def _key_ranges(mart: SampleMart) -> DataFrame:
