@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 import tracemalloc
 import zlib
@@ -103,6 +104,36 @@ def test_jaccard_join_of_many_near_copies(documents, monkeypatch):
     assert multiset(got) == multiset(brute_components(texts(df), 3, 80))
 
 
+def test_jaccard_join_with_hot_shingles(docs):
+    """Every bucket is divided."""
+    got = jaccard_join.similar_documents(docs, jaccard_join.Join(3, 80, 100, hot=0)).collect()
+    assert multiset(got) == multiset(brute_components(texts(docs), 3, 80))
+
+
+@pytest.mark.parametrize(("size", "least"), [(3, 90), (5, 80), (1, 50)])
+def test_no_similar_pair_is_denied_by_size_and_place(spark, size, least):
+    """Of random sets in one order: what `possible_sql` denies of a common member is never similar."""
+    join, rng, rows = jaccard_join.Join(size, least, 100), random.Random(3), []
+    for _ in range(400):
+        whole = rng.sample(range(60), 30)
+        a, b = (sorted(set(whole) - set(rng.sample(whole, rng.randrange(9)))) for _ in range(2))
+        like = 100 * len(set(a) & set(b)) >= least * len(set(a) | set(b))
+        rows += [(len(a), len(b), a.index(t), b.index(t), like) for t in set(a) & set(b)]
+    df = spark.createDataFrame(rows, "n long, n2 long, place int, place2 int, alike boolean")
+    assert df.where(f"alike AND NOT ({join.possible_sql()})").count() == 0
+    assert least < 80 or df.where(f"NOT ({join.possible_sql()})").count() > 0
+
+
+def test_one_of_each_of_repeated_and_null_ids(spark):
+    """Each text of an id is judged by itself, and copies without id go with those that have one."""
+    base, other = prose(1, 200), prose(2, 200)
+    rows = [(3, base), (5, prose(6, 90)), (5, base + " more"), (5, prose(6, 90)), (None, base), (None, base), (None, other), (None, other), (None, None), (7, None)]
+    df = spark.createDataFrame([(i, t, "x", "y", "z") for i, t in rows], "doc_id long, text string, _id string, _signature string, _first string")
+    kept = jaccard_join.one_of_each(df)
+    assert kept.columns == df.columns
+    assert multiset((r.doc_id, r.text) for r in kept.collect()) == multiset([(3, base), (5, prose(6, 90)), (None, other), (None, None), (7, None)])
+
+
 def test_one_of_each(odd):
     kept = jaccard_join.one_of_each(odd)
     assert kept.columns == odd.columns
