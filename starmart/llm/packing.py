@@ -1,10 +1,11 @@
 """Packing of token sequences into as few bins as possible: best fit, then a swap-based local search.
 
 Texts are tokenized and cut in one pass; only the pieces' lengths are shuffled, dealt
-into groups of bounded size by a hash. Each group is packed on its own: best fit
+into groups of bounded tokens and pieces by a hash. Each group is packed on its own: best fit
 decreasing, then pieces are moved and exchanged one for one and two for one between
 underfull bins whenever that makes the sum of squared fills larger, until the least
-filled bins are empty.
+filled bins are empty. Each group's least filled bin is opened again and packed with those
+of the other groups.
 """
 
 from __future__ import annotations
@@ -19,11 +20,11 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from starmart.llm.common import by_batch, shipped, slices
+from starmart.llm.common import by_batch, shipped, slices, stored
 from starmart.llm.word_ids import word_ids
 
-#: Documents of one packing group: enough that a group wastes at most about one bin in thousands.
-GROUP_DOCUMENTS = 8192
+#: Full bins and pieces of one packing group, at most, but for the unevenness of a hash.
+GROUP_BINS, GROUP_PIECES = 4096, 8192
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -164,26 +165,52 @@ def pack(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     return where, offset
 
 
-def packed(pieces: DataFrame, groups: int, capacity: int = 2048) -> DataFrame:
-    """`pieces` with `sequence_id` and `offset` (long); sequences are numbered within `groups` groups."""
+def packed(pieces: DataFrame, groups: int, capacity: int = 2048, turn: int = 0) -> DataFrame:
+    """`pieces` with `sequence_id`, `offset` (long) and `open`, whether the sequence is the least filled one of its group.
+
+    Sequences are numbered within `groups` groups and the `turn`. Rows are dealt by themselves, equal ones too, so
+    `pieces` is a stored table whose parts are the same when a task runs again.
+    """
 
     def one_group(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["doc_id", "piece", "ids_crc32"], kind="stable", ignore_index=True)
         where, offset = pack(rows["length"].to_numpy(), capacity)
-        rows["sequence_id"] = rows["group"] * (1 << 32) + where
+        fills = np.bincount(where, rows["length"])
+        rows["sequence_id"] = (turn << 56) + rows["group"] * (1 << 32) + where
         rows["offset"] = offset
+        rows["open"] = (where == fills.argmin()) & (fills.min() < capacity)
         return rows.drop(columns="group")
 
     shipped(pieces.sparkSession)
-    dealt = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
-    return dealt.groupBy("group").applyInPandas(one_group, f"{PIECES}, sequence_id long, offset long")
-
-
-def group_count(docs: DataFrame) -> int:
-    """Groups of about GROUP_DOCUMENTS documents each."""
-    return -(-docs.count() // GROUP_DOCUMENTS) or 1
+    row = F.monotonically_increasing_id()
+    dealt = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", row), F.lit(groups)))
+    return dealt.groupBy("group").applyInPandas(one_group, f"{PIECES}, sequence_id long, offset long, open boolean")
+
+
+def group_count(pieces: DataFrame, capacity: int = 2048) -> int:
+    """Groups of about GROUP_BINS full bins or GROUP_PIECES pieces, whichever are more groups."""
+    n, tokens = pieces.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    return max(-(-n // GROUP_PIECES), -(-tokens // (GROUP_BINS * capacity)), 1)
+
+
+def packed_pieces(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
+    """Rows of PIECES with `sequence_id` and `offset`, packed in turns: each takes the least filled bins of the groups before."""
+    pieces, done, turn = stored(pieces, "pieces"), None, 0
+    groups, before = group_count(pieces, capacity), None
+    while before is None or groups < before:
+        placed = packed(pieces, groups, capacity, turn)
+        if groups == 1:
+            break
+        placed = stored(placed, "placed")
+        opened = placed.where("open").select(*pieces.columns)
+        before, groups = groups, group_count(opened, capacity)
+        if groups < before:
+            closed = placed.where("NOT open")
+            done = closed if done is None else done.union(closed)
+            pieces, turn = opened, turn + 1
+    return (placed if done is None else done.union(placed)).drop("open")
 
 
 def packed_documents(docs: DataFrame, capacity: int = 2048, vocabulary: str | None = None) -> DataFrame:
-    """All documents tokenized, cut and packed; see `token_pieces` and `packed`."""
-    return packed(token_pieces(docs, capacity, vocabulary), group_count(docs), capacity)
+    """All documents tokenized, cut and packed; see `token_pieces` and `packed_pieces`."""
+    return packed_pieces(token_pieces(docs, capacity, vocabulary), capacity)

@@ -13,7 +13,8 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from starmart.llm import jaccard_join, suffix_dedup
+from starmart.llm import jaccard_join, packing, secrets, suffix_dedup
+from starmart.llm.common import stored
 from starmart.llm.fingerprints import compared, containment, distinct_shingles, edited, fingerprints, merged, read, resemblance
 from starmart.llm.language_id import UNKNOWN, fit, held_out_predictions, predicted
 from starmart.llm.packing import Bins, pack, packed_documents
@@ -403,3 +404,66 @@ def test_maximal_repeats():
             if len(at) > 1 and len(left) > 1 and len(right) > 1:
                 want[text] = at
     assert got == want
+
+
+def test_battery_finds_random_strings_of_every_encoding(documents):
+    """At least 9 of 10 random strings of 64 symbols are found, and no name, path or number list."""
+    rng, rows, want = random.Random(11), [], set()
+    for name, alphabet in secrets._ALPHABETS.items():
+        if name == "hex":
+            continue  # a base pattern
+        for k in range(10):
+            symbols = bytes(rng.choice(alphabet) for _ in range(64)).decode()
+            rows.append((len(rows), f"{prose(len(rows), 60)} {symbols} {prose(k, 20).title()} {k}", "en", "a"))
+            want.add(len(rows) - 1)
+    plain = ("getUserAccountInformation2", "usr/share/doc/python3/README2018", "ThisIsAVeryLongIdentifierName42", "2018-2019-2020-2021-2022-page", "AAAAAAAAAA1111111111bbbbbbbbbb")
+    for text in plain * 4:
+        rows.append((len(rows), f"see {text} for more", "en", "a"))
+    found = {r.doc_id for r in digest(secret_spans(documents(rows))).collect() if "random" in r.spans}
+    assert not found - want
+    assert len(found) >= 0.9 * len(want)
+
+
+def test_every_statistic_moves_the_p_value():
+    """What randomness does not reject differs by evenness, by runs of kinds and by correlation."""
+    text = np.bincount(np.frombuffer(prose(1, 5000).encode() + b"0123456789" * 50 + b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" * 20, np.uint8), minlength=256)
+    base62, rng = secrets._ALPHABETS["base62"], random.Random(5)
+    symbols = [rng.choice(base62) for _ in range(40)]
+    p = secrets.battery(bytes(symbols), base62, text)
+    assert p < 1e-4
+    assert secrets.battery(bytes(sorted(symbols)), base62, text) == 1.0  # runs and correlation reject randomness
+    assert secrets.battery(bytes([symbols[0]] * 38 + symbols[:2]), base62, text) == 1.0  # chi-squared does
+    halves = sorted(symbols[:8]) + symbols[8:]
+    assert p < secrets.battery(bytes(halves), base62, text) <= 1
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_least_bins_are_those_of_benjamini_and_hochberg(seed):
+    rng = random.Random(seed)
+    bins = [(rng.randrange(2), max(0, int(rng.gauss(8, 12)))) for _ in range(rng.randrange(1, 60))]
+    got = secrets.least_bins(collections.Counter(bins))
+    for stratum in (0, 1):
+        ps = sorted(10 ** (-b / 10) for s, b in bins if s == stratum)
+        passed = [p for k, p in enumerate(ps, 1) if p * len(ps) <= secrets.Q * k]
+        accepted = {b for s, b in bins if s == stratum and passed and 10 ** (-b / 10) <= max(passed)}
+        assert {b for s, b in bins if s == stratum and b >= got.get(stratum, 999)} == accepted
+
+
+def test_groups_are_packed_together_in_turns(documents, monkeypatch):
+    """Short texts over many groups take one sequence more than the bound at most; equal rows are dealt over the groups."""
+    monkeypatch.setattr(packing, "GROUP_PIECES", 64)
+    rows = [(None if k % 3 == 0 else k, "the same" if k % 3 == 0 else prose(k, 5 + k % 40), "en", "a") for k in range(900)]
+    got = packed_documents(documents(rows), 512).collect()
+    assert len(got) == 900 and got[0].asDict().keys() == {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"}
+    fills = collections.defaultdict(list)
+    for r in got:
+        fills[r.sequence_id].append((r.offset, r.length))
+    for places in fills.values():
+        places.sort()
+        assert [a for a, _ in places] == [sum(n for _, n in places[:k]) for k in range(len(places))] and sum(places[-1]) <= 512
+    bound = -(-sum(r.length for r in got) // 512)
+    assert len(fills) <= bound + 1
+    pieces = stored(packing.token_pieces(documents(rows), 512), "pieces")
+    assert packing.group_count(pieces, 512) == 15
+    dealt = packing.packed(pieces.where("doc_id IS NULL"), 15, 512).collect()
+    assert max(collections.Counter(r.sequence_id >> 32 for r in dealt).values()) < 60
