@@ -163,40 +163,44 @@ def _step(scores: np.ndarray, switch: float) -> np.ndarray:
 def best_path(emitted: np.ndarray, first: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     """The language of each word on its text's best path.
 
-    Texts are cut into blocks of BLOCK words. A block's (max, +) matrix maps entry to
+    Texts are cut into blocks of BLOCK words, or as many as there are languages, if that is more, so
+    that a block's (max, +) matrix has no more numbers than its words have scores. It maps entry to
     exit scores; scores at the block edges follow from them block by block, and those
     inside from the edges, for all blocks at once.
     """
     n_words, k = emitted.shape
+    block = max(BLOCK, k)
     n = np.diff(first)
-    blocks = -(-n // BLOCK)
+    blocks = -(-n // block)
     block_first = np.concatenate([[0], np.cumsum(blocks)])
     total = int(block_first[-1])
     if not total:
         return np.zeros(0, np.int64)
     text = np.repeat(np.arange(len(n)), n)
     inside = np.arange(n_words) - first[:-1][text]
-    row, col = block_first[:-1][text] + inside // BLOCK, inside % BLOCK
-    e = np.zeros((total, BLOCK, k))  # missing words of a last block say nothing
+    row, col = block_first[:-1][text] + inside // block, inside % block
+    e = np.zeros((total, block, k))  # missing words of a last block say nothing
     e[row, col] = emitted
-    forth = np.where(np.eye(k, dtype=bool), 0.0, -np.inf)[None].repeat(total, axis=0)
-    for t in range(BLOCK):
-        forth = _step(forth, switch) + e[:, t, None, :]
+    several = np.repeat(blocks > 1, blocks)  # a text of one block needs no matrix
+    slot = np.cumsum(several) - 1
+    forth = np.where(np.eye(k, dtype=bool), 0.0, -np.inf)[None].repeat(int(several.sum()), axis=0)
+    for t in range(block):
+        forth = _step(forth, switch) + e[several, t, None, :]
     alpha, beta = np.zeros((total, k)), np.zeros((total, k))  # before the block's first word, after its last
     order = np.argsort(-blocks, kind="stable")
     for j in range(1, int(blocks.max())):
         live = order[: int(np.searchsorted(-blocks[order], -j, "left"))]
         at = block_first[live] + j
-        alpha[at] = (alpha[at - 1][:, :, None] + forth[at - 1]).max(axis=1)
+        alpha[at] = (alpha[at - 1][:, :, None] + forth[slot[at - 1]]).max(axis=1)
         back = block_first[live] + blocks[live] - 1 - j
-        beta[back] = (forth[back + 1] + beta[back + 1][:, None, :]).max(axis=2)
-    seen = np.empty((total, BLOCK, k))
+        beta[back] = (forth[slot[back + 1]] + beta[back + 1][:, None, :]).max(axis=2)
+    seen = np.empty((total, block, k))
     score = alpha
-    for t in range(BLOCK):
+    for t in range(block):
         score = _step(score, switch) + e[:, t]
         seen[:, t] = score
     score = beta
-    for t in reversed(range(BLOCK)):
+    for t in reversed(range(block)):
         seen[:, t] += score
         score = _step(score + e[:, t], switch)
     return seen.argmax(axis=2)[row, col]

@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 from starmart.llm import jaccard_join, packing, secrets, suffix_dedup
 from starmart.llm.common import stored
 from starmart.llm.fingerprints import compared, containment, distinct_shingles, edited, fingerprints, merged, read, resemblance
-from starmart.llm.language_id import UNKNOWN, fit, held_out_predictions, predicted
+from starmart.llm.language_id import UNKNOWN, best_path, fit, held_out_predictions, predicted
 from starmart.llm.packing import Bins, pack, packed_documents
 from starmart.llm.quality_rules import HostPolicy, judged, kept_documents
 from starmart.llm.secrets import digest, redacted, secret_spans
@@ -467,3 +467,37 @@ def test_groups_are_packed_together_in_turns(documents, monkeypatch):
     assert packing.group_count(pieces, 512) == 15
     dealt = packing.packed(pieces.where("doc_id IS NULL"), 15, 512).collect()
     assert max(collections.Counter(r.sequence_id >> 32 for r in dealt).values()) < 60
+
+
+def plain_viterbi(emitted, switch):
+    """The best path's score, word by word and language by language."""
+    score = list(emitted[0])
+    for row in emitted[1:]:
+        score = [max(score[j], max(score) - switch) + row[j] for j in range(len(row))]
+    return max(score)
+
+
+@pytest.mark.parametrize("languages", [1, 2, 5, 70])
+def test_best_path_is_that_of_plain_viterbi(languages):
+    """Texts of no words to many blocks; the path found has the best score."""
+    rng = np.random.default_rng(languages)
+    for _ in range(8):
+        n = np.array([0, 1, *rng.integers(0, 300, 4)])
+        first = np.concatenate([[0], np.cumsum(n)])
+        emitted = rng.normal(0, 2, (int(first[-1]), languages))
+        path = best_path(emitted, first, 3.0)
+        for low, high in zip(first[:-1], first[1:]):
+            if high > low:
+                own = path[low:high]
+                got = emitted[np.arange(low, high), own].sum() - 3.0 * (own[1:] != own[:-1]).sum()
+                assert abs(got - plain_viterbi(emitted[low:high].tolist(), 3.0)) < 1e-6
+
+
+def test_memory_of_many_languages():
+    """A hundred languages: what the path takes is in proportion to the scores given."""
+    emitted = np.random.default_rng(1).normal(0, 2, (20_000, 100))
+    tracemalloc.start()
+    best_path(emitted, np.array([0, 20_000]), 3.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * emitted.nbytes
