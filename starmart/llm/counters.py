@@ -8,14 +8,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from starmart.llm.common import mixed, shipped, slices
+from starmart.llm.common import SLICE_BYTES, mixed, shipped, slices
 
 COUNTERS = 1 << 18
 _STRIPE = 1 << 12
 
 
-def summed(docs: DataFrame, keys: Callable[[pa.Array], np.ndarray]) -> np.ndarray:
-    """How many of the 64-bit `keys` of all texts fall to each of COUNTERS counters, by their low bits.
+def summed(docs: DataFrame, keys: Callable[[pa.Array], np.ndarray], most: int = SLICE_BYTES) -> np.ndarray:
+    """How many of the 64-bit `keys` of all texts fall to each of COUNTERS counters, by their low bits; about `most` bytes of text are asked for at once.
 
     Each task brings one row per stripe of counters; stripes are added up as a stream.
     """
@@ -27,7 +27,7 @@ def summed(docs: DataFrame, keys: Callable[[pa.Array], np.ndarray]) -> np.ndarra
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=most):
                 total += np.bincount(places(keys(part.column("text"))), minlength=COUNTERS)
         yield stripes(total)
 

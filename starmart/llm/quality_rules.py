@@ -150,11 +150,14 @@ def kept_documents(docs: DataFrame, host: Column | str = "source", text: str = "
     """The rows of `docs`, with all their columns, that `judged` keeps.
 
     The counts are made once for the hosts and again for the documents, so that no text is
-    stored or shuffled. Columns of any name may be there.
+    stored or shuffled: the rejected hosts are stored first, so their size is known when the
+    join is planned, and only where they are many do the documents meet them by a shuffle.
+    Columns of any name may be there.
     """
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(text).alias("_text"), _host(host).alias("host"))
     # Observing the rows keeps the optimizer from computing the counts anew inside the filter below.
     counted = with_failures(with_counts(rows, "_text")).observe("counted", F.count("*").alias("rows"))
     rejected = _verdicts(stored(counted.drop("_row", "_text"), "quality"), policy).where("host_rejected").select("host")
+    rejected = stored(rejected, "rejected")
     kept = counted.where(f"NOT ({_BASE_FAILED})").join(rejected, "host", "left_anti")
     return kept.select("_row.*")

@@ -35,6 +35,8 @@ LEAST = 100
 KGRAM = 32
 #: Spans that a task sorts at once, and the most bytes of spans of one suffix array: its rows take about 45 times as much.
 FLUSH, ARRAY_BYTES = 1 << 20, 1 << 18
+#: Bytes of text whose anchors are looked for at once: some 150 bytes are held for each.
+ANCHOR_BYTES = 1 << 18
 #: A counter with more than this share of a part's spans is hot; no fewer spans than FEW are.
 HOT_SHARE, FEW = 1 / 16, 2000
 
@@ -93,12 +95,13 @@ def _first_of_each(spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     spans = spans[np.lexsort((spans["low"], spans["tie"], spans["doc"], spans["hash"], spans["anchor"]))]
     new = np.ones(len(spans), bool)
     new[1:] = (spans["anchor"][1:] != spans["anchor"][:-1]) | (spans["hash"][1:] != spans["hash"][:-1])
-    firsts = spans[new]
-    first = firsts[np.cumsum(new) - 1] if len(spans) else spans
-    later = spans["low"] > first["low"]
+    at = np.flatnonzero(new)
+    first = np.repeat(at, np.diff(np.append(at, len(spans))))
+    later = spans["low"] > spans["low"][first]
     for name in ("tie", "doc"):
-        later = (spans[name] > first[name]) | ((spans[name] == first[name]) & later)
-    return firsts, spans[later]
+        own, other = spans[name], spans[name][first]
+        later = (own > other) | ((own == other) & later)
+    return spans[at], spans[later]
 
 
 def merged_intervals(doc: np.ndarray, tie: np.ndarray, low: np.ndarray, high: np.ndarray) -> Places:
@@ -265,23 +268,25 @@ def removals(docs: DataFrame, key: list[Column]) -> DataFrame:
     spark = shipped(docs.sparkSession)
     rows = docs.select(*key, "text").where("text IS NOT NULL")
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counters = summed(rows, lambda texts: _anchors(*flat(texts))[0])
+    counters = summed(rows, lambda texts: _anchors(*flat(texts))[0], ANCHOR_BYTES)
     most = ARRAY_BYTES
     hot = counters > max(FEW, HOT_SHARE * counters.sum() / parts)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=ANCHOR_BYTES):
                 held.append(_spans(part.column("text"), np.asarray(part.column("doc")), np.asarray(part.column("tie")), hot))
                 if sum(map(len, held)) >= FLUSH:
-                    yield messages(np.concatenate(held))
-                    held = []
+                    yield messages(held)
         if held:
-            yield messages(np.concatenate(held))
+            yield messages(held)
 
-    def messages(spans: np.ndarray) -> pa.RecordBatch:
+    def messages(held: list[np.ndarray]) -> pa.RecordBatch:
+        spans = np.concatenate(held)
+        held.clear()
         firsts, later = _first_of_each(spans)
+        del spans
         to = (mixed(firsts["anchor"] + np.uint64(1)) % np.uint64(parts)).astype(np.int64)
         order = np.lexsort((firsts["low"], firsts["tie"], firsts["doc"], to))
         firsts, to = firsts[order], to[order]
