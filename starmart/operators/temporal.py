@@ -29,7 +29,8 @@ def temporal_join(
 
     Adaptive execution splits a hot key here by itself. Where it is off, ``salt``
     spreads each key over that many partitions by date and repeats the versions as
-    often; the salt is a function of the row, so retried tasks agree. Under
+    often; the salt is a function of the row, so retried tasks agree. A salted join sorts
+    and merges, so that the repeated versions are spread too. Under
     ``how="left"`` rows with a NULL key, which match nothing, are spread by date.
     """
     if how not in ("inner", "left"):
@@ -43,7 +44,8 @@ def temporal_join(
     condition = f"{name(key)} = __k AND " + covers_sql("__from", "__to", name(on_date), closed)
     if salt > 1:
         fact = fact.withColumn("__salt", F.expr(f"pmod(hash({name(on_date)}), {salt})"))
-        side = side.selectExpr("*", f"explode(sequence(0, {salt - 1})) AS __copy")
+        # The copies are not in the estimated size: without the hint all of them may be broadcast to every task.
+        side = side.selectExpr("*", f"explode(sequence(0, {salt - 1})) AS __copy").hint("merge")
         condition += " AND __salt = __copy"
     if how == "left":
         fact = fact.withColumn("__null", F.expr(f"IF({name(key)} IS NULL, 1 + pmod(hash({name(on_date)}), 1024), 0)"))

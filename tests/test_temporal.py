@@ -56,6 +56,16 @@ def test_salt_changes_nothing(facts, versions, how, salt):
     assert sorted(map(str, plain.collect())) == sorted(map(str, salted.collect()))
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_repeated_versions_are_spread_not_broadcast(spark, facts, how):
+    """A range has a known size, small enough for a broadcast."""
+    known = spark.range(100).selectExpr("CAST(id AS INT) AS k", "'v' AS v", "DATE'1995-01-01' AS Valid_From", "DATE'9999-12-31' AS Valid_To")
+    assert "Broadcast" in temporal_join(facts, known, "k", "d", ["v"], how)._jdf.queryExecution().executedPlan().toString()
+    salted = temporal_join(facts, known, "k", "d", ["v"], how, salt=7)
+    text = salted._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and "Broadcast" not in text
+
+
 def test_bad_arguments(facts, versions):
     with pytest.raises(ValueError):
         temporal_join(facts, versions, "k", "d", ["v"], how="outer")
