@@ -39,6 +39,7 @@ def write_table(
     bucket_by: tuple[int, str] | None = None,
     path: str | None = None,
     by_month: str | None = None,
+    options: dict[str, str] | None = None,
 ) -> int:
     """Save as a catalog table and return its row count.
 
@@ -49,7 +50,8 @@ def write_table(
     column) lets later joins and sums on that column run without a shuffle; leave it
     where one key holds much of the table, since a bucket is read by one task. ``by_month``
     names a date column: the table is partitioned by its month (see `with_month`), and a filter
-    on the days or on a calendar joined by month reads those months only.
+    on the days or on a calendar joined by month reads those months only. ``options`` go
+    to the format's writer, say its codec.
     """
     spark = df.sparkSession
     if by_month:
@@ -67,6 +69,8 @@ def write_table(
     writer = writer.mode("overwrite" if overwrite else "ignore")
     if fmt == "delta":
         writer = writer.option("overwriteSchema", True)
+    if options:
+        writer = writer.options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:

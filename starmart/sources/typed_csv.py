@@ -122,18 +122,28 @@ def exportable(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, T.BinaryType)])
 
 
-def export_csv(df: DataFrame, path: str, columns: list[str] | None = None) -> int:
-    """Write a CSV folder and return its row count, taken during the write."""
+#: Rows of a compressed file at most: such a file is read by one task.
+_COMPRESSED_ROWS = 1_000_000
+
+
+def export_csv(df: DataFrame, path: str, columns: list[str] | None = None, compression: str | None = None) -> int:
+    """Write a CSV folder and return its row count, taken during the write.
+
+    ``compression`` names a codec, say gzip; the text and how it is read are the same. Files of such a codec cannot be
+    split, so they end after a million rows.
+    """
     rows = Observation()
     picked = df.select(*[F.col(f"`{c}`") for c in columns]) if columns else exportable(df)
     counted = picked.observe(rows, F.count(F.lit(1)).alias("n"))
-    (
+    writer = (
         counted.write.mode("overwrite")
         .options(**_FORMAT)
         .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        .csv(path)
     )
+    if compression:
+        writer = writer.options(compression=compression, maxRecordsPerFile=_COMPRESSED_ROWS)
+    writer.csv(path)
     return rows.get["n"]
 
 

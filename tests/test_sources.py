@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from starmart.plans import sample_loads
 from starmart.plans.catalog import QUESTIONS
 from starmart.sources import typed_csv
 from starmart.sources.registry import TABLES
@@ -72,6 +73,34 @@ def test_export_round_trip(spark, tmp_path):
     assert [tuple(r) for r in back.orderBy("Id").collect()] == [r[:-1] for r in rows]
 
 
+def test_compressed_export_round_trip(spark, tmp_path, monkeypatch):
+    """Compressed files are read by one task each, so they are many where rows are many."""
+    monkeypatch.setattr(typed_csv, "_COMPRESSED_ROWS", 10)
+    path = str(tmp_path / "out.csv")
+    assert export_csv(spark.range(0, 35, 1, 1).selectExpr("id AS Id", "'a \"q\", ' || id AS Name"), path, compression="gzip") == 35
+    assert [f.name.endswith(".csv.gz") for f in (tmp_path / "out.csv").glob("part-*")] == [True] * 4
+    back = read_typed_csv(spark, path, {"Id": "int"})
+    assert sorted(map(tuple, back.collect())) == [(i, f'a "q", {i}') for i in range(35)]
+
+
+def test_whole_run_writes_compressed_files(spark, tmp_path, monkeypatch):
+    """Exports and tables: as plain text and in the session's codec they were twice as large."""
+    written = {}
+
+    def stop(session, csv_root, schema, e, layout):
+        files = [f for n in sample_loads.SOURCES for f in typed_csv.headers(session, f"{csv_root}/{TABLES[n].file_name}")]
+        path = str(tmp_path / "t")
+        assert write_table(session.range(5), "t", schema, **layout["Fact_Sale"] | {"path": path}) == 5
+        written.update(csv=files, table=[f.name for f in (tmp_path / "t").glob("part-*")])
+        raise InterruptedError
+
+    monkeypatch.setattr(sample_loads, "build_warehouse", stop)
+    with pytest.raises(InterruptedError):
+        sample_loads.whole_run(SampleMart(spark, "/root/testdata/sf0.001"))
+    assert len(written["csv"]) >= len(sample_loads.SOURCES) and all(f.endswith(".csv.gz") for f in written["csv"])
+    assert written["table"] and all(f.endswith(".zstd.parquet") for f in written["table"])
+
+
 def test_registry_matches_any_system_name():
     spec = TABLES["Dimension_City"]
     casts = spec.casts(["City Key", "ABC City ID", "City", "Latest Recorded Population", "Valid From", "Valid To", "Lineage Key"])
